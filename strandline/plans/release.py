@@ -36,7 +36,7 @@ def verify(store: Store, manifest: str, cutoff: datetime) -> DataFrame:
     spark = store.spark
     listed = read_release_manifest(spark, manifest).filter("area <> ''").distinct()
     # paths to read must be known when the scan is planned; a manifest is a hand-written list
-    areas = sorted(row.area for row in listed.toLocalIterator())
+    areas = sorted({row.area.rstrip("/") for row in listed.toLocalIterator()})
     named = spark.createDataFrame([(area,) for area in areas], "area string")
     expected = land(R.expected_files(read_descriptors(spark, areas, FILE_TYPES)), "expected-files")
     files = R.file_report(expected, store.history())
