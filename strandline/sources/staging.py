@@ -52,11 +52,10 @@ def read_documents(
     areas: Sequence[str],
     kinds: Sequence[str] = KINDS,
     entity_types: Sequence[str] | None = None,
-    skip_empty: bool = False,
 ) -> DataFrame:
     """All ``.json`` documents of the areas in one scan: the ``DOCUMENTS`` columns plus path and size.
 
-    Absent folders give no rows. Empty files can be skipped; their size is known from the listing.
+    Absent folders give no rows, and neither do zero-byte files, which Spark leaves out of every scan.
     ``entity_types`` narrows the scan to the folders of those types.
     """
     roots = [
@@ -71,8 +70,6 @@ def read_documents(
             {"file_path": F.lit("").cast("string"), "file_size": F.lit(0).cast("bigint")}
         )
     scan = spark.read.text(present, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
-    if skip_empty:
-        scan = scan.filter(F.col("_metadata.file_size") > 0)
     path = _decoded(F.col("_metadata.file_path"))
     area, below = _placed(spark, areas, path, KINDS)
     located = scan.select(
@@ -100,7 +97,7 @@ def read_descriptors(spark: SparkSession, areas: Sequence[str], entity_types: Se
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path`` and ``length`` of all files below a path; contents are not read."""
+    """``path`` and ``length`` of all files below a path, zero-byte files left out; contents are not read."""
     if not _existing(spark, [path]):
         return spark.createDataFrame([], "path string, length long")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
