@@ -91,9 +91,8 @@ query("p9_load_request_paths", """
     SELECT o_orderpriority || '/data/' || l_returnflag || '/' || l_partkey AS source_path,
            '/v1/' || o_orderkey || '/' || o_custkey || '/' || l_returnflag || '/' || l_partkey AS target_path
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")(
-    lambda s, d: _descriptors(s, d).select(
-        files.source_path(F.col("area"), F.get_json_object("descriptor", "$.file_name")).alias("source_path"),
-        files.descriptor_target(F.col("descriptor")).alias("target_path")))
+    lambda s, d: files.with_file_fields(_descriptors(s, d)).select(
+        files.source_path(F.col("area"), F.col("file.file_name")).alias("source_path"), "file.target_path"))
 
 query("k2_write_load_requests", REQUEST_SQL + """
     SELECT source_path, target_path FROM p

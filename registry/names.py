@@ -97,7 +97,7 @@ def project_ids(s, d):
     return R.table(s, d, "customer").select("c_custkey", names.project_id_in(path).alias("project_id"))
 
 
-@query("p17_clean_paths", "SELECT page_id, 'gs://' || regexp_replace(url, '/+$', '') AS path FROM pages WHERE page_id IN (SELECT page_id FROM pages WHERE starts_with(url, 'https'))")
+@query("p17_clean_paths", "SELECT page_id, 'gs://' || regexp_replace(url, '/+$', '') AS path FROM pages WHERE starts_with(url, 'https')")
 def clean_paths(s, d):
     scheme = F.when(F.col("url").startswith("https"), "gs://").otherwise("s3://")
     path = names.clean_path(F.concat(F.lit(" /"), scheme, F.col("url"), F.lit("// ")))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def parsed(text: Column) -> Column:
@@ -23,13 +25,26 @@ def is_string_property(text: Column, name: str) -> Column:
     return F.coalesce(kind, F.lit("")) == "STRING"
 
 
+def _unless_container(found: Column, text: Column, path: str) -> Column:
+    """``found``, but null where the value at ``path`` is an object or array."""
+    kind = F.schema_of_variant(F.try_variant_get(parsed(text), path, "variant"))
+    # Only texts that look like a container need the costlier look at the value's type. It stands in
+    # a branch, not in a condition, so that Spark does not evaluate it for every row.
+    looks = F.substring(found, 1, 1).isin("{", "[")
+    return F.when(looks, F.when(kind == "STRING", found)).otherwise(found)
+
+
 def scalar(text: Column, path: str) -> Column:
     """Text of the scalar at ``path``; null for absent values, JSON null, objects and arrays."""
-    found = F.get_json_object(text, path)
-    kind = F.schema_of_variant(F.try_variant_get(parsed(text), path, "variant"))
-    # only texts that look like a container need the costlier look at the value's type
-    container = found.rlike(r"^[\[{]") & (F.coalesce(kind, F.lit("")) != "STRING")
-    return F.when(~container, found)
+    return _unless_container(F.get_json_object(text, path), text, path)
+
+
+def with_scalars(frame: DataFrame, text: str, names: Sequence[str], target: str) -> DataFrame:
+    """A struct column ``target`` of top-level scalars, as ``scalar`` gives them; each text is parsed once."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    raw = frame.withColumn("__raw", F.from_json(text, schema))
+    fields = [_unless_container(F.col("__raw")[name], F.col(text), f"$.{name}").alias(name) for name in names]
+    return raw.withColumn(target, F.struct(*fields)).drop("__raw")
 
 
 def has_key(text: Column, name: str) -> Column:

@@ -16,7 +16,7 @@ from strandline.functions import messages as M
 from strandline.functions.jsons import compact_text, is_json, is_string_property, scalar
 from strandline.functions.names import name_parts
 from strandline.functions.schema_check import violations
-from strandline.operators.files import load_requests
+from strandline.operators.files import load_requests, with_file_fields
 from strandline.operators.skew import spread_join
 from strandline.schemas import FILE_TYPES, LINKS, NON_FILE_TYPES
 
@@ -224,7 +224,7 @@ def metadata_rows(named: DataFrame) -> DataFrame:
 
 def file_rows(named_pairs: DataFrame) -> DataFrame:
     """Rows of the file types; the checksum comes from the descriptor."""
-    return _staged(named_pairs, crc32c=scalar(F.col("descriptor"), "$.crc32c"))
+    return _staged(with_file_fields(named_pairs), crc32c=F.col("file.crc32c"))
 
 
 def links_rows(named: DataFrame) -> DataFrame:

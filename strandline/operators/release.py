@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.jsons import fingerprint, scalar
+from strandline.functions.jsons import fingerprint
 from strandline.functions.names import clean_path, is_bucket_path, project_id_in, require_project_id_in
 from strandline.functions.versions import require_version
-from strandline.operators.files import descriptor_target, loaded_history
+from strandline.operators.files import loaded_history, with_file_fields
 from strandline.operators.skew import spread_join
 from strandline.session import pin
 
@@ -90,10 +90,8 @@ def areas_without_project(areas: DataFrame) -> DataFrame:
 
 def expected_files(descriptors: DataFrame) -> DataFrame:
     """Distinct target path and checksum of each area; ``descriptors`` has ``area`` and ``descriptor``."""
-    text = F.col("descriptor")
-    return descriptors.select(
-        "area", descriptor_target(text).alias("target_path"), scalar(text, "$.crc32c").alias("checksum")
-    ).distinct()
+    named = with_file_fields(descriptors.select("area", "descriptor"))
+    return named.select("area", "file.target_path", F.col("file.crc32c").alias("checksum")).distinct()
 
 
 def _loads(history: DataFrame) -> DataFrame:

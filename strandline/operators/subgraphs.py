@@ -31,12 +31,16 @@ def links_of(rows: DataFrame) -> DataFrame:
     return own.select(F.col("entity_id").alias("links_id"), "project_id", "content")
 
 
-def _nodes(items: Column, type_field: str, id_field: str) -> Column:
-    return F.transform(items, lambda x: _node(x[type_field], x[id_field]))
+NODES = "array<struct<entity_type:string,entity_id:string>>"
 
 
 def _node(entity_type: Column, entity_id: Column) -> Column:
-    return F.struct(entity_type.alias("entity_type"), entity_id.alias("entity_id"))
+    return F.array(F.struct(entity_type.alias("entity_type"), entity_id.alias("entity_id")))
+
+
+def _nodes(pairs: Column) -> Column:
+    """An array of (type, id) pairs under the common field names; absent arrays count as empty."""
+    return F.coalesce(pairs.cast(NODES), F.array().cast(NODES))
 
 
 def _any_null(record: Column, fields: tuple[str, ...]) -> Column:
@@ -47,17 +51,12 @@ def _any_null(record: Column, fields: tuple[str, ...]) -> Column:
 
 
 def _nodes_of_link(link: Column) -> Column:
-    none = F.array().cast("array<struct<entity_type:string,entity_id:string>>")
     process = F.concat(
-        F.array(_node(link["process_type"], link["process_id"])),
-        F.coalesce(_nodes(link["inputs"], "input_type", "input_id"), none),
-        F.coalesce(_nodes(link["outputs"], "output_type", "output_id"), none),
-        F.coalesce(_nodes(link["protocols"], "protocol_type", "protocol_id"), none),
-    )
-    supplementary = F.concat(
-        F.array(_node(link["entity"]["entity_type"], link["entity"]["entity_id"])),
-        F.coalesce(_nodes(link["files"], "file_type", "file_id"), none),
+        _node(link["process_type"], link["process_id"]),
+        _nodes(link["inputs"]), _nodes(link["outputs"]), _nodes(link["protocols"]),
     )
+    supplementary = F.concat(_nodes(F.array(link["entity"])), _nodes(link["files"]))
+    none = F.array().cast(NODES)
     return F.when(link["link_type"] == PROCESS_LINK, process).when(link["link_type"] == FILE_LINK, supplementary).otherwise(none)
 
 
@@ -67,10 +66,12 @@ def subgraph_nodes(links: DataFrame) -> DataFrame:
     The links row itself is a node of type ``links``. The arrays are opened in place, in one pass
     over the rows and without a shuffle.
     """
-    own = F.array(_node(F.lit(LINKS), F.col("links_id")))
-    inner = F.flatten(F.transform(F.coalesce(F.col("links"), F.from_json(F.lit("[]"), LINKS_CONTENT["links"].dataType)), _nodes_of_link))
-    opened = with_links(links).select("links_id", "project_id", F.explode(F.concat(own, inner)).alias("node"))
-    return opened.select("links_id", "project_id", "node.entity_type", "node.entity_id")
+    opened = with_links(links).select("links_id", "project_id", F.posexplode_outer("links").alias("position", "link"))
+    own = F.when(F.coalesce(F.col("position"), F.lit(0)) == 0, _node(F.lit(LINKS), F.col("links_id"))).otherwise(F.array().cast(NODES))
+    nodes = F.concat(own, F.coalesce(_nodes_of_link(F.col("link")), F.array().cast(NODES)))
+    return opened.select("links_id", "project_id", F.explode(nodes).alias("node")).select(
+        "links_id", "project_id", "node.entity_type", "node.entity_id"
+    )
 
 
 def link_problems(links: DataFrame) -> DataFrame:

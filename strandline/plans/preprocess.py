@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.messages import error_counts
 from strandline.operators import documents as D
-from strandline.schemas import ENTITY_TYPES, FILE_TYPES, id_column, is_file_type
+from strandline.schemas import id_column, is_file_type
 from strandline.session import land
 from strandline.sinks.writers import write_errors, write_json_by_type, write_json_rows
 from strandline.sources.staging import read_documents
@@ -32,7 +32,8 @@ def preprocess(spark: SparkSession, areas: Sequence[str], schemas: DataFrame) ->
     """Read, check and reshape the documents of staging areas.
 
     The documents' small files are opened once: their compact text and findings are landed as a
-    Parquet table in the shared folder, and everything else is derived from that table.
+    Parquet table in the shared folder, and everything else is derived from that table. Rows and
+    requests are landed too, by type, as exports and loads read them several times.
     """
     found = D.expected_documents(read_documents(spark, areas))
     documents = found.select("area", "kind", "entity_type", "file_name", "value")
@@ -40,7 +41,7 @@ def preprocess(spark: SparkSession, areas: Sequence[str], schemas: DataFrame) ->
     rows, requests, errors = D.reshape(reported)
     named = spark.createDataFrame([(area.rstrip("/"),) for area in areas], "area string")
     warnings = D.no_match_warnings(reported, named)
-    return Preprocessed(rows, requests, errors, warnings)
+    return Preprocessed(land(rows, "rows", "entity_type"), land(requests, "requests", "entity_type"), errors, warnings)
 
 
 def typed_json(rows: DataFrame, entity_type: str) -> DataFrame:
@@ -55,21 +56,21 @@ def typed_json(rows: DataFrame, entity_type: str) -> DataFrame:
     return own.select(entity_id, "version", "content")
 
 
+def _types_in(frame: DataFrame) -> list[str]:
+    """Entity types with rows; there are a few dozen at most."""
+    return sorted(row.entity_type for row in frame.select("entity_type").distinct().collect())
+
+
 def write_outputs(result: Preprocessed, out: str) -> None:
     """``metadata/{type}``, ``data-transfer-requests/{type}``, ``errors`` and ``warnings`` below ``out``.
 
-    The rows are landed once by type; each type's export then reads its own folder only.
+    Each type's export reads its own folder of the landed rows; types without rows get no export.
     """
-    rows = land(result.rows, "rows", "entity_type")
-    requests = land(result.requests, "requests", "entity_type")
-    present = {r.entity_type for r in rows.select("entity_type").distinct().limit(len(ENTITY_TYPES)).collect()}
-    for entity_type in ENTITY_TYPES:
-        if entity_type in present:
-            write_json_rows(typed_json(rows, entity_type), f"{out}/metadata/{entity_type}")
-    for entity_type in FILE_TYPES:
-        own = requests.filter(F.col("entity_type") == entity_type).select("source_path", "target_path")
-        if entity_type in present or not own.isEmpty():
-            write_json_rows(own, f"{out}/data-transfer-requests/{entity_type}")
+    for entity_type in _types_in(result.rows):
+        write_json_rows(typed_json(result.rows, entity_type), f"{out}/metadata/{entity_type}")
+    for entity_type in _types_in(result.requests):
+        own = result.requests.filter(F.col("entity_type") == entity_type).select("source_path", "target_path")
+        write_json_rows(own, f"{out}/data-transfer-requests/{entity_type}")
     write_errors(result.errors, f"{out}/errors")
     write_json_rows(result.warnings, f"{out}/warnings")
 

@@ -16,8 +16,9 @@ def spark():
         "strandline-tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             # names hold colons, which the checksum files of the default local file system cannot
             "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
             "spark.driver.memory": "4g",

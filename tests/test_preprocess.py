@@ -140,7 +140,7 @@ def test_sound_area_end_to_end(spark, schemas, folder, put):
     requests = spark.read.json(f"{folder}/out/data-transfer-requests/analysis_file")
     assert values(requests, "source_path", "target_path") == [(f"{folder}/area/data/a/b.csv", "/v1/fid1/c1/a/b.csv")]
     # the externally hosted file is not requested
-    assert spark.read.schema("source_path string").json(f"{folder}/out/data-transfer-requests/supplementary_file").count() == 0
+    assert not os.path.exists(f"{folder}/out/data-transfer-requests/supplementary_file")
     assert spark.read.json(f"{folder}/out/metadata/project").columns == ["content", "project_id", "version"]
     assert os.path.isdir(f"{folder}/out/errors")
 
