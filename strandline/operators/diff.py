@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.operators.skew import spread_join
+from strandline.operators.skew import left_join, spread_join
 
 KEYS = ("entity_type", "entity_id", "version")
 
@@ -55,7 +55,7 @@ def diff(
     stored = existing.select(*keys, row_id, *[F.col(key).alias(name) for key, name in stored_names.items()])
     staged_columns = [F.col(name) for name in staged.columns]
     # a row with an incomplete key matches nothing; such rows differ in the other columns
-    left = spread_join(staged, stored, keys, "left", spread or _spread_columns(staged, keys))
+    left = left_join(staged, stored, keys, spread or _spread_columns(staged, keys), [row_id])
     status = F.when(F.col(row_id).isNull(), "new").otherwise("same")
     both = left.select(row_id, *staged_columns, *stored_names.values(), status.alias("status"))
     staged_keys = _complete(staged, keys).select(*keys).distinct()

@@ -186,10 +186,13 @@ def match_descriptors(metadata: DataFrame, descriptors: DataFrame) -> tuple[Data
     ``metadata`` and ``descriptors`` hold a ``content`` column; pairs carry ``content`` and ``descriptor``.
     """
     described = descriptors.select(*FILE_KEY, F.col("content").alias("descriptor"))
-    left = metadata.join(described.withColumn("__found", F.lit(True)), list(FILE_KEY), "left")
-    pairs = left.filter("__found").drop("__found")
-    alone = left.filter("__found is null").select(*FILE_KEY)
-    unpaired = described.select(*FILE_KEY).join(metadata.select(*FILE_KEY).distinct(), list(FILE_KEY), "left_anti")
+    keys = list(FILE_KEY)
+    # both inputs of the inner join come straight from a shuffle, so adaptive execution can split a
+    # heavy name on either side; the unmatched names need the key columns only
+    pairs = metadata.join(described, keys, "inner")
+    metadata_names, descriptor_names = metadata.select(*keys), described.select(*keys)
+    alone = metadata_names.join(descriptor_names.distinct(), keys, "left_anti")
+    unpaired = descriptor_names.join(metadata_names.distinct(), keys, "left_anti")
     entity_type = F.col("entity_type")
     no_descriptor = M.errors(
         alone, M.FILE_MISMATCH,

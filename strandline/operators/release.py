@@ -70,7 +70,9 @@ def numbered(keys: DataFrame, column: str) -> DataFrame:
 def chunked(keys: DataFrame, column: str, size: int = CHUNK_SIZE) -> DataFrame:
     """Values in sort order cut into groups of ``size``, labelled a, b, c and so on."""
     chunk = F.floor(F.col("position") / size).cast("int")
-    return numbered(keys, column).select(column, chunk.alias("chunk"), F.char(F.lit(97) + chunk).alias("qualifier"))
+    # labels go on through the code points after z
+    label = F.decode(F.unhex(F.lpad(F.hex(F.lit(ord("a")) + chunk), 8, "0")), "UTF-32")
+    return numbered(keys, column).select(column, chunk.alias("chunk"), label.alias("qualifier"))
 
 
 def manifests(entries: DataFrame, release_tag: str, public_only: bool = False) -> DataFrame:

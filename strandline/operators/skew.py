@@ -21,6 +21,7 @@ HOT_LIMIT = 1000
 MIN_SLICE_ROWS = 1_000_000
 
 _HASH, _COPIES, _SLICE = "__key_hash", "__copies", "__slice"
+_OTHER_COPIES, _OTHER_SLICE, _ROWS = "__other_copies", "__other_slice", "__rows"
 
 
 def _hashed(on: Sequence[str]):
@@ -42,6 +43,18 @@ def hot_keys(left: DataFrame, on: Sequence[str], min_slice_rows: int | None = No
     )
 
 
+def _own_slice(spread: Sequence[str], copies: str):
+    """The slice a row belongs to; 0 unless its key is cut."""
+    n = F.coalesce(F.col(copies), F.lit(1))
+    return F.when(n == 1, F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(*[F.col(name) for name in spread]), n))
+
+
+def _all_slices(copies: str):
+    """One row for each slice of the key."""
+    n = F.coalesce(F.col(copies), F.lit(1))
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), (n - 1).cast("bigint")))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -60,18 +73,64 @@ def spread_join(
         raise ValueError(f"spread_join keeps the left side only, not {how}")
     on = list(on)
     hot = F.broadcast(hot_keys(left, on, min_slice_rows))
-    copies = F.coalesce(F.col(_COPIES), F.lit(1))
-    own_slice = F.pmod(F.xxhash64(*[F.col(name) for name in spread]), copies)
-    sliced = (
-        left.withColumn(_HASH, _hashed(on))
-        .join(hot, _HASH, "left")
-        .withColumn(_SLICE, F.when(copies == 1, F.lit(0).cast("bigint")).otherwise(own_slice))
-        .drop(_HASH, _COPIES)
+    sliced = left.withColumn(_HASH, _hashed(on)).join(hot, _HASH, "left").withColumn(_SLICE, _own_slice(spread, _COPIES))
+    copied = right.withColumn(_HASH, _hashed(on)).join(hot, _HASH, "left").withColumn(_SLICE, _all_slices(_COPIES))
+    drop = (_HASH, _COPIES)
+    return sliced.drop(*drop).join(copied.drop(*drop), [*on, _SLICE], how).drop(_SLICE)
+
+
+def grid_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    left_spread: Sequence[str],
+    right_spread: Sequence[str],
+    min_slice_rows: int | None = None,
+) -> DataFrame:
+    """Inner join where both sides may hold many rows of one key.
+
+    A heavy key becomes a grid of left slices by right slices; each row goes to one row or column of
+    the grid, so every pair of rows meets in exactly one cell.
+    """
+    on = list(on)
+    none = F.lit(None).cast("int")
+    by_left = hot_keys(left, on, min_slice_rows).withColumn(_OTHER_COPIES, none)
+    by_right = hot_keys(right, on, min_slice_rows).withColumnRenamed(_COPIES, _OTHER_COPIES).withColumn(_COPIES, none)
+    # at most twice HOT_LIMIT rows
+    hot = F.broadcast(by_left.unionByName(by_right).groupBy(_HASH).agg(F.max(_COPIES).alias(_COPIES), F.max(_OTHER_COPIES).alias(_OTHER_COPIES)))
+    drop = (_HASH, _COPIES, _OTHER_COPIES)
+    rows = (
+        left.withColumn(_HASH, _hashed(on)).join(hot, _HASH, "left")
+        .withColumn(_SLICE, _own_slice(left_spread, _COPIES)).withColumn(_OTHER_SLICE, _all_slices(_OTHER_COPIES)).drop(*drop)
     )
-    copied = (
-        right.withColumn(_HASH, _hashed(on))
-        .join(hot, _HASH, "left")
-        .withColumn(_SLICE, F.explode(F.sequence(F.lit(0).cast("bigint"), (copies - 1).cast("bigint"))))
-        .drop(_HASH, _COPIES)
+    columns = (
+        right.withColumn(_HASH, _hashed(on)).join(hot, _HASH, "left")
+        .withColumn(_OTHER_SLICE, _own_slice(right_spread, _OTHER_COPIES)).withColumn(_SLICE, _all_slices(_COPIES)).drop(*drop)
     )
-    return sliced.join(copied, [*on, _SLICE], how).drop(_SLICE)
+    return rows.join(columns, [*on, _SLICE, _OTHER_SLICE], "inner").drop(_SLICE, _OTHER_SLICE)
+
+
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    spread: Sequence[str],
+    right_spread: Sequence[str],
+    min_slice_rows: int | None = None,
+) -> DataFrame:
+    """Left outer join where both sides may hold many rows of one key.
+
+    The right side is first reduced to one row per key with its row count. That settles all left rows
+    with no or one partner, which is nearly all of them as a rule; only keys with several right rows
+    go through ``grid_join``. Both ways read the same shuffle of the left side.
+    """
+    on = list(on)
+    values = [name for name in right.columns if name not in on]
+    # of a single row, the maximum is the value
+    summary = right.groupBy(*on).agg(F.count(F.lit(1)).alias(_ROWS), *[F.max(name).alias(name) for name in values])
+    joined = spread_join(left, summary, on, "left", spread, min_slice_rows)
+    settled = joined.filter(F.coalesce(F.col(_ROWS), F.lit(1)) == 1).drop(_ROWS)
+    several = joined.filter(F.col(_ROWS) > 1).drop(_ROWS, *values)
+    keys = summary.filter(F.col(_ROWS) > 1).select(*on)
+    partners = spread_join(right, keys, on, "left_semi", right_spread, min_slice_rows)
+    return settled.unionByName(grid_join(several, partners, on, spread, right_spread, min_slice_rows))

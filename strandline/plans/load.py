@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -60,14 +61,20 @@ def load(staged: DataFrame, store: Store, against: str = "live") -> LoadResult:
         raise ValueError(f"against must be live or raw, not {against}")
     existing = store.live() if against == "live" else store.raw()
     new_rows = land(rows_to_append(staged, _same_dates(existing, staged)), "new-rows")
+    # at most one entry per entity type
     appended = {row.entity_type: row["count"] for row in new_rows.groupBy("entity_type").count().collect()}
     if not appended:
         return LoadResult({}, {})
     store.append(new_rows.drop("area", "crc32c"))
+    return LoadResult(appended, clear_outdated(store, sorted(appended)))
+
+
+def clear_outdated(store: Store, entity_types: Sequence[str]) -> dict[str, int]:
+    """Soft-delete the rows of some types that are older than the newest version of their id."""
+    rows = store.live().filter(F.col("entity_type").isin(*entity_types))
+    old = land(outdated_rows(rows).select("entity_type", "row_id"), "outdated")
     # at most one entry per entity type
-    touched = store.live().filter(F.col("entity_type").isin(*appended))
-    old = land(outdated_rows(touched).select("entity_type", "row_id"), "outdated")
     outdated = {row.entity_type: row["count"] for row in old.groupBy("entity_type").count().collect()}
     if outdated:
         store.soft_delete(old)
-    return LoadResult(appended, outdated)
+    return outdated

@@ -64,8 +64,8 @@ def write_tsv(frame: DataFrame, path: str, sort_by: str = "name") -> None:
 
 
 def write_manifests(lines: DataFrame, path: str) -> None:
-    """One folder of plain lines per manifest; ``lines`` has ``entry`` and ``manifest``."""
-    lines.select("entry", "manifest").write.mode("overwrite").partitionBy("manifest").text(path)
+    """One folder per manifest with one file of plain lines; ``lines`` has ``entry`` and ``manifest``."""
+    lines.select("entry", "manifest").repartition("manifest").write.mode("overwrite").partitionBy("manifest").text(path)
 
 
 def append_rows(rows: DataFrame, path: str) -> None:

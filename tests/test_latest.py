@@ -113,3 +113,16 @@ def test_heavy_key_is_really_split(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 4000 and len(sizes) > 1
+
+
+def test_joins_with_heavy_keys_on_both_sides(spark):
+    left = spark.range(400).selectExpr("case when id % 4 = 0 then 'hot' when id % 9 = 0 then null else cast(id % 30 as string) end as k", "id")
+    right = spark.range(300).selectExpr("case when id % 3 = 0 then 'hot' when id % 11 = 0 then null else cast(id % 40 as string) end as k",
+                                        "if(id % 5 = 0, null, cast(id as string)) as other", "id % 7 as more")
+    want = values(left.join(right, "k", "left"))
+    for least in (None, 20):
+        assert values(skew.left_join(left, right, ["k"], ["id"], ["other", "more"], min_slice_rows=least)) == want
+    inner = values(left.join(right, "k"))
+    assert values(skew.grid_join(left, right, ["k"], ["id"], ["other", "more"], min_slice_rows=20)) == inner
+    single = right.dropDuplicates(["k"])
+    assert values(skew.left_join(left, single, ["k"], ["id"], ["other"], min_slice_rows=20)) == values(left.join(single, "k", "left"))
