@@ -62,17 +62,19 @@ def spread_join(
     how: str,
     spread: Sequence[str],
     min_slice_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join on the columns ``on``; heavy left keys are cut into slices by a hash of ``spread``.
 
     ``right`` should hold few rows per key (an aggregate or distinct keys): those of heavy keys are
     copied once per slice. ``spread`` names left columns that differ between rows of one key, such
     as a row id; they are data, not random numbers, so a task that runs again places rows as before.
+    ``hot`` may give the ``hot_keys`` to use.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join keeps the left side only, not {how}")
     on = list(on)
-    hot = F.broadcast(hot_keys(left, on, min_slice_rows))
+    hot = F.broadcast(hot_keys(left, on, min_slice_rows) if hot is None else hot)
     sliced = left.withColumn(_HASH, _hashed(on)).join(hot, _HASH, "left").withColumn(_SLICE, _own_slice(spread, _COPIES))
     copied = right.withColumn(_HASH, _hashed(on)).join(hot, _HASH, "left").withColumn(_SLICE, _all_slices(_COPIES))
     drop = (_HASH, _COPIES)
@@ -86,6 +88,8 @@ def grid_join(
     left_spread: Sequence[str],
     right_spread: Sequence[str],
     min_slice_rows: int | None = None,
+    left_hot: DataFrame | None = None,
+    right_hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join where both sides may hold many rows of one key.
 
@@ -94,8 +98,10 @@ def grid_join(
     """
     on = list(on)
     none = F.lit(None).cast("int")
-    by_left = hot_keys(left, on, min_slice_rows).withColumn(_OTHER_COPIES, none)
-    by_right = hot_keys(right, on, min_slice_rows).withColumnRenamed(_COPIES, _OTHER_COPIES).withColumn(_COPIES, none)
+    left_hot = hot_keys(left, on, min_slice_rows) if left_hot is None else left_hot
+    right_hot = hot_keys(right, on, min_slice_rows) if right_hot is None else right_hot
+    by_left = left_hot.withColumn(_OTHER_COPIES, none)
+    by_right = right_hot.withColumnRenamed(_COPIES, _OTHER_COPIES).withColumn(_COPIES, none)
     # at most twice HOT_LIMIT rows
     hot = F.broadcast(by_left.unionByName(by_right).groupBy(_HASH).agg(F.max(_COPIES).alias(_COPIES), F.max(_OTHER_COPIES).alias(_OTHER_COPIES)))
     drop = (_HASH, _COPIES, _OTHER_COPIES)
@@ -128,9 +134,10 @@ def left_join(
     values = [name for name in right.columns if name not in on]
     # of a single row, the maximum is the value
     summary = right.groupBy(*on).agg(F.count(F.lit(1)).alias(_ROWS), *[F.max(name).alias(name) for name in values])
-    joined = spread_join(left, summary, on, "left", spread, min_slice_rows)
+    left_hot, right_hot = hot_keys(left, on, min_slice_rows), hot_keys(right, on, min_slice_rows)
+    joined = spread_join(left, summary, on, "left", spread, hot=left_hot)
     settled = joined.filter(F.coalesce(F.col(_ROWS), F.lit(1)) == 1).drop(_ROWS)
     several = joined.filter(F.col(_ROWS) > 1).drop(_ROWS, *values)
     keys = summary.filter(F.col(_ROWS) > 1).select(*on)
-    partners = spread_join(right, keys, on, "left_semi", right_spread, min_slice_rows)
-    return settled.unionByName(grid_join(several, partners, on, spread, right_spread, min_slice_rows))
+    partners = spread_join(right, keys, on, "left_semi", right_spread, hot=right_hot)
+    return settled.unionByName(grid_join(several, partners, on, spread, right_spread, left_hot=left_hot, right_hot=right_hot))
