@@ -1,7 +1,6 @@
 """Load requests, file ids, file checks, and round trips through the file formats."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from registry import query
 from registry import frames as R

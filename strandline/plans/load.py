@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.versions import require_version
 from strandline.operators.diff import rows_to_append
 from strandline.operators.files import require_file_ids, with_file_ids
 from strandline.operators.latest import outdated_rows
+from strandline.operators.rows import union_of_types
 from strandline.plans.store import Store
-from strandline.schemas import FILE_TYPES, version_date
+from strandline.schemas import ENTITY_TYPES, FILE_TYPES, STAGED, version_date
 from strandline.session import land
+from strandline.sources.staging import has_any_data
+from strandline.sources.tables import read_staged
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,19 @@ def staged_rows(preprocessed: DataFrame) -> DataFrame:
     return preprocessed.withColumn("version", require_version(F.col("version")))
 
 
+def read_exports(spark: SparkSession, out: str) -> DataFrame:
+    """The rows a preprocess job exported below ``out``, in the long form; absent types have no rows."""
+    folders = {entity_type: f"{out}/metadata/{entity_type}" for entity_type in ENTITY_TYPES}
+    tables = {
+        entity_type: read_staged(spark, folder, entity_type)
+        for entity_type, folder in folders.items() if has_any_data(spark, folder)
+    }
+    if not tables:
+        return spark.createDataFrame([], STAGED)
+    found = union_of_types(tables)
+    return found if "crc32c" in found.columns else found.withColumn("crc32c", F.lit(None).cast("string"))
+
+
 def inject_file_ids(staged: DataFrame, store: Store) -> DataFrame:
     """File rows with the ids of their loaded files; raises if one has no file and none elsewhere."""
     is_file = F.col("entity_type").isin(*FILE_TYPES)

@@ -67,6 +67,17 @@ ROWS = _struct(
     ("entity_type", _S, False),
     ("version_date", T.DateType(), False),
 )
+# staged rows of all types, before they have a row id
+STAGED = _struct(
+    ("entity_type", _S, False),
+    ("entity_id", _S, True),
+    ("version", _TS, True),
+    ("content", _S, True),
+    ("project_id", _S, True),
+    ("file_id", _S, True),
+    ("descriptor", _S, True),
+    ("crc32c", _S, True),
+)
 DOCUMENTS = _struct(
     ("area", _S, False),
     ("kind", _S, False),
@@ -81,7 +92,7 @@ LOAD_HISTORY = _struct(
     ("file_id", _S, True),
 )
 LOAD_REQUESTS = _struct(("source_path", _S, True), ("target_path", _S, True))
-TOMBSTONES = _struct(("entity_type", _S, False), ("row_id", _S, False))
+TOMBSTONES = _struct(("row_id", _S, False), ("entity_type", _S, False))
 JSON_SCHEMAS = _struct(("url", _S, False), ("schema_text", _S, True))
 ERRORS = _struct(
     ("errorType", _S, False), ("filePath", _S, False), ("fileName", _S, False), ("message", _S, False)

@@ -83,7 +83,8 @@ def append_rows(rows: DataFrame, path: str) -> None:
 
 
 def append_tombstones(tombstones: DataFrame, path: str) -> None:
-    tombstones.select("entity_type", "row_id").write.mode("append").parquet(path)
+    """Tombstones lie in a folder per type, so reading one type's live rows reads only its own."""
+    tombstones.select("row_id", "entity_type").write.mode("append").partitionBy("entity_type").parquet(path)
 
 
 def copy_by_type(rows: DataFrame, path: str, columns: Iterable[str] | None = None) -> None:

@@ -3,7 +3,6 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
 from strandline.functions import jsons, names, versions
 from strandline.functions.schema_check import violations
 

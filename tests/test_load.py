@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from staging import SCHEMAS, V1, V2, descriptor, links, process_link, schema, write_area
+from staging import SCHEMAS, V1, V2, descriptor, schema, write_area
 from strandline.operators.files import NullFileIdError
 from strandline.operators.rows import project_rows, rows_with_ids, tables_with_column, union_of_types, without_rows
 from strandline.plans import check as C
@@ -15,7 +15,7 @@ from strandline.plans import release as V
 from strandline.plans.load import inject_file_ids, load, resolve_stored_file_ids, staged_rows
 from strandline.plans.snapshot import create_snapshot, valid_snapshot_name
 from strandline.plans.store import Store
-from strandline.schemas import JSON_SCHEMAS, LOAD_HISTORY, TOMBSTONES, typed_view
+from strandline.schemas import JSON_SCHEMAS, typed_view
 
 
 def staged(spark, area, store, with_history=True):
@@ -76,6 +76,24 @@ def test_load_reload_and_newer_version(spark, folder, put):
     assert (counts.empty_links_count, counts.empty_projects_count, counts.has_problems) == (1, 1, True)
 
 
+def test_load_from_exports_and_control_file(spark, folder, put):
+    from strandline.plans.load import read_exports
+    from strandline.sinks.writers import write_ids
+
+    write_area(put)
+    store = Store(spark, f"{folder}/store")
+    direct = staged(spark, f"{folder}/area", store)
+    P.run(spark, [f"{folder}/area"], spark.createDataFrame(SCHEMAS, JSON_SCHEMAS), f"{folder}/out")
+    columns = ("entity_type", "entity_id", "version", "content", "project_id", "file_id", "descriptor")
+    exported = inject_file_ids(read_exports(spark, f"{folder}/out"), store)
+    assert values(exported, *columns) == values(direct, *columns)
+    assert read_exports(spark, f"{folder}/nothing").count() == 0
+    load(exported, store)
+    write_ids(store.raw().filter("entity_type = 'links'"), "row_id", f"{folder}/links-ids")
+    store.soft_delete_listed(f"{folder}/links-ids", "links")
+    assert store.live().count() == 6 and store.live().filter("entity_type = 'links'").count() == 0
+
+
 def test_null_file_id_aborts(spark, folder, put):
     write_area(put)
     store = Store(spark, f"{folder}/store")

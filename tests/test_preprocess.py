@@ -2,7 +2,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import values
 from staging import SCHEMAS, V1, descriptor, links, process_link, schema, write_area

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import values
 from strandline.operators import checks, inventory, release
