@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.names import base_name, parent
-from strandline.schemas import DOCUMENTS, LINKS
+from strandline.schemas import DOCUMENTS, LINKS, TOP_LEVEL_DIRS
 
 KINDS = ("metadata", "descriptors", "links")
 
@@ -24,6 +24,15 @@ def _existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return kept
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a path; for an area these are a handful of folders."""
+    if not _existing(spark, [path]):
+        return []
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(location)
+    return sorted(status.getPath().getName() for status in listed)
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     """The path as file listings spell it, scheme included."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -44,7 +53,7 @@ def _placed(spark: SparkSession, areas: Sequence[str], path: Column, tops: Seque
     cuts = F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1)))
     heads = F.transform(cuts, lambda n: F.concat_ws("/", F.slice(pieces, F.lit(1), n)))
     head = F.get(F.filter(heads, lambda text: lookup[text].isNotNull()), F.lit(0))
-    return lookup[head], F.substring(path, F.length(head) + 2, F.length(path))
+    return F.coalesce(lookup[head], lookup[parent(path)]), F.substring(path, F.length(head) + 2, F.length(path))
 
 
 def read_documents(
@@ -104,9 +113,21 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length")
 
 
+def has_file(spark: SparkSession, path: str, at_least: int = 0) -> bool:
+    """Is there a file of at least so many bytes below the path? Stops listing at the first one."""
+    if not _existing(spark, [path]):
+        return False
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(location, True)
+    while files.hasNext():
+        if files.next().getLen() >= at_least:
+            return True
+    return False
+
+
 def has_any_data(spark: SparkSession, path: str) -> bool:
     """Is any file below the path longer than zero bytes?"""
-    return not list_files(spark, path).filter(F.col("length") > 0).isEmpty()
+    return has_file(spark, path, at_least=1)
 
 
 def inventory(spark: SparkSession, areas: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -116,26 +137,23 @@ def inventory(spark: SparkSession, areas: Sequence[str]) -> tuple[DataFrame, Dat
     of a plain name still ends in ``.json``. Names without an underscore go to the second frame.
     """
     tops = ("data", *KINDS)
-    present = _existing(spark, areas)
-    if not present:
+    # the data files, by far the most, are not even listed
+    chosen = [f"{area.rstrip('/')}/{name}" for area in areas for name in _children(spark, area) if name != "data"]
+    if not chosen:
         empty = spark.createDataFrame([], "area string, top string, blob string, path string, entity string, version string")
         return empty, empty
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(present)).select("path")
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(chosen).select("path")
     blob = F.col("path")
     area, below = _placed(spark, areas, blob, tops)
     parts = F.split(base_name(blob), "_")
     files = scan.select(
         area.alias("area"), F.split(below, "/")[0].alias("top"), blob.alias("blob"), parent(blob).alias("path"),
         F.get(parts, F.lit(0)).alias("entity"), F.get(parts, F.lit(1)).alias("version"),
-    ).filter(F.col("top").isNull() | (F.col("top") != "data"))
+    )
     return files.filter("version is not null"), files.filter("version is null")
 
 
 def top_level(spark: SparkSession, areas: Sequence[str]) -> DataFrame:
-    """``area`` and top-level folder of every file, ``data/`` included."""
-    present = _existing(spark, areas)
-    if not present:
-        return spark.createDataFrame([], "area string, top string")
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(present)).select("path")
-    area, below = _placed(spark, areas, F.col("path"), ("data", *KINDS))
-    return scan.select(area.alias("area"), F.split(below, "/")[0].alias("top")).filter("area is not null")
+    """``area`` and each of the well-known folders that holds a file; listing stops at the first file."""
+    found = [(area, top) for area in areas for top in TOP_LEVEL_DIRS if has_file(spark, f"{area.rstrip('/')}/{top}")]
+    return spark.createDataFrame(found, "area string, top string")

@@ -186,6 +186,27 @@ def test_area_paths_with_odd_characters(spark, folder, put):
     assert unnamed.count() == 1
 
 
+def test_inventory_and_structure_of_areas(spark, folder, put):
+    from strandline.operators.checks import missing_directories
+    from strandline.operators.latest import outdated_files
+    from strandline.sources.staging import inventory, top_level
+
+    write_area(put)
+    put(f"area/metadata/project/proj1_2020-01-01T00:00:00.000000Z.json", {})
+    put("area/staging_area.json", {})
+    put("bare/links/x.json", {})
+    areas = [f"{folder}/area", f"{folder}/bare", f"{folder}/none"]
+    files, unnamed = inventory(spark, areas)
+    assert values(files.groupBy("area", "top").count()) == sorted([
+        (areas[0], "metadata", 7), (areas[0], "descriptors", 2), (areas[0], "links", 1), (areas[0], None, 1)],
+        key=lambda row: tuple((v is not None, str(v)) for v in row))
+    assert values(unnamed, "area", "top") == [(areas[1], "links")]
+    assert [row.version for row in outdated_files(files).collect()] == ["2020-01-01T00:00:00.000000Z.json"]
+    asked = spark.createDataFrame([(a,) for a in areas], "area string")
+    missing = [(areas[1], t) for t in ("data", "descriptors", "metadata")] + [(areas[2], t) for t in ("data", "descriptors", "links", "metadata")]
+    assert values(missing_directories(top_level(spark, areas), asked)) == sorted(missing)
+
+
 def test_absent_area_gives_no_documents(spark, folder):
     from strandline.sources.staging import has_any_data, read_documents
 
