@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the jobs are written for; all can be changed on a live session.
@@ -36,11 +39,33 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, found {zone}")
 
 
+_shipped: list[SparkContext] = []
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context, so that it need not be installed there."""
+    context = spark.sparkContext
+    if any(known is context for known in _shipped):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="strandline-"), "strandline-package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _shipped.append(context)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder from ``spark.checkpoint.dir``; a fresh local one only where unset."""
+    """The cluster's shared folder from ``spark.checkpoint.dir``; a fresh local one only where unset, and only on one machine."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if current is None and configured is None and not context.master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; the master is {context.master}")
     if current is None:
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="strandline-"))
         current = context.getCheckpointDir()

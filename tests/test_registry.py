@@ -18,10 +18,10 @@ IDS = (
 
 
 def test_every_operator_has_a_query_with_sql():
-    names = entry.queries().keys()
+    names = entry.registry.QUERIES
     covered = {re.match(r"[a-z]\d+", name).group() for name in names}
     assert covered == set(IDS)
-    assert set(entry.oracle_sql()) == set(names)
+    assert set(entry.registry.ORACLES) == set(names)
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALLEST), reason="given tables not present")
