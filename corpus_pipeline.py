@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import language, lines
+from strandline.llm import bpe, contamination, language, lines, neardup
 from strandline.llm.common import table
 from strandline.session import land
 
@@ -22,7 +22,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.filter(left).select(*(F.col("_text").alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
 
 
-STAGES = [("language ID", language_id), ("line dedup", line_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, the one of the least id; documents without words stay."""
+    return neardup.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark windows don't contaminate."""
+    return contamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, the token ids, and the digest of the bytes decoded from them."""
+    ids = bpe.encode(docs, keep=("doc_id", "lang", "source"))
+    back = bpe.decode(ids, keep=("doc_id", "lang", "source", "ids"))
+    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language ID", language_id), ("line dedup", line_dedup), ("near-dedup", near_dedup), ("decontamination", decontamination),
+    ("byte-level BPE", byte_bpe),
+]
 # The stages learn a model, verify similarities and fold merges, which SQL cannot express.
 ORACLE_SQL = None
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from strandline.llm import language, lines
+from strandline.llm import bpe, contamination, language, lines, neardup
 
 QUERIES = {
     "op4_line_dedup": lines.op4_line_dedup,
+    "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op8_order_minhash": neardup.op8_order_minhash,
+    "op9_positional_index": contamination.op9_positional_index,
     "op10_language_id": language.op10_language_id,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_positional_index": contamination.OP9_SQL}
