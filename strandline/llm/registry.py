@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, contamination, language, lines, neardup
+from strandline.llm import bpe, contamination, language, lines, neardup, quality, secrets
 
 QUERIES = {
     "op4_line_dedup": lines.op4_line_dedup,
+    "op5_token_efficiency": secrets.op5_token_efficiency,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op7_quality": quality.op7_quality,
     "op8_order_minhash": neardup.op8_order_minhash,
     "op9_positional_index": contamination.op9_positional_index,
     "op10_language_id": language.op10_language_id,
