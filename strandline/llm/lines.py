@@ -17,6 +17,7 @@ WIDTH = 8  # characters of a shingle
 BANDS, ROWS = 10, 4  # at a Jaccard similarity of 0.8 a pair meets in some band with a probability of 0.995
 THRESHOLD = 0.8
 
+_FACTORS = seeds(61)
 _SIGNED = "_f long, _r long, _id long, _line int, _a long, _b long, _keys array<long>"
 
 
@@ -47,12 +48,12 @@ def band_keys(lines: list[str], width: int = WIDTH, bands: int = BANDS, rows: in
         inside = np.arange(len(joined)) + overlap < np.repeat(ends, sizes)[: len(joined)]
         values, owner = joined[inside], owner[inside]
         spot = owner * bins + ((values >> np.uint64(40)) * np.uint64(bins) >> np.uint64(24)).astype(np.int64)
-        np.minimum.at(least, spot, mix(values ^ np.uint64(0x5851F42D4C957F2D)))
+        np.minimum.at(least, spot, values)
     for place, line in enumerate(lines):
         if len(line) < width or len(line) > BLOCK:
             own = np.concatenate([shingles(line[at : at + BLOCK + overlap], width) for at in range(0, max(1, len(line) - overlap), BLOCK)])
             spot = place * bins + ((own >> np.uint64(40)) * np.uint64(bins) >> np.uint64(24)).astype(np.int64)
-            np.minimum.at(least, spot, mix(own ^ np.uint64(0x5851F42D4C957F2D)))
+            np.minimum.at(least, spot, own)
     grid = least.reshape(len(lines), bins)
     empty = grid == np.iinfo(np.uint64).max
     filled = grid.copy()
@@ -117,7 +118,8 @@ def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pairs = land(candidate_pairs(signed.select(F.explode("_keys").alias("bucket"), F.col("_a").alias("id"))), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = maybe_in(lines.select(F.col("_a").alias("id"), "_text"), "id", key_filter(wanted, "id"))
-    texts = land(texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("_text").alias("t")), "texts")
+    # an inner join: a semi join would be moved below the filter, and all lines shuffled
+    texts = land(texts.join(wanted, "id").groupBy("id").agg(F.min("_text").alias("t")), "texts")
     sides = pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("right")), "b")
     sides = sides.join(texts.select(F.col("id").alias("a"), F.col("t").alias("left")), "a").select("a", "b", "left", "right")
     roots = components(sides.mapInArrow(_verify, "a long, b long"))
