@@ -39,7 +39,7 @@ def band_keys(lines: list[str], width: int = WIDTH, bands: int = BANDS, rows: in
     bins = bands * rows
     least = np.full(len(lines) * bins, np.iinfo(np.uint64).max, np.uint64)
     overlap = width - 1
-    for places, pieces in blocks(lines):
+    for places, pieces in blocks(lines, 1 << 15):  # small enough for the cache
         # one array for all pieces; shingles that straddle two pieces are left out
         joined = shingles("".join(pieces), width)
         sizes = np.array([len(piece) for piece in pieces])
