@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, contamination, language, lines, neardup, quality, secrets
+from strandline.llm import bpe, contamination, language, lines, neardup, neighbours, quality, secrets
 
 QUERIES = {
+    "op2_hnsw": neighbours.op2_hnsw,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_token_efficiency": secrets.op5_token_efficiency,
     "op6_byte_bpe": bpe.op6_byte_bpe,
