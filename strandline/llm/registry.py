@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, contamination, language, lines, neardup, neighbours, quality, secrets
+from strandline.llm import bpe, contamination, language, lines, neardup, neighbours, quality, secrets, toolcalls
 
 QUERIES = {
     "op2_hnsw": neighbours.op2_hnsw,
+    "op3_tool_calls": toolcalls.op3_tool_calls,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_token_efficiency": secrets.op5_token_efficiency,
     "op6_byte_bpe": bpe.op6_byte_bpe,
@@ -14,4 +15,4 @@ QUERIES = {
     "op9_positional_index": contamination.op9_positional_index,
     "op10_language_id": language.op10_language_id,
 }
-ORACLES: dict[str, str] = {"op9_positional_index": contamination.OP9_SQL}
+ORACLES: dict[str, str] = {"op3_tool_calls": toolcalls.OP3_SQL, "op9_positional_index": contamination.OP9_SQL}
