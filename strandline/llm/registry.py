@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, contamination, language, lines, neardup, neighbours, quality, secrets, toolcalls
+from strandline.llm import bpe, contamination, language, lines, neardup, neighbours, pii, quality, secrets, toolcalls
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_hnsw": neighbours.op2_hnsw,
     "op3_tool_calls": toolcalls.op3_tool_calls,
     "op4_line_dedup": lines.op4_line_dedup,
