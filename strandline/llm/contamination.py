@@ -53,7 +53,7 @@ def windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size
 
 def build_index(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """The stored index (_f, _r, term, place) of the given terms (word, term) over whole documents."""
-    places = keyed(docs, F.posexplode(raw_words(docs[text])).alias("place", "raw"))
+    places = keyed(docs, F.posexplode(raw_words(F.col(text))).alias("place", "raw"))
     named = places.select(*KEY, "place", lowered(F.col("raw")).alias("word"))
     return land(named.join(_sized(terms), "word").select(*KEY, "term", "place"), "index")
 
@@ -108,7 +108,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
         F.array_sort(F.collect_set(F.when(F.col("exact"), F.struct("start", "length")))).alias("_spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("exact"), F.col("items")))))).alias("_items"),
         F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("exact"), F.col("items"))))).alias("_near"))
-    rows = keyed(docs, F.size(raw_words(docs[text])).cast("long").alias("_n_words"))
+    rows = keyed(docs, F.size(raw_words(F.col(text))).cast("long").alias("_n_words"))
     none = F.array().cast("array<string>")
     joined = rows.join(by_row, list(KEY), "left").select(
         *KEY, "_n_words", F.coalesce(covered(F.col("_spans")), F.lit(0)).cast("long").alias("_n_hit"),
@@ -127,11 +127,11 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contamination of every document, and n_near, its items with a proximity match only."""
+    """The contamination of every document."""
     docs = table(spark, sf_dir, "documents")
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
     named = keyed(docs, F.col("doc_id")).join(found, list(KEY))
-    return named.select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near")))
+    return named.select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")))
 
 
 OP9_SQL = """

@@ -148,7 +148,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     gone = duplicate_lines(docs, doc_id, text)
     # the texts cross the join as arrays of lines, so that they are split once
-    rows = keyed(docs, F.struct(*(docs[c] for c in docs.columns if c != text)).alias("_row"), F.split(docs[text], "\n").alias("_parts"))
+    rows = keyed(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("_row"), F.split(F.col(text), "\n").alias("_parts"))
     joined = rows.join(gone, list(KEY), "left")
     n_lines = F.when(F.col("_parts").isNotNull(), F.size("_parts")).otherwise(0)
     stay = F.array_except(F.sequence(F.lit(0), n_lines - 1), "_lines")
