@@ -31,20 +31,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows as they lie in Parquet files: as given if they come straight from there, or else written to the
+    shared folder."""
+    try:
+        rows.select(rows.metadataColumn("_metadata")["row_index"]).schema  # noqa: B018  analysed here
+        return rows
+    except AnalysisException:
+        return land(rows, "rows")
+
+
 def keyed(rows: DataFrame, *columns: str | Column) -> DataFrame:
-    """The columns, and a key (_f, _r) of each row: a hash of its file's path and its place in the file.
+    """The columns, and a key (_f, _r) of each of the stored rows: a hash of its file's path and its place there.
 
-    The key stays the same however often and by whatever split the files are scanned. Rows that don't come
-    straight from Parquet files are written to the shared folder first.
+    The key stays the same however often and by whatever split the files are scanned.
     """
-    try:
-        meta = rows.metadataColumn("_metadata")
-        out = rows.select(
-            F.xxhash64(meta["file_path"]).alias("_f"), meta["row_index"].alias("_r"), *(columns or [F.struct("*").alias("_row")]))
-        out.schema  # noqa: B018  analysed here
-        return out
-    except AnalysisException:
-        return keyed(land(rows, "rows"), *columns)
+    meta = rows.metadataColumn("_metadata")
+    return rows.select(F.xxhash64(meta["file_path"]).alias("_f"), meta["row_index"].alias("_r"), *columns)
 
 
 def held_out(doc_id: Column) -> Column:

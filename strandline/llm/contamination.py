@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import KEY, key_filter, keyed, maybe_in, table
+from strandline.llm.common import KEY, key_filter, keyed, maybe_in, stored, table
 from strandline.session import land
 
 WINDOW = 13
@@ -100,6 +100,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     words or no id, have no window; copies of an item with one id count once. Repeated rows are counted
     each by itself. Without any window all documents are clean.
     """
+    docs = stored(docs)
     found = windows(items, item_id, item_text)
     terms = land(found.select(F.explode("words").alias("word")).distinct().select("word", F.monotonically_increasing_id().alias("term")), "terms")
     spelled = land(found.select("win", F.posexplode("words").alias("offset", "word")).join(terms, "word").select("win", "term", "offset"), "spelled")
@@ -122,6 +123,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated."""
+    docs = stored(docs)
     dirty = contamination(docs, items).filter("_contaminated").select(*KEY)
     return keyed(docs, F.struct("*").alias("_row")).join(_sized(dirty), list(KEY), "left_anti").select("_row.*")
 

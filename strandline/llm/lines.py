@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import BLOCK, KEY, arrow_schema, blocks, code_points, key_filter, keyed, maybe_in, mix, ready, seeds, table
+from strandline.llm.common import BLOCK, KEY, arrow_schema, blocks, code_points, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
 from strandline.llm.components import candidate_pairs, components
 from strandline.session import land
 
@@ -146,6 +146,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     one blank line. Repeated rows are documents of their own: the first keeps its lines. Other columns,
     whatever their names, stay as they are. An empty table gives an empty table.
     """
+    docs = stored(docs)
     gone = duplicate_lines(docs, doc_id, text)
     # the texts cross the join as arrays of lines, so that they are split once
     rows = keyed(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("_row"), F.split(F.col(text), "\n").alias("_parts"))

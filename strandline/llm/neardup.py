@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import KEY, arrow_schema, blocks, code_points, key_filter, keyed, maybe_in, mix, ready, seeds, table
+from strandline.llm.common import KEY, arrow_schema, blocks, code_points, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
 from strandline.llm.components import candidate_pairs, components
 from strandline.session import land
 
@@ -201,6 +201,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     spark = docs.sparkSession
     ready(spark)
+    docs = stored(docs)
     texts = keyed(docs, F.col(doc_id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
     signed = land(texts.mapInArrow(_sign, _SIGNED), "signed")
     # one row for all copies of a text
@@ -229,6 +230,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, one of each class; the least document id of a class stays."""
+    docs = stored(docs)
     first = near_classes(docs).filter("_first").select(*KEY)
     return keyed(docs, F.struct("*").alias("_row")).join(first, list(KEY), "left_semi").select("_row.*")
 
