@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
 import pandas as pd
@@ -11,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def parsed(text: Column) -> Column:
-    return F.try_parse_json(text)
+# Bytes of the longest document that the JVM's variant parser takes.
+PARSER_LIMIT = 128 * 1024 * 1024
 
 
-def is_json(text: Column) -> Column:
-    return parsed(text).isNotNull()
+def parsed(text: Column) -> Column:
+    return F.try_parse_json(text)
 
 
 def is_string_property(text: Column, name: str) -> Column:
@@ -53,8 +54,14 @@ def has_key(text: Column, name: str) -> Column:
 
 
 def canonical(text: Column) -> Column:
-    """A form that is equal for documents equal up to key order and number spelling."""
-    return F.coalesce(F.to_json(parsed(text)), text)
+    """A form that is equal for documents equal up to key order and number spelling.
+
+    Texts that are not JSON stand for themselves. Beyond the size that the parser takes the form is not
+    known, so such a document fails the job rather than being compared as raw text.
+    """
+    oversize = F.raise_error(F.concat(F.lit("document too large to compare: bytes "), F.octet_length(text))).cast("string")
+    raw = F.when(F.octet_length(text) > PARSER_LIMIT, oversize).otherwise(text)
+    return F.coalesce(F.to_json(parsed(text)), raw)
 
 
 def fingerprint(text: Column) -> Column:
@@ -66,8 +73,30 @@ def same_json(left: Column, right: Column) -> Column:
     return canonical(left) == canonical(right)
 
 
+def _no_constant(name: str) -> object:
+    raise ValueError(f"{name} is not JSON")
+
+
+def _finite(digits: str) -> float:
+    number = float(digits)
+    if math.isinf(number):
+        raise ValueError(f"{digits} is out of range")
+    return number
+
+
+def read_document(raw: str) -> object:
+    """The document in a text; NaN, infinities and numbers out of range are refused like other text that is not JSON."""
+    try:
+        return json.loads(raw, parse_constant=_no_constant, parse_float=_finite)
+    except RecursionError as error:
+        raise ValueError("nested too deeply") from error
+
+
 def compact_text(document: object) -> str:
-    return json.dumps(document, separators=(",", ":"), ensure_ascii=False)
+    """Compact encoding; refuses text that has no UTF-8 form (half of a surrogate pair)."""
+    text = json.dumps(document, separators=(",", ":"), ensure_ascii=False)
+    text.encode("utf-8")
+    return text
 
 
 def compact(text: Column) -> Column:
@@ -77,7 +106,7 @@ def compact(text: Column) -> Column:
     def encode(texts: pd.Series) -> pd.Series:
         def one(raw):
             try:
-                return None if raw is None else compact_text(json.loads(raw))
+                return None if raw is None else compact_text(read_document(raw))
             except ValueError:
                 return None
 

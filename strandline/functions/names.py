@@ -49,14 +49,19 @@ def require_project_id_in(text: Column) -> Column:
     return F.coalesce(project_id_in(text), complaint.cast("string"))
 
 
+def stripped(text: Column) -> Column:
+    """A text without outer white space of any kind."""
+    return F.regexp_replace(text, r"^(?U)\s+|(?U)\s+$", "")
+
+
 def clean_path(path: Column) -> Column:
-    """Blanks and outer slashes removed."""
-    return F.regexp_replace(F.trim(path), "^/+|/+$", "")
+    """Outer white space and slashes removed."""
+    return F.regexp_replace(stripped(path), "^/+|/+$", "")
 
 
 def clean_area_line(line: Column) -> Column:
     """A manifest line without its trailing newline and slash characters and without outer blanks."""
-    return F.regexp_replace(F.regexp_replace(line, r"[\n/]+$", ""), r"^\s+|\s+$", "")
+    return stripped(F.regexp_replace(line, r"[\n/]+$", ""))
 
 
 def is_bucket_path(path: Column) -> Column:

@@ -15,6 +15,19 @@ MISSING_KEY = "required key [{key}] not found"
 EXTRA_KEY = "extraneous key [{key}] is not permitted"
 BAD_PATTERN = "string [{value}] does not match pattern {pattern}"
 BAD_ENUM = "{value} is not a valid enum value"
+UNSUPPORTED = "constraint [{key}] is not supported"
+FORBIDDEN = "no value is permitted"
+# Constraints of JSON schemas that are not checked; keywords outside the standard constrain nothing.
+UNCHECKED = {
+    "$ref", "additionalItems", "allOf", "anyOf", "const", "contains", "dependencies", "dependentRequired", "dependentSchemas", "else",
+    "exclusiveMaximum", "exclusiveMinimum", "if", "maxItems", "maxLength", "maxProperties", "maximum", "minItems", "minLength", "minProperties",
+    "minimum", "multipleOf", "not", "oneOf", "patternProperties", "prefixItems", "propertyNames", "then", "unevaluatedItems",
+    "unevaluatedProperties", "uniqueItems",
+}
+
+
+class BadSchema(Exception):
+    """A schema that cannot be applied."""
 
 
 def type_of(value: object) -> str:
@@ -40,10 +53,26 @@ def _same(value: object, allowed: object) -> bool:
     return type_of(value) == type_of(allowed) and value == allowed
 
 
+def _found(pattern: str, value: str) -> bool:
+    try:
+        return re.search(pattern, value) is not None
+    except (re.error, TypeError) as error:
+        raise BadSchema(str(error)) from error
+
+
 def violations(value: object, schema: object, where: str = "#") -> Iterator[str]:
-    """One message per violation of ``type, required, properties, items, enum, pattern, additionalProperties``."""
+    """One message per violation of ``type, required, properties, items, enum, pattern, additionalProperties``.
+
+    A constraint of another kind is named in a message of its own, so that nothing
+    passes unseen. A pattern that cannot be read makes the schema a bad one.
+    """
+    if schema is False:
+        yield f"{where}: {FORBIDDEN}"
     if not isinstance(schema, dict):
         return
+    for key in schema:
+        if key in UNCHECKED:
+            yield f"{where}: {UNSUPPORTED.format(key=key)}"
     wanted = schema.get("type")
     if wanted is not None:
         options = wanted if isinstance(wanted, list) else [wanted]
@@ -54,7 +83,7 @@ def violations(value: object, schema: object, where: str = "#") -> Iterator[str]
     allowed = schema.get("enum")
     if allowed is not None and not any(_same(value, option) for option in allowed):
         yield f"{where}: {BAD_ENUM.format(value=value)}"
-    if isinstance(value, str) and "pattern" in schema and not re.search(schema["pattern"], value):
+    if isinstance(value, str) and "pattern" in schema and not _found(schema["pattern"], value):
         yield f"{where}: {BAD_PATTERN.format(value=value, pattern=schema['pattern'])}"
     if isinstance(value, list) and "items" in schema:
         for index, item in enumerate(value):

@@ -18,10 +18,6 @@ def row_count(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def rows_by_type(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("entity_type").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def empty_table(rows: DataFrame) -> DataFrame:
     """1 if there are no rows, else 0."""
     return rows.agg(F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint").alias("n_problems"))

@@ -13,16 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import messages as M
-from strandline.functions.jsons import compact_text, is_json, is_string_property, scalar
+from strandline.functions.jsons import compact_text, is_string_property, read_document, scalar
 from strandline.functions.names import name_parts
-from strandline.functions.schema_check import violations
-from strandline.operators.files import load_requests, with_file_fields
+from strandline.functions.schema_check import BadSchema, violations
+from strandline.operators.files import load_requests, with_file_fields, without_request
 from strandline.operators.skew import spread_join
 from strandline.schemas import FILE_TYPES, LINKS, NON_FILE_TYPES
 
 FILE_KEY = ("area", "entity_type", "file_name")
 # A schema registry up to this many bytes is held by every Python worker; a larger one is joined.
 REGISTRY_LIMIT = 32 * 1024 * 1024
+# Parsed schemas a task remembers.
+SCHEMAS_HELD = 1000
 
 
 def expected_documents(documents: DataFrame) -> DataFrame:
@@ -74,10 +76,15 @@ def name_errors(named: DataFrame) -> DataFrame:
 
 
 def with_missing_property(documents: DataFrame, *names: str, text: str = "value") -> DataFrame:
-    """``missing``: the first of ``names`` that is not a string property of the document, or null."""
+    """``missing``: the first of ``names`` that is not a string property of the document, or null.
+
+    Documents that went through ``with_report`` carry the names of their string properties; others are parsed.
+    """
+    reported = "strings" in documents.columns
     reason: Column = F.lit(None).cast("string")
     for name in reversed(names):
-        reason = F.when(~is_string_property(F.col(text), name), F.lit(name)).otherwise(reason)
+        held = F.coalesce(F.array_contains("strings", name), F.lit(False)) if reported else is_string_property(F.col(text), name)
+        reason = F.when(~held, F.lit(name)).otherwise(reason)
     return documents.withColumn("missing", reason)
 
 
@@ -95,74 +102,81 @@ def complete_descriptors(documents: DataFrame, text: str = "value") -> tuple[Dat
 # --- schema validation -----------------------------------------------------------------------------
 
 
-def _report_column(value: Column, url: Column, schema_text: Column, registry: object) -> Column:
-    """Struct of the compact document and its findings; parses each document once."""
+def _report_column(value: Column, schema_text: Column, registry: object) -> Column:
+    """Struct of the compact document, its findings and its string properties; parses each document once."""
 
     loaded: dict[str, object] = {}
+    not_json, not_found, not_loaded, violation = M.TEXT_NOT_JSON, M.TEXT_SCHEMA_NOT_FOUND, M.TEXT_SCHEMA_NOT_LOADED, M.TEXT_VIOLATION
 
     def schema_for(name: str, text: str | None):
         known = registry.value if registry is not None else None
         source = known.get(name) if known is not None else text
         if source is None:
-            return None, M.TEXT_SCHEMA_NOT_FOUND % name
+            return None, not_found % name
         if name not in loaded:
+            if len(loaded) >= SCHEMAS_HELD:
+                loaded.clear()
             try:
                 loaded[name] = json.loads(source)
             except ValueError:
                 loaded[name] = None
         schema = loaded[name]
-        return schema, None if isinstance(schema, dict) else M.TEXT_SCHEMA_NOT_LOADED % name
+        return schema, None if isinstance(schema, (dict, bool)) else not_loaded % name
 
-    def examine(raw: str | None, name: str | None, text: str | None):
+    def examine(raw: str | None, text: str | None):
         try:
-            document, readable = json.loads(raw), True
+            document = read_document(raw)
+            content = compact_text(document)
         except (TypeError, ValueError):
-            document, readable = None, False
-        content = compact_text(document) if readable else None
-        if name is None:
-            return content, None if readable else M.TEXT_NOT_JSON
+            return None, not_json, None
+        strings = [key for key, held in document.items() if isinstance(held, str)] if isinstance(document, dict) else []
+        if "describedBy" not in strings:
+            return content, None, strings
+        name = document["describedBy"]
         schema, problem = schema_for(name, text)
-        if problem is None and not readable:
-            problem = M.TEXT_NOT_JSON
         if problem is None:
-            found = ",".join(violations(document, schema))
-            problem = M.TEXT_VIOLATION % (name, found) if found else None
-        return content, problem
-
-    @F.pandas_udf("content string, finding string")
-    def report(values: pd.Series, urls: pd.Series, texts: pd.Series) -> pd.DataFrame:
+            try:
+                found = ",".join(violations(document, schema))
+                problem = violation % (name, found) if found else None
+            except BadSchema:
+                problem = not_loaded % name
+        return content, problem, strings
+
+    @F.pandas_udf("content string, finding string, strings array<string>")
+    def report(values: pd.Series, texts: pd.Series) -> pd.DataFrame:
         def clean(series: pd.Series) -> pd.Series:
             return series.astype(object).where(series.notna(), None)
 
-        rows = [examine(*row) for row in zip(clean(values), clean(urls), clean(texts))]
-        return pd.DataFrame(rows, columns=["content", "finding"])
+        rows = [examine(*row) for row in zip(clean(values), clean(texts))]
+        return pd.DataFrame(rows, columns=["content", "finding", "strings"])
 
-    return report(value, url, schema_text)
+    return report(value, schema_text)
 
 
 def with_report(documents: DataFrame, schemas: DataFrame, registry_limit: int = REGISTRY_LIMIT) -> DataFrame:
-    """``value`` replaced by ``content`` (compact text, null if not JSON) and ``finding`` (message or null).
+    """``value`` replaced by ``content`` (compact text, null if not JSON), ``finding`` (message or null) and
+    ``strings`` (names of the top-level string properties).
 
     Documents without a ``describedBy`` string have no schema to be checked against. One action
     measures the schema table: if its text fits ``registry_limit`` every worker gets all of it,
     else the schema text is joined to the documents by url.
     """
     spark = documents.sparkSession
-    described = F.when(is_string_property(F.col("value"), "describedBy"), scalar(F.col("value"), "$.describedBy"))
-    keyed = documents.withColumn("url", described)
     known = schemas.filter("url is not null").groupBy("url").agg(F.max("schema_text").alias("schema_text"))
     size = known.agg(F.sum(F.octet_length("url") + F.octet_length("schema_text"))).first()[0] or 0
     no_text = F.lit(None).cast("string")
     if size <= registry_limit:
         registry = spark.sparkContext.broadcast({row.url: row.schema_text for row in known.toLocalIterator()})
-        source = keyed
-        report = _report_column(F.col("value"), F.col("url"), no_text, registry)
+        source = documents
+        report = _report_column(F.col("value"), no_text, registry)
     else:
+        # whether the property is a string shows when the document is parsed
+        keyed = documents.withColumn("url", F.get_json_object("value", "$.describedBy"))
         source = spread_join(keyed, known, ["url"], "left", ["area", "file_name"])
-        report = _report_column(F.col("value"), F.col("url"), F.col("schema_text"), None)
+        report = _report_column(F.col("value"), F.col("schema_text"), None)
     columns = [F.col(name) for name in documents.columns if name != "value"]
     reported = source.select(*columns, report.alias("report"))
-    return reported.select(*columns, "report.content", "report.finding")
+    return reported.select(*columns, "report.content", "report.finding", "report.strings")
 
 
 def schema_errors(reported: DataFrame) -> DataFrame:
@@ -253,7 +267,8 @@ def reshape(reported: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     named_links = with_links_name(readable.filter(kind == "links"))
 
     rows = metadata_rows(named_metadata).unionByName(file_rows(named_pairs)).unionByName(links_rows(named_links))
-    requests = load_requests(descriptors.select("area", "entity_type", F.col("content").alias("descriptor")))
+    described = descriptors.select(*FILE_KEY, "kind", F.col("content").alias("descriptor"))
+    requests = load_requests(described)
     # a descriptor that was dropped as incomplete is not validated
     validated = with_missing_property(
         reported.filter((kind != "descriptors") | F.col("content").isNull()).unionByName(descriptors),
@@ -263,6 +278,7 @@ def reshape(reported: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         property_errors(validated.filter("content is not null"))
         .unionByName(schema_errors(validated))
         .unionByName(descriptor_errors)
+        .unionByName(property_errors(without_request(described).withColumn("missing", F.lit("file_id"))))
         .unionByName(mismatches)
         .unionByName(name_errors(named_metadata))
         .unionByName(name_errors(named_pairs))
@@ -271,11 +287,6 @@ def reshape(reported: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return rows, requests, errors
 
 
-def unreadable(documents: DataFrame) -> DataFrame:
-    """Documents that are not JSON."""
-    return documents.filter(~is_json(F.col("value")))
-
-
 def no_match_warnings(documents: DataFrame, areas: DataFrame) -> DataFrame:
     """A warning for each expected file pattern of each area that no document matches."""
     places = [("metadata", t) for t in NON_FILE_TYPES + FILE_TYPES] + [("descriptors", t) for t in FILE_TYPES]

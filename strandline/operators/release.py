@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.jsons import fingerprint
-from strandline.functions.names import clean_path, is_bucket_path, project_id_in, require_project_id_in
+from strandline.functions.names import clean_path, is_bucket_path, project_id_in, require_project_id_in, stripped
 from strandline.functions.versions import require_version
 from strandline.operators.files import loaded_history, with_file_fields
 from strandline.operators.skew import spread_join
@@ -30,9 +30,9 @@ def intake_areas(intake: DataFrame, roots: DataFrame, release_tag: str | None =
     exactly one project UUID and paths outside a bucket fail the job.
     """
     lines = intake.select(
-        F.upper(F.trim("institution")).alias("institution"),
-        F.trim("project_id").alias("project_text"),
-        F.lower(F.trim("managed_access")).alias("managed_access"),
+        F.upper(stripped(F.col("institution"))).alias("institution"),
+        stripped(F.col("project_id")).alias("project_text"),
+        F.lower(stripped(F.col("managed_access"))).alias("managed_access"),
     )
     # every line must name one project, also where the text itself becomes the entry
     checked = lines.withColumn("found_id", require_project_id_in(F.col("project_text")))

@@ -69,9 +69,10 @@ def _same_dates(existing: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 def load(staged: DataFrame, store: Store, against: str = "live") -> LoadResult:
-    """Append what the store lacks, then soft-delete older versions in the tables that got new rows.
+    """Append what the store lacks, then soft-delete older versions in the tables that rows are staged for.
 
-    ``against='raw'`` compares with removed rows too, so those are not appended again.
+    A load that broke off after its append is completed by the next run of the same rows: there is nothing
+    to append then, but older versions are still removed. ``against='raw'`` compares with removed rows too, so those are not appended again.
     """
     if against not in ("live", "raw"):
         raise ValueError(f"against must be live or raw, not {against}")
@@ -79,10 +80,11 @@ def load(staged: DataFrame, store: Store, against: str = "live") -> LoadResult:
     new_rows = land(rows_to_append(staged, _same_dates(existing, staged)), "new-rows")
     # at most one entry per entity type
     appended = {row.entity_type: row["count"] for row in new_rows.groupBy("entity_type").count().collect()}
-    if not appended:
-        return LoadResult({}, {})
-    store.append(new_rows.drop("area", "crc32c"))
-    return LoadResult(appended, clear_outdated(store, sorted(appended)))
+    if appended:
+        store.append(new_rows.drop("area", "crc32c"))
+    # a few dozen types at most
+    present = sorted(row.entity_type for row in staged.select("entity_type").distinct().collect())
+    return LoadResult(appended, clear_outdated(store, present) if present else {})
 
 
 def clear_outdated(store: Store, entity_types: Sequence[str]) -> dict[str, int]:

@@ -12,7 +12,7 @@ from strandline.functions.messages import error_counts
 from strandline.operators import documents as D
 from strandline.schemas import id_column, is_file_type
 from strandline.session import land
-from strandline.sinks.writers import write_errors, write_json_by_type, write_json_rows
+from strandline.sinks.writers import write_errors, write_json_rows
 from strandline.sources.staging import read_documents
 
 
@@ -75,11 +75,6 @@ def write_outputs(result: Preprocessed, out: str) -> None:
     write_json_rows(result.warnings, f"{out}/warnings")
 
 
-def write_combined(result: Preprocessed, out: str) -> None:
-    """The same rows as one newline-JSON table with a folder per type, in a single job."""
-    write_json_by_type(result.rows, f"{out}/rows")
-
-
 def require_no_errors(errors: DataFrame) -> None:
     """Raises if there are errors; call it after the outputs are written."""
     counts = {row.errorType: row.n_errors for row in error_counts(errors).collect()}

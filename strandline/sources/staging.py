@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,20 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in listed)
 
 
+def _empty_files(spark: SparkSession, folders: Iterable[str]) -> list[str]:
+    """Zero-byte ``.json`` files below the folders, which Spark's scans leave out; one listing call per folder."""
+    jvm, conf, found, todo = spark._jvm, spark._jsc.hadoopConfiguration(), [], list(folders)
+    while todo:
+        location = jvm.org.apache.hadoop.fs.Path(todo.pop())
+        listed = jvm.scala.runtime.ScalaRunTime.stringOf(location.getFileSystem(conf).listStatus(location))
+        for path, is_folder, length in re.findall(r"\{path=(.*?); isDirectory=(true|false);(?: length=(\d+);)?", listed):
+            if is_folder == "true":
+                todo.append(path)
+            elif length == "0" and path.endswith(".json"):
+                found.append(path)
+    return sorted(found)
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     """The path as file listings spell it, scheme included."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -64,7 +79,7 @@ def read_documents(
 ) -> DataFrame:
     """All ``.json`` documents of the areas in one scan: the ``DOCUMENTS`` columns plus path and size.
 
-    Absent folders give no rows, and neither do zero-byte files, which Spark leaves out of every scan.
+    Absent folders give no rows. Zero-byte files, which Spark leaves out of every scan, are rows with an empty text.
     ``entity_types`` narrows the scan to the folders of those types.
     """
     roots = [
@@ -78,12 +93,14 @@ def read_documents(
         return spark.createDataFrame([], DOCUMENTS).withColumns(
             {"file_path": F.lit("").cast("string"), "file_size": F.lit(0).cast("bigint")}
         )
-    scan = spark.read.text(present, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
-    path = _decoded(F.col("_metadata.file_path"))
+    texts = spark.read.text(present, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    scan = texts.select(_decoded(F.col("_metadata.file_path")).alias("file_path"), F.col("_metadata.file_size").alias("file_size"), "value")
+    if empty := _empty_files(spark, present):
+        scan = scan.unionByName(spark.createDataFrame([(path, 0, "") for path in empty], scan.schema))
+    path = F.col("file_path")
     area, below = _placed(spark, areas, path, KINDS)
     located = scan.select(
-        area.alias("area"), F.split(below, "/").alias("steps"), path.alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"), "value",
+        area.alias("area"), F.split(below, "/").alias("steps"), "file_path", "file_size", "value",
     )
     kind = F.col("steps")[0]
     # metadata and descriptors have a folder per type; a file lying beside those folders has no type

@@ -46,9 +46,9 @@ def links(*items, **extra):
 def write_area(put, area="area", version=V1):
     """A sound area: one project with a process and a supplementary file."""
     any_doc = {"describedBy": schema("any")}
-    put(f"{area}/metadata/project/proj1_{version}.json", {**any_doc, "title": "bräîn"})
+    put(f"{area}/metadata/project/proj1_{version}.json", {**any_doc, "title": "Ærø"})
     put(f"{area}/metadata/analysis_process/proc1_{version}.json", any_doc)
-    put(f"{area}/metadata/cell_line/cell1_{version}.json", {**any_doc, "ncbi_taxon_id": [960600000000]})
+    put(f"{area}/metadata/cell_line/cell1_{version}.json", {**any_doc, "cells": [712345678901]})
     put(f"{area}/metadata/analysis_protocol/prot1_{version}.json", {"describedBy": schema("protocol"), "computational_method": "m"})
     put(f"{area}/metadata/analysis_file/file1_{version}.json", any_doc)
     put(f"{area}/metadata/supplementary_file/sup1_{version}.json", any_doc)

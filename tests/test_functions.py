@@ -31,10 +31,10 @@ def test_versions(spark):
 
 
 def test_project_ids_in_paths(spark):
-    single = "foo/b/ar/bbaz/4d6f6c96-2a83-43d8-8fe1-0f53bffd4674//bar/bar"
-    texts = [single, single + "/88ec040b-8705-4f77-8f41-f81e57632f7d", "example", single.upper(), single.replace("-", "")]
+    single = "shelf//x/0b1c2d3e-4f50-4a6b-9c7d-00112233aabb/end"
+    texts = [single, single + "/9f8e7d6c-5b4a-4392-8170-ffeeddccbbaa", "example", single.upper(), single.replace("-", "")]
     assert column(spark, texts, names.project_id_in) == [
-        "4d6f6c96-2a83-43d8-8fe1-0f53bffd4674", None, None, "4D6F6C96-2A83-43D8-8FE1-0F53BFFD4674", "4d6f6c962a8343d88fe10f53bffd4674"]
+        "0b1c2d3e-4f50-4a6b-9c7d-00112233aabb", None, None, "0B1C2D3E-4F50-4A6B-9C7D-00112233AABB", "0b1c2d3e4f504a6b9c7d00112233aabb"]
     with pytest.raises(Exception, match="exactly one project UUID"):
         column(spark, ["example"], names.require_project_id_in)
 
@@ -98,11 +98,11 @@ def test_names_of_datasets(spark):
     import re
 
     dataset = names.dataset_name_pattern("atlas")
-    assert re.search(dataset, "atlas_dev_6da7595859864507839b6d75875925fb__20200812")
+    assert re.search(dataset, "atlas_dev_0b1c2d3e4f504a6b9c7d00112233aabb__20190305")
     assert not re.search(dataset, "fake_dataset_name")
     earlier, current = names.snapshot_name_patterns(["atlas", "lung"])
-    assert re.search(current, "lung_prod_6da7595859864507839b6d75875925fb__20200812_20210101_r1")
-    assert re.search(earlier, "atlas_prod_20200812_q_6da75958-5986-4507-839b-6d75875925fb__20210101")
+    assert re.search(current, "lung_prod_0b1c2d3e4f504a6b9c7d00112233aabb__20190305_20210101_r1")
+    assert re.search(earlier, "atlas_prod_20190305_q_0b1c2d3e-4f50-4a6b-9c7d-00112233aabb__20210101")
     assert not any(re.search(p, "atlas_dev_20201120_r2__20210701_r7") for p in (earlier, current))
     lit = F.lit
     moment = lit("2021-02-03").cast("date")
@@ -110,4 +110,4 @@ def test_names_of_datasets(spark):
     assert one(spark, made) == "atlas_prod_ab__20200101_dq_20210203_r1"
     plain = names.project_snapshot_name(lit("atlas"), lit("prod"), lit("a-b"), lit("atlas_prod_ab__20200101_dq"), moment, lit(None).cast("string"), lit(""))
     assert one(spark, plain) == "atlas_prod_ab__20200101_20210203"
-    assert one(spark, names.full_view_name(lit("d"), moment, lit("steve"))) == "d___20210203_steve"
+    assert one(spark, names.full_view_name(lit("d"), moment, lit("tuesday"))) == "d___20210203_tuesday"

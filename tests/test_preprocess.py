@@ -24,8 +24,8 @@ def reshape(spark, schemas, *rows, **options):
 
 
 def test_plain_document_becomes_row(spark, schemas):
-    rows, _, _ = reshape(spark, schemas, ("p", "metadata", "project", "entityId_version.json", '{"beep": "boop"}'))
-    assert values(P.typed_json(rows, "project")) == [("entityId", "version", '{"beep":"boop"}')]
+    rows, _, _ = reshape(spark, schemas, ("p", "metadata", "project", "e-17_t-9.json", '{"colour": "green"}'))
+    assert values(P.typed_json(rows, "project")) == [("e-17", "t-9", '{"colour":"green"}')]
 
 
 def test_empty_document(spark, schemas):
@@ -33,21 +33,21 @@ def test_empty_document(spark, schemas):
     assert values(P.typed_json(rows, "project")) == [("id", "version", "{}")]
 
 
-@pytest.mark.parametrize("name", ["some-id_some-version.numbers123_12-34_fun.csv", "a-directory/sub_directory/x_y_z.json"])
+@pytest.mark.parametrize("name", ["lane_2_part.7_r1.tsv", "plates/well_b/spots_q.txt"])
 def test_file_document_joins_descriptor(spark, schemas, name):
-    meta = {"file_core": {"file_name": name, "format": "csv", "file_provenance": {"crc32c": "54321zyx"}}, "schema_type": "file"}
-    desc = {"file_name": name, "file_id": "my-file-id", "file_version": "v", "crc32c": "54321zyx", "schema_type": "file_descriptor"}
+    meta = {"file_core": {"file_name": name, "format": "csv", "file_provenance": {"crc32c": "0a9bff41"}}, "schema_type": "file"}
+    desc = {"file_name": name, "file_id": "f-88", "file_version": "v", "crc32c": "0a9bff41", "schema_type": "file_descriptor"}
     rows, requests, _ = reshape(
         spark, schemas,
-        ("some/dir", "metadata", "sequence_file", "123_456.json", json.dumps(meta, indent=1)),
-        ("some/dir", "descriptors", "sequence_file", "123_456.json", json.dumps(desc, indent=1)),
+        ("shelf/nine", "metadata", "sequence_file", "123_456.json", json.dumps(meta, indent=1)),
+        ("shelf/nine", "descriptors", "sequence_file", "123_456.json", json.dumps(desc, indent=1)),
     )
     tight = dict(separators=(",", ":"))
     assert values(P.typed_json(rows, "sequence_file")) == [
-        ("123", "456", json.dumps(meta, **tight), "54321zyx", json.dumps(desc, **tight))
+        ("123", "456", json.dumps(meta, **tight), "0a9bff41", json.dumps(desc, **tight))
     ]
     assert values(requests, "source_path", "target_path") == [
-        (f"some/dir/data/{name}", f"/v1/my-file-id/54321zyx/{name}")
+        (f"shelf/nine/data/{name}", f"/v1/f-88/0a9bff41/{name}")
     ]
 
 
@@ -60,11 +60,11 @@ def test_links_document(spark, schemas):
 
 
 def test_validation_changes_nothing(spark, schemas):
-    body = {"organ": {"text": "bräîn"}, "biomaterial_core": {"ncbi_taxon_id": [960600000000]}, "describedBy": schema("none")}
+    body = {"place": {"label": "Zürich søndag"}, "sizes": {"steps": [712345678901]}, "describedBy": schema("none")}
     text = json.dumps(body, ensure_ascii=False, indent=4)
     rows, _, errors = reshape(spark, schemas, ("p", "metadata", "organoid", "a_1.json", text))
     assert json.loads(rows.first().content) == body
-    assert "bräîn" in rows.first().content and "960600000000" in rows.first().content
+    assert "Zürich søndag" in rows.first().content and "712345678901" in rows.first().content
     assert values(errors, "errorType", "message") == [("SchemaValidationError", f"No schema found at {schema('none')}")]
 
 
@@ -221,4 +221,64 @@ def test_empty_files(spark, folder, put):
     assert not has_any_data(spark, f"{folder}/area")
     put("area/metadata/project/b_1.json", "{}")
     assert has_any_data(spark, f"{folder}/area")
-    assert values(read_documents(spark, [f"{folder}/area"]), "file_name") == [("b_1.json",)]
+    assert values(read_documents(spark, [f"{folder}/area"]), "file_name", "value", "file_size") == [("a_1.json", "", 0), ("b_1.json", "{}", 2)]
+
+
+@pytest.mark.parametrize("text", ['{"a": NaN}', '{"a": -Infinity}', '{"a": 1e999}', '{"a": "\\ud800"}', "", "[" * 100_000])
+def test_text_that_is_no_writable_json_is_reported(spark, schemas, text):
+    good = ("p", "metadata", "project", "b_1.json", '{"describedBy": "%s"}' % schema("any"))
+    rows, _, errors = reshape(spark, schemas, ("p", "metadata", "project", "a_1.json", text), good)
+    assert [row.entity_id for row in rows.collect()] == ["b"]
+    assert values(errors, "fileName", "message") == [("a_1.json", "Unable to parse data into json for file")]
+
+
+def test_descriptors_without_a_file_id_are_reported_and_not_requested(spark, schemas):
+    bodies = [descriptor(None, "x.csv"), descriptor("f1", "y.csv"), {k: v for k, v in descriptor("", "z.csv").items() if k != "file_id"}]
+    bodies.append({k: v for k, v in descriptor("", "w.csv", drs_uri="drs://w").items() if k != "file_id"})
+    rows = [("p", "descriptors", "image_file", f"{i}_1.json", json.dumps(body)) for i, body in enumerate(bodies)]
+    _, requests, errors = reshape(spark, schemas, *rows)
+    assert values(requests, "target_path") == [("/v1/f1/c1/y.csv",)]
+    found = values(errors.filter("errorType = 'MissingPropertyError'"), "fileName", "message")
+    assert found == [("0_1.json", "File has no file_id property."), ("2_1.json", "File has no file_id property.")]
+
+
+def test_constraints_that_are_not_checked_are_named(spark):
+    known = [("u", '{"minProperties": 1, "properties": {"a": {"$ref": "x"}}, "title": "t"}'), ("v", '{"properties": {"a": {"pattern": "\\\\p{L}"}}}'), ("w", "false")]
+    table = spark.createDataFrame(known, JSON_SCHEMAS)
+    rows = [("p", "metadata", "project", f"{url}_1.json", json.dumps({"describedBy": url, "a": "b"})) for url, _ in known]
+    _, _, errors = reshape(spark, table, *rows)
+    assert values(errors, "fileName", "message") == [
+        ("u_1.json", "Data in file does not conform to schema from u; #: constraint [minProperties] is not supported,#/a: constraint [$ref] is not supported"),
+        ("v_1.json", "Schema not loaded properly for schema at v"),
+        ("w_1.json", "Data in file does not conform to schema from w; #: no value is permitted"),
+    ]
+
+
+def test_empty_documents_are_reported_with_the_others(spark, folder, put, schemas):
+    write_area(put)
+    put(f"area/metadata/cell_line/void_{V1}.json", "")
+    put(f"area/links/void_{V1}_proj1.json", "")
+    result = P.preprocess(spark, [f"{folder}/area"], schemas)
+    assert values(result.errors, "fileName", "message") == [
+        (f"void_{V1}.json", "Unable to parse data into json for file"), (f"void_{V1}_proj1.json", "Unable to parse data into json for file")]
+
+
+def test_workers_need_no_installed_package(folder):
+    """The same in a process started elsewhere, without the package on the workers' path."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import importlib.util, sys\n"
+        f"spec = importlib.util.spec_from_file_location('entry', {root!r} + '/__spark_entry__.py')\n"
+        "entry = importlib.util.module_from_spec(spec); spec.loader.exec_module(entry)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        "for name in ('v1_schema_validation', 'p4_file_rows', 'k7_error_log'):\n"
+        "    print(name, entry.queries()[name](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    path = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, env=path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert len(done.stdout.split()) == 6

@@ -6,7 +6,7 @@ from strandline.sinks import writers
 from strandline.sources.manifests import read_intake, read_project_list, read_release_manifest
 from strandline.sources.tables import read_json_rows, read_new_rows, read_staged
 
-UUIDS = [f"4d6f6c96-2a83-43d8-8fe1-{i:012x}" for i in range(50)]
+UUIDS = [f"0b1c2d3e-4f50-4a6b-9c7d-{i:012x}" for i in range(50)]
 
 
 @pytest.fixture
@@ -24,6 +24,12 @@ def test_intake(spark, put, roots):
     assert values(tagged, "entry") == [(f"{UUIDS[0]},r1",), (f"{UUIDS[1]},r1",), (f"x/{UUIDS[0]}/y,r1",)]
 
 
+def test_intake_with_white_space_of_all_kinds(spark, put, roots):
+    path = put("intake.csv", f"EBI\t, {UUIDS[0]}\t,no\t\n\u00a0lattice,\t{UUIDS[1]},\tYES\n")
+    assert values(release.intake_areas(read_intake(spark, path), roots), "entry", "public") == [
+        (f"gs://one/prod/{UUIDS[0]}", True), (f"gs://two/staging/{UUIDS[1]}", False)]
+
+
 @pytest.mark.parametrize("line,complaint", [
     (f"nowhere,{UUIDS[0]},no", "unknown institution"), ("EBI,none,no", "exactly one project UUID"),
     (f"EBI,{UUIDS[0]}", "(?i)malformed"), (f"EBI,{UUIDS[0]},no,more", "(?i)malformed"),
