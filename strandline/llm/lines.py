@@ -31,29 +31,31 @@ def shingles(text: str, width: int = WIDTH) -> np.ndarray:
     return mix(total)
 
 
-def band_keys(lines: list[str], width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """The band keys of each line: one permutation of its shingles dealt to bands x rows bins, least of each bin.
-
-    A bin without a shingle takes the next filled one's value, changed by the distance.
-    """
-    bins = bands * rows
-    least = np.full(len(lines) * bins, np.iinfo(np.uint64).max, np.uint64)
+def line_shingles(lines: list[str], width: int = WIDTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, hashes) of the shingles of many lines, in blocks that fit the cache; places index the lines."""
     overlap = width - 1
-    for places, pieces in blocks(lines, 1 << 15):  # small enough for the cache
+    for places, pieces in blocks(lines, 1 << 15):
         # one array for all pieces; shingles that straddle two pieces are left out
         joined = shingles("".join(pieces), width)
         sizes = np.array([len(piece) for piece in pieces])
-        ends = np.cumsum(sizes)
         owner = np.repeat(np.array(places), sizes)[: len(joined)]
-        inside = np.arange(len(joined)) + overlap < np.repeat(ends, sizes)[: len(joined)]
-        values, owner = joined[inside], owner[inside]
-        spot = owner * bins + ((values >> np.uint64(40)) * np.uint64(bins) >> np.uint64(24)).astype(np.int64)
-        np.minimum.at(least, spot, values)
+        inside = np.arange(len(joined)) + overlap < np.repeat(np.cumsum(sizes), sizes)[: len(joined)]
+        yield owner[inside], joined[inside]
     for place, line in enumerate(lines):
-        if len(line) < width or len(line) > BLOCK:
+        if len(line) < width or len(line) > 1 << 15:  # shorter than a shingle, or in pieces
             own = np.concatenate([shingles(line[at : at + BLOCK + overlap], width) for at in range(0, max(1, len(line) - overlap), BLOCK)])
-            spot = place * bins + ((own >> np.uint64(40)) * np.uint64(bins) >> np.uint64(24)).astype(np.int64)
-            np.minimum.at(least, spot, own)
+            yield np.full(len(own), place), own
+
+
+def band_keys(lines: list[str], width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """The band keys of each line: one permutation of its shingles dealt to bands x rows bins, least of each bin.
+
+    A bin without a shingle takes the next filled one's value, changed by the distance.
+    """
+    bins = bands * rows
+    least = np.full(len(lines) * bins, np.iinfo(np.uint64).max, np.uint64)
+    for owner, values in line_shingles(lines, width):
+        np.minimum.at(least, owner * bins + ((values >> np.uint64(40)) * np.uint64(bins) >> np.uint64(24)).astype(np.int64), values)
     grid = least.reshape(len(lines), bins)
     empty = grid == np.iinfo(np.uint64).max
     filled = grid.copy()
@@ -70,6 +72,27 @@ def band_keys(lines: list[str], width: int = WIDTH, bands: int = BANDS, rows: in
     return mix(keys + seeds(bands, 11)[None, :])
 
 
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """The distinct shingles of each line, sorted; sorted all at once."""
+    found = list(line_shingles(lines))
+    if not found:
+        return []
+    owner, values = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((values, owner))
+    owner, values = owner[order], values[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    owner, values = owner[fresh], values[fresh]
+    return np.split(values, np.searchsorted(owner, np.arange(1, len(lines))))
+
+
+def shared(left: np.ndarray, right: np.ndarray) -> int:
+    """How many values two sorted arrays without repeats have in common."""
+    small, large = sorted((left, right), key=len)
+    spots = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int(np.count_nonzero(large[spots] == small))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(_SIGNED)
     for batch in batches:
@@ -86,19 +109,20 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept, cache = [], {}
-        for a, b, left, right in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            sets = []
-            for key, text in ((a, left), (b, right)):
-                if (key, text) not in cache:
-                    if len(cache) > 200:
-                        cache.clear()
-                    cache[key, text] = np.unique(shingles(text))
-                sets.append(cache[key, text])
-            shared = len(np.intersect1d(*sets, assume_unique=True))
-            if shared >= THRESHOLD * (len(sets[0]) + len(sets[1]) - shared):
-                kept.append((a, b))
-        yield pa.record_batch([pa.array([x[i] for x in kept], pa.int64()) for i in (0, 1)], ["a", "b"])
+        left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
+        names = {text: place for place, text in enumerate(dict.fromkeys(left + right))}
+        sets = shingle_sets(list(names))
+        keep = []
+        for a, b in zip(left, right):
+            one, other = sets[names[a]], sets[names[b]]
+            both = len(one) + len(other)
+            # of sets that differ too much in size no more than the smaller can be shared
+            if (1 + THRESHOLD) * min(len(one), len(other)) >= THRESHOLD * both:
+                n = shared(one, other)
+                keep.append(n >= THRESHOLD * (both - n))
+            else:
+                keep.append(False)
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def split_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
