@@ -77,6 +77,18 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# Paths of the tables landed by this process, in order.
+LANDED: list[str] = []
+
+
+def remove_landed(spark: SparkSession, paths: list[str]) -> None:
+    """Delete landed tables that nothing reads any more."""
+    for path in paths:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+        LANDED.remove(path)
+
+
 def pin(frame: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint so later stages read one stable result."""
     shared_dir(frame.sparkSession)
@@ -91,4 +103,5 @@ def land(frame: DataFrame, label: str, *partition_cols: str) -> DataFrame:
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
+    LANDED.append(path)
     return spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
