@@ -14,16 +14,17 @@ import sys
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import ready, table
+from strandline.llm.common import frugal, ready, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-WORDS_HELD = 400_000  # distinct words whose ids a worker remembers before it starts anew
+WORDS_HELD = 200_000  # distinct words whose ids a worker remembers before it starts anew
 WORD_BYTES = 200  # longer words are not remembered
 
 
@@ -98,20 +99,24 @@ class Coder:
         self.ranks, self.split, self.words = ranks, regex.compile(pattern), {}
         self.pieces = {rank: piece for piece, rank in ranks.items()}
 
-    def encode(self, text: str) -> list[int]:
+    def encode_packed(self, text: str) -> bytes:
+        """The ids of a text as unsigned numbers of 32 bits, in the machine's order of bytes."""
         ids, words = [], self.words
         for match in self.split.finditer(text):
             word = match.group()
             known = words.get(word)
             if known is None:
                 raw = word.encode("utf-8", "surrogatepass")
-                known = merge(raw, self.ranks)
+                known = array("I", merge(raw, self.ranks)).tobytes()
                 if len(raw) <= WORD_BYTES:
                     if len(words) >= WORDS_HELD:
                         words.clear()
                     words[word] = known
-            ids += known
-        return ids
+            ids.append(known)
+        return b"".join(ids)
+
+    def encode(self, text: str) -> list[int]:
+        return array("I", self.encode_packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.pieces[i] for i in ids])
@@ -137,6 +142,7 @@ def _over_batches(rows: DataFrame, column: str, kept: list[str], names: list[str
     inner = rows.select(F.struct(*(kept or [F.lit(1).alias("one")])).alias("_kept"), F.col(column).alias("_in"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         coder = _coder(token, lambda: shared.value)
         for batch in batches:
             yield pa.record_batch([batch.column(0), *work(coder, batch.column(1).to_pylist())], ["_kept", *names])
@@ -161,27 +167,24 @@ def decode(rows: DataFrame, ids: str = "ids", keep: tuple[str, ...] = (), path:
 
 
 def _encode(coder: Coder, texts: list[str | None]) -> list[pa.Array]:
-    return [pa.array([coder.encode(text or "") for text in texts], pa.list_(pa.int32()))]
+    packed = [coder.encode_packed(text or "") for text in texts]
+    ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
+    return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))]
 
 
 def _decode(coder: Coder, arrays: list[list[int] | None]) -> list[pa.Array]:
     return [pa.array([coder.decode(ids or []) for ids in arrays], pa.large_binary())]
 
 
-def _words(ids: list[int]) -> bytes:
-    """The ids as little-endian unsigned numbers of 32 bits."""
-    packed = array("I", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
-
-
 def _digests(coder: Coder, texts: list[str | None]) -> list[pa.Array]:
     counts, of_ids, of_bytes = [], [], []
     for text in texts:
-        ids = coder.encode(text or "")
+        packed = array("I", coder.encode_packed(text or ""))
+        ids = packed.tolist()
         counts.append(len(ids))
-        of_ids.append(hashlib.sha256(_words(ids)).hexdigest())
+        if sys.byteorder == "big":
+            packed.byteswap()
+        of_ids.append(hashlib.sha256(packed).hexdigest())
         of_bytes.append(hashlib.sha256(coder.decode(ids)).hexdigest())
     return [pa.array(counts, pa.int64()), pa.array(of_ids, pa.large_string()), pa.array(of_bytes, pa.large_string())]
 

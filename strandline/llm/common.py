@@ -27,6 +27,12 @@ def ready(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
+def frugal() -> None:
+    """Let a worker give freed Arrow memory back to the system, as workers are used again by later stages."""
+    if pa.default_memory_pool().backend_name != "system":
+        pa.set_memory_pool(pa.system_memory_pool())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm.common import frugal
 from strandline.session import land
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (bucket, id): each id with its bucket's first and its predecessor there, and the
     task's first (a, b = first id, bucket; edge true), to be linked with the tasks before."""
+    frugal()
     last_bucket = last_id = first_id = None
     for batch in batches:
         bucket, ids = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import arrow_schema, blocks, code_points, held_out, ready, table
+from strandline.llm.common import blocks, code_points, frugal, held_out, ready, table
 from strandline.session import land
 
 SEGMENT = 256  # symbols; texts are parsed in segments of this length, each starting a new phrase
@@ -183,28 +183,29 @@ def predict(rows: DataFrame, model: LanguageModel, text: str = "text", keep: tup
     ready(spark)
     pickled = pickle.dumps(model)
     shared, token = spark.sparkContext.broadcast(pickled), hashlib.sha1(pickled).hexdigest()
-    inner = rows.select(F.struct(*(keep or [F.lit(1).alias("one")])).alias("_kept"), F.col(text).cast("string").alias("_text"))
-    schema = f"_kept {inner.schema['_kept'].dataType.simpleString()}, lang_pred string, score double, phrase_length double"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("lang_pred string, score double, phrase_length double")
+    def identify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        frugal()
         parser = _parser(token, shared.value)
         cost = np.log(np.maximum(2, np.array(parser.model.sizes, float)))
         names = np.array([*parser.model.langs, UNKNOWN], object)
-        for batch in batches:
-            found, symbols, letters = parser.phrases(batch.column(1).to_pylist())
+        for texts in batches:
+            found, symbols, letters = parser.phrases(texts.to_pylist())
             none = (letters == 0) | (found.shape[1] == 0)
-            best, score = np.full(len(none), len(names) - 1), np.zeros(len(none))
+            best, score, fewest = np.full(len(none), len(names) - 1), np.zeros(len(none)), np.zeros(len(none))
             if found.shape[1]:
+                fewest = found.min(axis=1)
                 best = np.where(none, best, found.argmin(axis=1))
-                gap = (found - found.min(axis=1, keepdims=True)) * cost[None, :]
+                gap = (found - fewest[:, None]) * cost[None, :]
                 score = np.where(none, 0.0, 1 / np.exp(-np.minimum(gap, 700)).sum(axis=1))
-            fewest = found.min(axis=1) if found.shape[1] else np.zeros(len(none), int)
-            yield pa.record_batch([
-                batch.column(0), pa.array(names[best], pa.large_string()), pa.array(score),
-                pa.array(np.where(none, 0.0, symbols / np.maximum(1, fewest)))], ["_kept", "lang_pred", "score", "phrase_length"])
+            length = np.where(none, 0.0, symbols / np.maximum(1, fewest))
+            yield pa.StructArray.from_arrays(
+                [pa.array(names[best], pa.string()), pa.array(score), pa.array(length)], names=["lang_pred", "score", "phrase_length"])
 
-    done = inner.mapInArrow(run, schema)
-    return done.select(*([f"_kept.{c}" for c in keep]), "lang_pred", "score", "phrase_length")
+    # only the text goes to the workers
+    found = rows.select(*keep, identify(F.col(text).cast("string")).alias("_found"))
+    return found.select(*keep, "_found.lang_pred", "_found.score", "_found.phrase_length")
 
 
 def learnable(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import BLOCK, KEY, arrow_schema, blocks, code_points, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
+from strandline.llm.common import BLOCK, KEY, arrow_schema, blocks, code_points, frugal, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
 from strandline.llm.components import candidate_pairs, components
 from strandline.session import land
 
@@ -94,6 +94,7 @@ def shared(left: np.ndarray, right: np.ndarray) -> int:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frugal()
     schema = arrow_schema(_SIGNED)
     for batch in batches:
         lines, hashes = batch.column("_text").to_pylist(), batch.column("_a").to_numpy(zero_copy_only=False)
@@ -108,6 +109,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frugal()
     for batch in batches:
         left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
         names = {text: place for place, text in enumerate(dict.fromkeys(left + right))}

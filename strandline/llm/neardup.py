@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import KEY, arrow_schema, blocks, code_points, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
+from strandline.llm.common import KEY, arrow_schema, blocks, code_points, frugal, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
 from strandline.llm.components import candidate_pairs, components
 from strandline.session import land
 
@@ -149,6 +149,7 @@ def similar(left: np.ndarray, right: np.ndarray) -> bool:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frugal()
     for batch in batches:
         texts = batch.column("_text").to_pylist()
         n, keys = np.zeros(len(texts), np.int64), np.zeros((len(texts), BANDS), np.uint64)
@@ -177,6 +178,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frugal()
     last = (None, None)
     for batch in batches:
         kept = []
