@@ -254,11 +254,8 @@ def read_documents(s, d):
 @query("s7_has_any_data", "SELECT count(*) > 0 AS has_data, false AS has_data_if_empty FROM supplier")
 def has_any_data(s, d):
     area = staging_area(s, d)
-
-    def any_data(path):
-        return staging.list_files(s, path).agg(F.coalesce(F.bool_or(F.col("length") > 0), F.lit(False)).alias("has_data"))
-
-    return any_data(f"{area}/metadata/project").withColumn("has_data_if_empty", any_data(f"{area}/metadata/cell_line").scalar())
+    found = [staging.has_any_data(s, f"{area}/metadata/{name}") for name in ("project", "cell_line")]
+    return s.createDataFrame([tuple(found)], "has_data boolean, has_data_if_empty boolean")
 
 
 @query("s8_skip_empty_files", "SELECT 'project' AS entity_type, count(*) AS n_files FROM supplier")

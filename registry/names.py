@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry import frames as R
+from strandline.operators import files
 from strandline.functions import jsons, names, versions
 
 query("f1_compact_json", """
@@ -29,7 +30,7 @@ def json_scalars(s, d):
 
 
 query("f3_string_concat", "SELECT '/v1/' || o_orderkey || '/' || o_custkey || '/' || o_orderpriority AS target_path FROM orders")(
-    lambda s, d: R.table(s, d, "orders").select(R.order_path().alias("target_path")))
+    lambda s, d: R.table(s, d, "orders").select(files.target_path(R.text("o_orderkey"), R.text("o_custkey"), F.col("o_orderpriority")).alias("target_path")))
 
 query("f4_not_like", "SELECT doc_id FROM documents WHERE text NOT LIKE '%the%'")(
     lambda s, d: R.table(s, d, "documents").filter(~F.col("text").like("%the%")).select("doc_id"))

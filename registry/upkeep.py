@@ -6,16 +6,16 @@ from registry import query
 from registry import frames as R
 from strandline.operators import checks, latest, subgraphs
 from strandline.operators import rows as rows_ops
-from strandline.plans import load, snapshot
+from strandline.plans import check, load, snapshot
 from strandline.plans.store import Store
 from strandline.session import work_path
 
 
-def _dataset(s, d):
+def _dataset(s, d, version=None):
     """A data set of file rows (events), links (orders) and projects (some of the customers)."""
     null = F.lit(None).cast("string")
     files = R.table(s, d, "events").select(
-        F.col("event_type").alias("entity_type"), R.text("user_id").alias("entity_id"), F.date_trunc("day", "ts").cast("timestamp").alias("version"),
+        F.col("event_type").alias("entity_type"), R.text("user_id").alias("entity_id"), (F.date_trunc("day", "ts").cast("timestamp") if version is None else version).alias("version"),
         F.col("props").alias("content"), null.alias("project_id"),
         F.when(F.col("value") > 20, F.concat(F.lit("f"), R.text("event_id"))).alias("file_id"), F.col("props").alias("descriptor"),
         F.concat(F.lit("e"), F.lpad(R.text("event_id"), 12, "0")).alias("row_id"))
@@ -85,52 +85,87 @@ query("d8_removal_of_a_project", """
     lambda s, d: rows_ops.live_rows(
         _orders_as_rows(s, d), rows_ops.tombstones_for(rows_ops.project_rows(_orders_as_rows(s, d), "1-URGENT"))).select("row_id"))
 
-query("d3_soft_delete", R.with_ctes("entities", """
+def _store_of(s, rows):
+    """A store that holds the rows, each with its own row id as its content, for the store gives new ones."""
+    store = Store(s, work_path(s, "store"))
+    store.append(rows.withColumn("content", F.col("row_id")).drop("row_id"))
+    return store
+
+
+@query("d3_soft_delete", R.with_ctes("entities", """
     SELECT entity_type, row_id FROM entities
-    QUALIFY version = max(version) OVER (PARTITION BY entity_type, entity_id)"""))(
-    lambda s, d: rows_ops.live_rows(
-        R.entities(s, d), rows_ops.tombstones_for(latest.outdated_rows(R.entities(s, d)))).select("entity_type", "row_id"))
+    QUALIFY version = max(version) OVER (PARTITION BY entity_type, entity_id)"""))
+def soft_delete(s, d):
+    rows = R.entities(s, d).withColumn("version", F.col("version").cast("timestamp"))
+    store = _store_of(s, rows)
+    store.soft_delete(latest.outdated_rows(store.live()))
+    return store.live().select("entity_type", F.col("content").alias("row_id"))
 
 
 @query("d4_check_and_remove", """
     SELECT * FROM (SELECT event_type AS entity_type, CAST(event_id AS VARCHAR) AS content_id FROM events
-                   QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY CAST(ts AS DATE) DESC, event_id DESC) = 1 AND value > 20)
+                   QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1 AND value > 20)
     UNION ALL SELECT 'links', CAST(o_orderkey AS VARCHAR) FROM orders
     UNION ALL SELECT 'project', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 500""")
 def check_and_remove(s, d):
     """Duplicates and null file references go; dangling links stay."""
-    rows = _dataset(s, d)
-    kept = rows_ops.live_rows(rows, rows_ops.tombstones_for(checks.problem_rows(rows)))
-    key = F.regexp_replace("row_id", "^(o|c|e0*)", "")
-    return kept.select("entity_type", F.when(key == "", "0").otherwise(key).alias("content_id"))
+    rows = _dataset(s, d, F.col("ts").cast("timestamp"))
+    store = _store_of(s, rows)
+    check.remove_problems(store)
+    key = F.regexp_replace("content", "^(o|c|e0*)", "")
+    return store.live().select("entity_type", F.when(key == "", "0").otherwise(key).alias("content_id"))
 
 
-def _loaded_store(s, d):
-    store = Store(s, work_path(s, "store"))
-    events = R.table(s, d, "events").select(
+def _events(s, d):
+    return R.table(s, d, "events").select(
         F.col("event_type").alias("entity_type"), R.text("user_id").alias("entity_id"), F.col("ts").cast("timestamp").alias("version"),
         F.col("props").alias("content"), F.lit("a").alias("area"), F.lit("c").alias("crc32c"), "value")
-    load.load(events.filter("value < 50").drop("value"), store)
-    return store, events.drop("value")
 
 
+def _loaded_store(s, d):
+    """A store with all events loaded."""
+    store = Store(s, work_path(s, "store"))
+    load.load(_events(s, d).drop("value"), store)
+    return store
+
+
+def _later(s, d):
+    """The events of a value above 50 a day later."""
+    return _events(s, d).filter("value > 50").drop("value").withColumn("version", F.expr("version + interval 1 day"))
+
+
+_LATER = """SELECT event_type, user_id, ts, props FROM events
+    UNION ALL SELECT event_type, user_id, ts + INTERVAL 1 DAY, props FROM events WHERE value > 50"""
 SQL_LIVE = f"""
     SELECT event_type AS entity_type, CAST(user_id AS VARCHAR) AS entity_id, {R.SQL_VERSION.format('ts')} AS version, props AS content
-    FROM events QUALIFY ts = max(ts) OVER (PARTITION BY event_type, user_id)"""
+    FROM ({_LATER}) QUALIFY ts = max(ts) OVER (PARTITION BY event_type, user_id)"""
 LIVE = ("entity_type", "entity_id", "version", "content")
 
 
+def _live(store):
+    return store.live().withColumn("version", R.version_text(F.col("version"))).select(*LIVE)
+
+
 @query("d5_upsert_load", SQL_LIVE)
 def upsert_load(s, d):
-    """Part of the events, then all of them: only the newest version of each id is live."""
-    store, events = _loaded_store(s, d)
-    load.load(events, store)
-    return store.live().withColumn("version", R.version_text(F.col("version"))).select(*LIVE)
+    """All events, then later versions of some: only the newest version of each id is live."""
+    store = _loaded_store(s, d)
+    load.load(_later(s, d), store)
+    return _live(store)
+
+
+@query("d5_load_after_a_break", SQL_LIVE)
+def load_after_a_break(s, d):
+    """The same where the second load broke off after its append and is run again."""
+    store = _loaded_store(s, d)
+    store.append(_later(s, d).drop("area", "crc32c"))
+    load.load(_later(s, d), store)
+    return _live(store)
 
 
-@query("d5_second_load_appends_nothing", "SELECT count(*) AS n_rows FROM (SELECT DISTINCT event_type, user_id, ts FROM events WHERE value < 50)")
+@query("d5_second_load_appends_nothing", "SELECT count(*) AS n_rows FROM (SELECT DISTINCT event_type, user_id, ts FROM events)")
 def second_load(s, d):
-    store, _ = _loaded_store(s, d)
+    store = _loaded_store(s, d)
     staged = store.raw().drop("row_id", "version_date").withColumns({"area": F.lit("a"), "crc32c": F.lit("c")})
     load.load(staged, store, against="raw")
     return checks.row_count(store.raw())
@@ -138,13 +173,57 @@ def second_load(s, d):
 
 @query("d6_full_view_snapshot", f"""
     SELECT event_type AS entity_type, CAST(user_id AS VARCHAR) AS entity_id, {R.SQL_VERSION.format('ts')} AS version, props AS content
-    FROM events WHERE value < 50 QUALIFY ts = max(ts) OVER (PARTITION BY event_type, user_id)""")
+    FROM events QUALIFY ts = max(ts) OVER (PARTITION BY event_type, user_id)""")
 def full_view_snapshot(s, d):
-    store, _ = _loaded_store(s, d)
-    copy = snapshot.create_snapshot(store, work_path(s, "snapshots"), "atlas_dev___20240101")
+    copy = snapshot.create_snapshot(_loaded_store(s, d), work_path(s, "snapshots"), "atlas_dev___20240101")
     return copy.withColumn("version", R.version_text(F.col("version"))).select(*LIVE)
 
 
+def _linked(s, d, project_id):
+    """Links of one project in the long form, one for each id, and the entities that they name."""
+    links = R.links_rows(s, d).select(F.lit("links").alias("entity_type"), F.col("links_id").alias("entity_id"), F.lit(project_id).alias("project_id"), "content")
+    links = links.groupBy("entity_type", "entity_id", "project_id").agg(F.min("content").alias("content"))
+    named = subgraphs.expected_entities(subgraphs.subgraph_nodes(subgraphs.links_of(links)))
+    return links, named.filter("entity_type <> 'links'").select("entity_type", "entity_id")
+
+
+def _passes(job, *arguments):
+    try:
+        job(*arguments)
+        return True
+    except (subgraphs.SubgraphError, check.DatasetProblems):
+        return False
+
+
+@query("v7_require_single_project", R.with_ctes("link_nodes", "loaded", """
+    SELECT 'complete' AS given, true AS passes
+    UNION ALL SELECT 'loaded', (SELECT count(*) FROM (SELECT entity_type, entity_id FROM link_nodes EXCEPT SELECT entity_type, entity_id FROM loaded)) = 0
+    UNION ALL SELECT 'another project', false"""))
+def require_single_project(s, d):
+    links, named = _linked(s, d, "P")
+    complete = links.unionByName(named, allowMissingColumns=True)
+    loaded = links.unionByName(R.loaded_entities(s, d), allowMissingColumns=True)
+    found = [("complete", _passes(check.require_single_project, complete, "P")), ("loaded", _passes(check.require_single_project, loaded, "P")),
+             ("another project", _passes(check.require_single_project, complete, "Q"))]
+    return s.createDataFrame(found, "given string, passes boolean")
+
+
+@query("v11_require_copy", R.with_ctes("link_nodes", "loaded", """
+    SELECT 'complete' AS given, (SELECT count(*) > 0 FROM link_nodes) AS passes UNION ALL SELECT 'another project', false UNION ALL SELECT 'doubled', false"""))
+def require_copy(s, d):
+    links, named = _linked(s, d, "P")
+    null = F.lit(None).cast("string")
+    rows = links.unionByName(named.withColumns({"project_id": null, "content": F.lit("{}")})).unionByName(
+        s.createDataFrame([("project", "P", None, "{}")], "entity_type string, entity_id string, project_id string, content string"))
+    rows = rows.distinct().withColumns({"version": F.lit("2024-01-01").cast("timestamp"), "file_id": F.lit("f"), "descriptor": F.lit("{}"), "row_id": null})
+    store = Store(s, work_path(s, "store"))
+    store.append(rows.drop("row_id"))
+    found = [("complete", _passes(check.require_copy, store, "P")), ("another project", _passes(check.require_copy, store, "Q"))]
+    store.append(rows.drop("row_id"))
+    found.append(("doubled", _passes(check.require_copy, store, "P")))
+    return s.createDataFrame(found, "given string, passes boolean")
+
+
 @query("v11_copied_dataset", R.with_ctes("link_nodes", "loaded", """
     SELECT (SELECT count(*) FROM (SELECT DISTINCT project_id FROM link_nodes)) - 1 AS other_projects,
            (SELECT count(*) FROM (SELECT entity_type, entity_id FROM link_nodes EXCEPT SELECT entity_type, entity_id FROM loaded)) AS missing,

@@ -122,14 +122,6 @@ def read_descriptors(spark: SparkSession, areas: Sequence[str], entity_types: Se
     return found.select("area", "entity_type", "file_name", F.col("value").alias("descriptor"))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path`` and ``length`` of all files below a path, zero-byte files left out; contents are not read."""
-    if not _existing(spark, [path]):
-        return spark.createDataFrame([], "path string, length long")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length")
-
-
 def has_file(spark: SparkSession, path: str, at_least: int = 0) -> bool:
     """Is there a file of at least so many bytes below the path? Stops listing at the first one."""
     if not _existing(spark, [path]):
