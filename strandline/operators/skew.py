@@ -141,3 +141,12 @@ def left_join(
     keys = summary.filter(F.col(_ROWS) > 1).select(*on)
     partners = spread_join(right, keys, on, "left_semi", right_spread, hot=right_hot)
     return settled.unionByName(grid_join(several, partners, on, spread, right_spread, left_hot=left_hot, right_hot=right_hot))
+
+
+# Keys up to this count are sent to every executor (about 100 bytes each).
+BROADCAST_KEYS = 500_000
+
+
+def small(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
+    """The keys, to be broadcast if a count finds few of them, so that what they are joined to stays in place."""
+    return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else keys

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.operators.skew import spread_join
+from strandline.operators.skew import small, spread_join
 from strandline.schemas import LINKS, LINKS_CONTENT
 
 # The two kinds of link.
@@ -151,9 +151,13 @@ def project_report(links: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def verify_projects(projects: DataFrame, links: DataFrame, loaded: DataFrame) -> DataFrame:
-    """``project_report`` for each project of a list; one without links is not verified."""
+    """``project_report`` for each project of a list; one without links is not verified.
+
+    Only the links of the list's projects are opened.
+    """
     asked = projects.select("project_id").distinct()
-    report = asked.join(project_report(links, loaded), "project_id", "left")
+    own = links.join(small(asked), "project_id", "left_semi")
+    report = asked.join(project_report(own, loaded), "project_id", "left")
     filled = report.fillna(0, ["n_links", "n_expected", "n_missing", "n_problems"])
     return filled.withColumn("verified", F.coalesce(F.col("verified"), F.lit(False)))
 
