@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import mix, ready, table
 from strandline.session import land
 
-SHARD = 2048  # vectors of a shard
+SHARD = 8192  # vectors of a shard, at most
 LINKS = 16  # neighbours of a node on the upper layers; twice as many on the lowest
 BEAM = 64  # nodes kept while searching the lowest layer
 BLOCK_BYTES = 32 << 20  # of the query vectors sent to the shards at once
@@ -48,8 +48,8 @@ def node_levels(n: int, vectors: np.ndarray) -> np.ndarray:
 def build(vectors: np.ndarray) -> Graph:
     """The graph of distinct vectors of length one.
 
-    On each layer the candidates of a node are its nearest there, found by one product of matrices, as a
-    shard is small; of these it keeps neighbours nearer to itself than to one kept before, then fills up
+    On each layer the candidates of a node are its nearest there, found by products of blocks of rows with all
+    of the shard, as it is small; of these it keeps neighbours nearer to itself than to one kept before, then fills up
     with the nearest left, and links run both ways.
     """
     n = len(vectors)
@@ -65,26 +65,29 @@ def build(vectors: np.ndarray) -> Graph:
 
 def _link(vectors: np.ndarray, nodes: np.ndarray, links: np.ndarray) -> np.ndarray:
     width, own = links.shape[1], vectors[nodes]
-    near = own @ own.T
-    np.fill_diagonal(near, -np.inf)
     wanted = min(len(nodes) - 1, 2 * width)
     if wanted < 1:
         return links
-    picked = np.argpartition(-near, wanted - 1, axis=1)[:, :wanted]
-    order = np.take_along_axis(near, picked, axis=1).argsort(axis=1)[:, ::-1]
-    picked = np.take_along_axis(picked, order, axis=1)
     out: list[list[int]] = []
-    for at, row in enumerate(picked.tolist()):
-        kept: list[int] = []
-        left: list[int] = []
-        for other in row:
-            if len(kept) == width // 2:
-                break
-            if kept and near[other, kept].max() > near[at, other]:
-                left.append(other)
-            else:
-                kept.append(other)
-        out.append(kept + left[: width // 2 - len(kept)])
+    for start in range(0, len(nodes), 512):
+        near = own[start : start + 512] @ own.T
+        near[np.arange(len(near)), np.arange(start, start + len(near))] = -np.inf
+        picked = np.argpartition(-near, wanted - 1, axis=1)[:, :wanted]
+        close = np.take_along_axis(near, picked, axis=1)
+        order = close.argsort(axis=1)[:, ::-1]
+        picked, close = np.take_along_axis(picked, order, axis=1), np.take_along_axis(close, order, axis=1)
+        for row, near_row in zip(picked, close):
+            among = own[row] @ own[row].T  # how near the candidates are to one another
+            kept: list[int] = []
+            left: list[int] = []
+            for at in range(wanted):
+                if len(kept) == width // 2:
+                    break
+                if kept and among[at, kept].max() > near_row[at]:
+                    left.append(at)
+                else:
+                    kept.append(at)
+            out.append(row[kept + left[: width // 2 - len(kept)]].tolist())
     both: list[list[int]] = [list(x) for x in out]
     for at, row in enumerate(out):
         for other in row:
