@@ -152,10 +152,10 @@ def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # exact copies by both hashes, then the components; the least (document, row, line) of each stays
     place = F.struct(F.col("_id").isNull().alias("n"), "_id", *KEY, "_line")
     exact = signed.groupBy("_a", "_b").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    grouped = exact.join(roots.select(F.col("id").alias("_a"), "root"), "_a", "left")
-    best = grouped.filter("root is not null").groupBy("root").agg(F.min("first").alias("best"))
-    keep = land(grouped.join(best, "root", "left").filter("n > 1 or root is not null")
-                .select("_a", "_b", F.coalesce("best", "first").alias("keep")), "keep")
+    grouped = land(exact.join(roots.select(F.col("id").alias("_a"), "root"), "_a", "left").filter("n > 1 or root is not null"), "copies")
+    # a table of its own, so that the join below may split a large component
+    best = land(grouped.filter("root is not null").groupBy("root").agg(F.min("first").alias("best")), "best")
+    keep = land(grouped.join(best, "root", "left").select("_a", "_b", F.coalesce("best", "first").alias("keep")), "keep")
     gone = signed.select(*KEY, "_line", "_a", "_b").join(keep, ["_a", "_b"]).filter(
         (F.col("_f") != F.col("keep._f")) | (F.col("_r") != F.col("keep._r")) | (F.col("_line") != F.col("keep._line")))
     return gone.groupBy(*KEY).agg(F.collect_set("_line").alias("_lines"))

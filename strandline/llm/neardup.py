@@ -225,7 +225,8 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.struct(F.col("_a").alias("x"), F.col("_b").alias("y"), F.lit(2).alias("z")))
     rows = land(rows.select(*KEY, "_id", group.alias("_g")), "grouped")
     order = F.struct(F.col("_id").isNull().alias("n"), "_id", *KEY)
-    best = rows.groupBy("_g").agg(F.min(order).alias("_best"), F.count("*").alias("_size"))
+    # a table of its own, so that the join below may split a large class
+    best = land(rows.groupBy("_g").agg(F.min(order).alias("_best"), F.count("*").alias("_size")), "best")
     return rows.join(best, "_g").select(
         *KEY, "_id", F.col("_best._id").alias("_class"), "_size", ((F.col("_f") == F.col("_best._f")) & (F.col("_r") == F.col("_best._r"))).alias("_first"))
 
