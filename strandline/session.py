@@ -19,6 +19,10 @@ RECOMMENDED = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # staging areas hold one small document per file: pack many of them into a task
     "spark.sql.files.openCostInBytes": "262144",
+    # rows hold whole documents: bound the batches that reach Python workers
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.useLargeVarTypes": "true",
 }
 
 
