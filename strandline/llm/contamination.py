@@ -63,7 +63,8 @@ def matches(index: DataFrame, spelled: DataFrame) -> DataFrame:
 
     `spelled` has a row (win, term, offset) for each term of each window.
     """
-    counted = spelled.join(_sized(index.groupBy("term").agg(F.count("*").alias("n"))), "term")
+    counts = land(index.groupBy("term").agg(F.count("*").alias("n")), "counts")
+    counted = spelled.join(_sized(counts), "term")
     sizes = spelled.groupBy("win").agg(F.count("*").alias("size"))
     # a window with a term that no document has cannot occur
     rarest = (counted.groupBy("win").agg(F.min(F.struct("n", "term", "offset")).alias("least"), F.count("*").alias("there"))
@@ -96,9 +97,9 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
 
     A word of a document is hit if it stands in an occurrence of a window: 13 words that follow one another
     in an item, or the whole of a shorter one. _n_near counts the items that have proximity matches only: all
-    words of a window within three places of where they should stand. Null and empty texts have no words and are clean. Items that are null, or have no
-    words or no id, have no window; copies of an item with one id count once. Repeated rows are counted
-    each by itself. Without any window all documents are clean.
+    words of a window within three places of where they should stand. Null and empty texts have no words and
+    are clean. Items that are null, or have no words or no id, have no window; copies of an item with one id
+    count once. Repeated rows are counted each by itself. Without any window all documents are clean.
     """
     docs = stored(docs)
     found = windows(items, item_id, item_text)
@@ -124,7 +125,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated."""
     docs = stored(docs)
-    dirty = contamination(docs, items).filter("_contaminated").select(*KEY)
+    dirty = land(contamination(docs, items).filter("_contaminated").select(*KEY), "contaminated")
     return keyed(docs, F.struct("*").alias("_row")).join(_sized(dirty), list(KEY), "left_anti").select("_row.*")
 
 
