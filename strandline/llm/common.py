@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,11 @@ def ready(spark: SparkSession) -> None:
 
 
 def frugal() -> None:
-    """Let a worker give freed Arrow memory back to the system, as workers are used again by later stages."""
+    """Let a worker give freed memory back to the system, as workers are used again by later stages."""
     if pa.default_memory_pool().backend_name != "system":
         pa.set_memory_pool(pa.system_memory_pool())
+    if hasattr(library := ctypes.CDLL(None), "malloc_trim"):
+        library.malloc_trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

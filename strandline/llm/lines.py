@@ -108,22 +108,33 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*columns, nested], schema=schema)
 
 
+def _similar(pairs: list[tuple[str, str]]) -> list[bool]:
+    names = {text: place for place, text in enumerate(dict.fromkeys(text for pair in pairs for text in pair))}
+    sets, found = shingle_sets(list(names)), []
+    for left, right in pairs:
+        one, other = sets[names[left]], sets[names[right]]
+        both = len(one) + len(other)
+        # of sets that differ too much in size no more than the smaller can be shared
+        plausible = (1 + THRESHOLD) * min(len(one), len(other)) >= THRESHOLD * both
+        n = shared(one, other) if plausible else 0
+        found.append(plausible and n >= THRESHOLD * (both - n))
+    return found
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
     for batch in batches:
-        left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-        names = {text: place for place, text in enumerate(dict.fromkeys(left + right))}
-        sets = shingle_sets(list(names))
-        keep = []
-        for a, b in zip(left, right):
-            one, other = sets[names[a]], sets[names[b]]
-            both = len(one) + len(other)
-            # of sets that differ too much in size no more than the smaller can be shared
-            if (1 + THRESHOLD) * min(len(one), len(other)) >= THRESHOLD * both:
-                n = shared(one, other)
-                keep.append(n >= THRESHOLD * (both - n))
-            else:
-                keep.append(False)
+        keep: list[bool] = []
+        held: list[tuple[str, str]] = []
+        room = 1 << 17  # characters whose shingles are sorted at once, so that long lines take little memory
+        for pair in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+            held.append(pair)
+            room -= len(pair[0]) + len(pair[1])
+            if room <= 0:
+                keep += _similar(held)
+                held, room = [], 1 << 17
+        if held:
+            keep += _similar(held)
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
