@@ -61,9 +61,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @tidy
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, the token ids, and the digest of the bytes decoded from them."""
-    ids = bpe.encode(docs, keep=("doc_id", "lang", "source"))
-    back = bpe.decode(ids, keep=("doc_id", "lang", "source", "ids"))
-    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    back = bpe.round_trip(docs, keep=("doc_id", "lang", "source"))
+    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [

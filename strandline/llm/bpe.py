@@ -197,6 +197,19 @@ def digests(rows: DataFrame, text: str = "text", keep: tuple[str, ...] = (), pat
         path or public_tokenizers.path(VOCABULARY), _digests)
 
 
+def _round_trip(coder: Coder, texts: list[str | None]) -> list[pa.Array]:
+    [ids] = _encode(coder, texts)
+    digests = [hashlib.sha256(coder.decode(own)).hexdigest() for own in ids.to_pylist()]
+    return [ids, pa.array(digests, pa.large_string())]
+
+
+def round_trip(rows: DataFrame, text: str = "text", keep: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
+    """The kept columns, ids as from encode, and decoded_sha256, the digest of the bytes that decode makes of them;
+    in one pass, as two would hold a second worker for each task."""
+    return _over_batches(
+        rows, text, list(keep), ["ids", "decoded_sha256"], "ids array<int>, decoded_sha256 string", path or public_tokenizers.path(VOCABULARY), _round_trip)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
     return digests(table(spark, sf_dir, "documents"), keep=("doc_id",))

@@ -29,6 +29,11 @@ def test_digests(spark):
         assert row.decoded_sha256 == hashlib.sha256((row.text or "").encode()).hexdigest()
 
 
+def test_round_trip(spark):
+    for row in bpe.round_trip(cases.documents(spark), keep=("doc_id", "text", "ids")).toDF("doc_id", "text", "clash", "ids", "digest").collect():
+        assert row.ids == LIBRARY.encode_ordinary(row.text or "") and row.digest == hashlib.sha256((row.text or "").encode()).hexdigest()
+
+
 def test_long_runs_and_odd_spaces():
     coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
     for text in ("a" * 3000, " " * 5000 + "x", "é" * 777, "　  x  \n\n y", "0123456789" * 90, "日本語" * 100, "!?" * 400, "don't I'LL 'S"):
