@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import frugal
+from strandline.llm.common import frugal, key_filter, maybe_in
 from strandline.session import land
 
 
+ROUND = 1 << 18  # pairs that a round of `linked` may make at least; beyond that, as many as the first pairs
+SLICES = 16  # parts of a bucket that meet its pivots in tasks of their own
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (bucket, id): each id with its bucket's first and its predecessor there, and the
     task's first (a, b = first id, bucket; edge true), to be linked with the tasks before."""
@@ -80,3 +84,82 @@ def components(pairs: DataFrame) -> DataFrame:
         state = now
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ids are not in one component."""
+    for side in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("id").alias(side), F.col("root").alias(f"_{side}")), side, "left")
+    return pairs.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+
+
+def _unjoined(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (bucket, id) of buckets with several components, with their root, the most frequent root and the rows there."""
+    rows = members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+    sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    sizes = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("top"), F.sum("c").alias("n"), F.max("c").alias("most"))
+    # a table of its own, so that the join may split a large bucket
+    sizes = land(sizes.filter("n > 2 and most < n").select("bucket", "top", "n"), "sizes")
+    return land(rows.join(sizes, "bucket"), "unjoined")
+
+
+def _met(pivots: DataFrame, rows: DataFrame, fits: str) -> DataFrame:
+    """Distinct pairs of a pivot (bucket, pivot, ...) and a row of its bucket that fit; a large bucket is met in slices."""
+    pivots = pivots.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    sliced = rows.withColumn("slice", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SLICES)).cast("int"))
+    met = sliced.join(pivots, ["bucket", "slice"]).filter(fits)
+    return met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+
+
+def linked(buckets: DataFrame, pairs: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(id, root) of the components of all alike pairs that share a bucket; `pairs` are the candidate_pairs of the
+    rows (bucket, id), and `alike` gives those pairs (a, b) that are alike.
+
+    The candidate pairs come first. As they connect each bucket, one with several components holds a pair that is
+    not alike, and only such buckets are looked at again. There the member with most links, as the original of
+    many copies has, meets all others, while that joins many. Then every two members that are still in different components and
+    were not compared are, in rounds of bounded size; so in the end all pairs of a bucket are compared or joined.
+    """
+    good = land(alike(pairs), "alike")
+    roots = land(components(good), "roots")
+    loose = land(_apart(pairs, roots).select(F.explode(F.array("a", "b")).alias("id")).distinct(), "loose")
+    if loose.isEmpty():
+        return roots
+    hot = maybe_in(buckets, "id", key_filter(loose, "id")).join(loose, "id").groupBy("bucket").agg(F.count("*").alias("n"))
+    hot = land(hot.filter("n > 1").select("bucket"), "hot")
+    members = land(maybe_in(buckets, "bucket", key_filter(hot, "bucket")).join(hot, "bucket").select("bucket", "id").distinct(), "members")
+    compared, links, used = pairs, good, None
+
+    def compare(met: DataFrame) -> tuple[int, int]:
+        nonlocal compared, links, roots
+        new = land(_apart(met.join(compared, ["a", "b"], "left_anti"), roots), "met")
+        compared = compared.unionByName(new)
+        found = land(alike(new), "alike")
+        n, m = new.count(), found.count()
+        if m:
+            links = links.unionByName(found)
+            roots = land(components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found)), "roots")
+        return n, m
+
+    while True:
+        rows = _unjoined(members, roots)
+        if rows.isEmpty():
+            return roots
+        degrees = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+        free = rows if used is None else rows.join(used, ["bucket", "id"], "left_anti")
+        hubs = free.join(degrees, "id").groupBy("bucket").agg(F.max_by(F.struct("id", "root"), F.struct("links", "id")).alias("hub"))
+        hubs = land(hubs.select("bucket", F.col("hub.id").alias("pivot"), F.col("hub.root").alias("other")), "hubs")
+        tried = hubs.select("bucket", F.col("pivot").alias("id"))
+        used = tried if used is None else used.unionByName(tried)
+        n, m = compare(_met(hubs, rows, "root <> other"))
+        if m * 8 <= n:
+            break
+    rows = _unjoined(members, roots) if m else rows
+    # all pairs of members whose roots differ now: one of the two is outside of the bucket's largest component
+    total = rows.agg(F.sum(F.when(F.col("root") != F.col("top"), F.col("n")))).first()[0] or 0
+    rounds = -(-total // max(ROUND, pairs.count()))
+    rows = rows.withColumn("round", F.pmod(F.xxhash64("id"), F.lit(max(1, rounds))))
+    for at in range(rounds):
+        pivots = rows.filter((F.col("root") != F.col("top")) & (F.col("round") == at)).select("bucket", F.col("id").alias("pivot"), F.col("root").alias("other"))
+        compare(_met(pivots, rows, f"root <> other and (root = top or round > {at} or round = {at} and id > pivot)"))
+    return roots

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import BLOCK, KEY, arrow_schema, blocks, code_points, frugal, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
-from strandline.llm.components import candidate_pairs, components
+from strandline.llm.components import candidate_pairs, linked
 from strandline.session import land
 
 WIDTH = 8  # characters of a shingle
@@ -152,14 +152,19 @@ def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     lines = split_lines(docs, doc_id, text)
     signed = land(lines.select(*KEY, "_id", "_line", "_a", "_b", "_text").mapInArrow(_sign, _SIGNED), "lines")
     # near copies: verified pairs of different lines
-    pairs = land(candidate_pairs(signed.select(F.explode("_keys").alias("bucket"), F.col("_a").alias("id"))), "pairs")
+    buckets = signed.select(F.explode("_keys").alias("bucket"), F.col("_a").alias("id"))
+    pairs = land(candidate_pairs(buckets), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = maybe_in(lines.select(F.col("_a").alias("id"), "_text"), "id", key_filter(wanted, "id"))
     # an inner join: a semi join would be moved below the filter, and all lines shuffled
     texts = land(texts.join(wanted, "id").groupBy("id").agg(F.min("_text").alias("t")), "texts")
-    sides = pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("right")), "b")
-    sides = sides.join(texts.select(F.col("id").alias("a"), F.col("t").alias("left")), "a").select("a", "b", "left", "right")
-    roots = components(sides.mapInArrow(_verify, "a long, b long"))
+
+    def alike(some: DataFrame) -> DataFrame:
+        sides = some.join(texts.select(F.col("id").alias("b"), F.col("t").alias("right")), "b")
+        sides = sides.join(texts.select(F.col("id").alias("a"), F.col("t").alias("left")), "a").select("a", "b", "left", "right")
+        return sides.mapInArrow(_verify, "a long, b long")
+
+    roots = linked(buckets, pairs, alike)
     # exact copies by both hashes, then the components; the least (document, row, line) of each stays
     place = F.struct(F.col("_id").isNull().alias("n"), "_id", *KEY, "_line")
     exact = signed.groupBy("_a", "_b").agg(F.min(place).alias("first"), F.count("*").alias("n"))

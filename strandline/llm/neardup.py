@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import KEY, arrow_schema, blocks, code_points, frugal, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
-from strandline.llm.components import candidate_pairs, components
+from strandline.llm.components import candidate_pairs, linked
 from strandline.session import land
 
 WORDS = 5  # words of a shingle
@@ -208,16 +208,21 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     signed = land(texts.mapInArrow(_sign, _SIGNED), "signed")
     # one row for all copies of a text
     distinct = signed.filter("_n > 0").groupBy("_a", "_b").agg(F.first("_keys").alias("_keys"))
-    pairs = land(candidate_pairs(distinct.select(F.explode("_keys").alias("bucket"), F.col("_a").alias("id"))), "pairs")
+    buckets = land(distinct.select(F.col("_a").alias("id"), "_keys"), "keys").select(F.explode("_keys").alias("bucket"), "id")
+    pairs = land(candidate_pairs(buckets), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # the text of one row for each wanted id
     chosen = signed.filter("_n > 0").groupBy(F.col("_a").alias("id")).agg(F.min(F.struct(*KEY)).alias("k"))
     chosen = land(chosen.join(wanted, "id", "left_semi").select("id", F.col("k._f").alias("_f"), F.col("k._r").alias("_r")), "chosen")
     thin = maybe_in(texts.withColumn("_spotted", F.xxhash64(*KEY)), "_spotted", key_filter(chosen.select(F.xxhash64(*KEY).alias("k")), "k"))
     found = land(thin.join(chosen, list(KEY)).select("id", F.col("_text").alias("t")), "texts")
-    sides = pairs.join(found.select(F.col("id").alias("b"), F.col("t").alias("right")), "b")
-    sides = sides.join(found.select(F.col("id").alias("a"), F.col("t").alias("left")), "a").select("a", "b", "left", "right")
-    roots = components(sides.mapInArrow(_verify, "a long, b long"))
+
+    def alike(some: DataFrame) -> DataFrame:
+        sides = some.join(found.select(F.col("id").alias("b"), F.col("t").alias("right")), "b")
+        sides = sides.join(found.select(F.col("id").alias("a"), F.col("t").alias("left")), "a").select("a", "b", "left", "right")
+        return sides.mapInArrow(_verify, "a long, b long")
+
+    roots = linked(buckets, pairs, alike)
     # texts without words are alone: their class is keyed by their row
     rows = signed.select(*KEY, "_id", "_a", "_b", "_n").join(roots.select(F.col("id").alias("_a"), "root"), "_a", "left")
     group = F.when(F.col("_n") == 0, F.struct(F.col("_f").alias("x"), F.col("_r").alias("y"), F.lit(0).alias("z"))).when(

@@ -1,3 +1,5 @@
+import random
+
 from tests.llm import cases
 
 from strandline.llm import lines
@@ -48,6 +50,28 @@ def test_against_brute_force(spark):
     assert next(r for r in got if r.doc_id == 16)._n_lines == 50
 
 
+def test_hubs_and_templated_lines_against_brute_force(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    hub = "".join(rng.choice(letters) for _ in range(320)).strip()
+    rows = [hub]
+    for _ in range(150):  # four changes: 0.81 to the hub, 0.67 to one another
+        changed = list(hub)
+        for k in range(4):
+            changed[70 * k + rng.randint(10, 60)] = rng.choice("0123456789#+")
+        rows.append("".join(changed))
+    # lines of one template, most pairs below 0.8 and some above
+    template = "".join(rng.choice(letters) for _ in range(60))
+    for k in range(150):
+        rows.append(f"{template} request {rng.randint(0, 40):04d} took {rng.randint(0, 5)} ms at node {rng.choice('abcdef') * 6} {template[:40]}")
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, "\n".join(rows[i * 10 : i * 10 + 10])) for i in range(31)], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r._text for r in lines.dedup_lines(docs).select("_row.doc_id", "_text").collect()}
+    want = brute_force([(r.doc_id, r.text) for r in docs.collect()])
+    left, wanted = (sorted(line for t in texts for line in t.split("\n") if line) for texts in (got.values(), want))
+    assert len(left) <= len(wanted) + 2 and set(wanted) <= set(left)  # a pair at 0.8 meets in no band with 0.005
+
+
 def test_empty_table(spark):
     assert lines.dedup_lines(cases.empty(spark)).collect() == []
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from tests.llm import cases
 
+from strandline.llm import components as components_module
 from strandline.llm import neardup
 from strandline.llm.components import candidate_pairs, components
 from strandline.session import land
@@ -40,6 +41,31 @@ def test_against_brute_force(spark):
     assert kept.filter("doc_id = 7").count() == 1
 
 
+def test_a_thousand_independent_edits_of_one_original(spark):
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in rng.integers(0, 10**9, 400)]
+    texts = [" ".join(words)]
+    for copy in range(1000):
+        changed = list(words)
+        for k in range(8):  # 2 % of the words, at spread places: 0.82 to the original, 0.68 to one another
+            changed[50 * k + int(rng.integers(5, 45))] = f"edit{copy}x{k}"
+        texts.append(" ".join(changed))
+    shingles = [neardup.labelled_shingles(neardup.word_hashes(t)) for t in texts[:3]]
+    assert neardup.similar(shingles[0], shingles[1]) and not neardup.similar(shingles[1], shingles[2])
+    docs = land(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), "docs")
+    got = neardup.near_classes(docs).filter("_class = 0").count()
+    assert got >= 995  # a pair meets in no band with a probability of 0.0002
+
+
+def test_all_members_of_a_bucket_are_compared(spark, monkeypatch):
+    # alike are only the pairs (k, 99 - k), which are neither neighbours nor the first of the bucket but for two
+    monkeypatch.setattr(components_module, "ROUND", 500)
+    buckets = land(spark.createDataFrame([(7, i) for i in range(100)] + [(8, 5), (8, 6)], "bucket long, id long").repartition(4), "buckets")
+    pairs = land(candidate_pairs(buckets), "pairs")
+    roots = components_module.linked(buckets, pairs, lambda some: some.filter("a + b = 99")).collect()
+    assert {(r.id, r.root) for r in roots} == {(k, min(k, 99 - k)) for k in range(100)}
+
+
 def test_alignment_counts_order():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 100).astype(np.uint64)
