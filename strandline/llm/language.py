@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,8 +17,7 @@ from strandline.session import land
 
 SEGMENT = 256  # symbols; texts are parsed in segments of this length, each starting a new phrase
 SAMPLES, PIECE = 160, 200  # bounded sample: so many pieces of so many characters for each language
-LANGUAGES = 64  # at most, the most frequent ones
-TABLE_CELLS = 1 << 25  # bound on the transition tables of all languages together; samples shrink to fit
+TABLE_CELLS = 1 << 25  # of a dense transition table; where more were needed, edges are searched for instead
 UNKNOWN = "und"
 MIN_PHRASE = 1.5  # symbols; texts with shorter phrases on average are in no known language
 
@@ -46,7 +44,7 @@ def normalise(points: np.ndarray, codes: np.ndarray) -> np.ndarray:
 def code_table(alphabet: str) -> np.ndarray:
     """The symbol of every code point."""
     letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
-    codes = np.where(letters, len(alphabet) + 1, 0).astype(np.uint8)
+    codes = np.where(letters, len(alphabet) + 1, 0).astype(np.min_scalar_type(len(alphabet) + 1))
     codes[code_points(alphabet)] = np.arange(1, len(alphabet) + 1)
     return codes
 
@@ -82,8 +80,8 @@ def suffix_automaton(symbols: list[int]) -> tuple[int, np.ndarray]:
 
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", samples: int = SAMPLES, piece: int = PIECE) -> LanguageModel:
-    """Learn from a bounded sample of labelled rows: `samples` pieces of `piece` characters for each of the
-    64 most frequent languages, chosen by hashes of the texts over all rows. Rows without a text, a letter
+    """Learn from a bounded sample of labelled rows: `samples` pieces of `piece` characters for each
+    language, chosen by hashes of the texts over all rows. Rows without a text, a letter
     or a language teach nothing; without any row the model knows no language."""
     spark = rows.sparkSession
     ready(spark)
@@ -91,40 +89,54 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", samples: int =
     hashed = known.withColumn("h", F.xxhash64("t"))
     slots = hashed.groupBy("l", F.pmod("h", F.lit(samples)).alias("slot")).agg(F.min("h").alias("h"), F.count("*").alias("n"))
     slots = land(slots, "slots")
-    langs = sorted(row["l"] for row in slots.groupBy("l").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "l").limit(LANGUAGES).collect())
+    langs = sorted(row["l"] for row in slots.select("l").distinct().collect())
     if not langs:
         return LanguageModel((), "", (), ())
-    picked = slots.filter(F.col("l").isin(langs)).select("l", "h")
+    picked = slots.select("l", "h")
+    picked = F.broadcast(picked) if len(langs) * samples < 500_000 else picked
     start = F.pmod(F.shiftright("h", 8), F.greatest(F.lit(1), F.length("t") - piece + 1)).cast("int") + 1
-    pieces = (hashed.join(F.broadcast(picked), ["l", "h"]).select("l", "h", F.substring("t", start, F.lit(piece)).alias("p"))
+    pieces = (hashed.join(picked, ["l", "h"]).select("l", "h", F.substring("t", start, F.lit(piece)).alias("p"))
               .groupBy("l", "h").agg(F.min("p").alias("p")).toPandas().sort_values(["l", "h"]))
     pieces["p"] = pieces["p"].str.lower()
-    counts = Counter("".join(pieces["p"]))
-    alphabet = "".join(sorted(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if c.isalpha())[:250])
-    codes, share = code_table(alphabet), TABLE_CELLS // (len(langs) * (len(alphabet) + 2) * 2)
-    automata = []
+    alphabet = "".join(sorted(c for c in set("".join(pieces["p"])) if c.isalpha()))
+    codes, automata = code_table(alphabet), []
+    own = dict(list(pieces.groupby("l")["p"]))
     for name in langs:
-        symbols = [normalise(code_points(p), codes) for p in pieces["p"][pieces["l"] == name]]
-        joined = np.concatenate([np.append(s, 0) for s in symbols])[:share]
+        symbols = [normalise(code_points(p), codes) for p in own[name]]
+        joined = np.concatenate([np.append(s, 0) for s in symbols])
         automata.append((*suffix_automaton(joined.tolist()), len(joined)))
     return LanguageModel(tuple(langs), alphabet, tuple(x[:2] for x in automata), tuple(x[2] for x in automata))
 
 
 class Parser:
-    """The model's automata as one dense table; counts the phrases of many texts in step."""
+    """The model's automata as one table, dense or, with many languages or letters, of sorted edges; counts the
+    phrases of many texts in step."""
 
     def __init__(self, model: LanguageModel):
         self.model, self.width, self.codes = model, len(model.alphabet) + 2, code_table(model.alphabet)
-        # state numbers are multiplied by the width; -1: no such factor
-        self.table = np.full(sum(n for n, _ in model.automata) * self.width, -1, np.int32)
-        self.roots = np.zeros(len(model.langs), np.int64)
-        base = 0
-        for k, (states, edges) in enumerate(model.automata):
-            self.roots[k] = base * self.width
-            self.table[(base + edges[:, 0].astype(np.int64)) * self.width + edges[:, 1]] = (base + edges[:, 2]) * self.width
-            base += states
+        states = np.array([n for n, _ in model.automata], np.int64)
+        # state numbers are multiplied by the width
+        self.roots = (np.cumsum(states) - states) * self.width
+        self.dense = int(states.sum()) * self.width <= TABLE_CELLS
+        places = [root + edges[:, 0].astype(np.int64) * self.width + edges[:, 1] for root, (_, edges) in zip(self.roots, model.automata)]
+        to = [root + edges[:, 2].astype(np.int64) * self.width for root, (_, edges) in zip(self.roots, model.automata)]
+        places, to = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (places, to))
+        if self.dense:
+            self.table = np.full(int(states.sum()) * self.width, -1, np.int32)  # -1: no such factor
+            self.table[places] = to
+        else:
+            order = places.argsort()
+            self.places, self.to = places[order], to[order]
         # after a mismatch the phrase starts anew at this symbol; one that a language lacks leads back to its root
-        self.again = np.stack([np.where((t := self.table[r : r + self.width]) < 0, r, t) for r in self.roots]) if len(self.roots) else None
+        symbols = np.arange(self.width)
+        self.again = np.stack([np.where((t := self._next(r + symbols)) < 0, r, t) for r in self.roots]) if len(self.roots) else None
+
+    def _next(self, places: np.ndarray) -> np.ndarray:
+        """The state that a state and a symbol (as their sum) lead to, or -1."""
+        if self.dense:
+            return self.table[places]
+        at = np.minimum(np.searchsorted(self.places, places), len(self.places) - 1)
+        return np.where(self.places[at] == places, self.to[at], -1)
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text the phrases in each language, the symbols and the letters."""
@@ -152,7 +164,7 @@ class Parser:
         for step in range(int(size[0])):
             active = int(np.searchsorted(-size, -step, side="left"))
             symbol = flat[starts[:active] + step].astype(np.int64)
-            to = self.table[state[:, :active] + symbol]
+            to = self._next(state[:, :active] + symbol)
             lost = to < 0
             phrases[:, :active] += lost
             state[:, :active] = np.where(lost, self.again[:, symbol], to)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -101,3 +102,29 @@ def test_filter_keeps_columns(spark):
 def test_held_out_rule(spark):
     rows = spark.range(50).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in rows)
+
+
+def test_no_language_and_no_letter_is_left_out(spark, monkeypatch):
+    # 70 languages, and two whose letters are thousands of Chinese characters each from the same range
+    rng = random.Random(8)
+    def words(letters):
+        return ["".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(60)]
+    spoken = {f"l{k:02d}": words("abcdefghijklmnopqrstuvwxyz") for k in range(70)}
+    han = [chr(0x4E00 + k) for k in range(4000)]
+    rng.shuffle(han)
+    spoken |= {"han0": words(han[:2000]), "han1": words(han[2000:])}
+    def speak(name):
+        return " ".join(rng.choice(spoken[name]) for _ in range(80))
+    rows = [(speak(name), name) for name in spoken for _ in range(3)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(model.langs) == set(spoken)
+    assert set("".join(w for words in spoken.values() for w in words)) >= set(model.alphabet) and len(model.alphabet) > 250
+    asked = [speak(name) for name in spoken]
+    monkeypatch.setattr(language, "TABLE_CELLS", 0)
+    sparse = language.Parser(model)
+    found = sparse.phrases(asked)[0]
+    assert [model.langs[k] for k in found.argmin(axis=1)] == list(spoken)
+    monkeypatch.setattr(language, "TABLE_CELLS", 1 << 40)
+    small = language.LanguageModel(model.langs[:3], model.alphabet, model.automata[:3], model.sizes[:3])
+    dense = language.Parser(small)
+    assert dense.dense and not sparse.dense and (dense.phrases(asked)[0] == found[:, :3]).all()
