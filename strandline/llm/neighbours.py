@@ -1,4 +1,8 @@
-"""Approximate nearest neighbours: a navigable small-world graph per shard, kept as flat arrays, and merged results.
+"""Approximate nearest neighbours: a hierarchy of neighbour graphs per shard, kept as flat arrays, and merged results.
+
+The graph is not built by inserting nodes one after the other, as HNSW does. A node's links come from its exact nearest
+on the layer; every node of a layer is on the next one too or is linked from a node there; and the highest layer
+is small and is scanned whole, so that no cluster is without an entry.
 
 A shard is a run of at most `SHARD` rows of an input partition, so no row moves to build the index and a
 shard fits a worker whatever the table's size. Queries come in blocks of bounded size, which are sent to
@@ -22,10 +26,11 @@ from strandline.session import land
 
 SHARD = 8192  # vectors of a shard, at most
 LINKS = 16  # neighbours of a node on the upper layers; twice as many on the lowest
-BEAM = 64  # nodes kept while searching the lowest layer
+BEAM = 64  # nodes kept while searching a layer
+ENTRIES = 256  # nodes of the highest layer, about at most; it is scanned whole
 BLOCK_BYTES = 32 << 20  # of the query vectors sent to the shards at once
 
-_INDEX = "ids array<long>, sizes array<long>, vectors binary, width int, layers array<long>, links binary, entry int"
+_INDEX = "ids array<long>, sizes array<long>, vectors binary, width int, layers array<long>, links binary, entries array<long>"
 
 
 @dataclass
@@ -33,8 +38,8 @@ class Graph:
     """The layers of a shard's graph: for each layer the nodes on it and an array of neighbours, -1 for none."""
 
     vectors: np.ndarray  # nodes x width, of length one
-    levels: list[np.ndarray]  # for each layer, from the lowest, nodes x links
-    entry: int
+    levels: list[np.ndarray]  # for each layer but the highest, from the lowest, nodes x links
+    entries: np.ndarray  # the nodes of the highest layer
 
 
 def node_levels(n: int, vectors: np.ndarray) -> np.ndarray:
@@ -50,17 +55,34 @@ def build(vectors: np.ndarray) -> Graph:
 
     On each layer the candidates of a node are its nearest there, found by products of blocks of rows with all
     of the shard, as it is small; of these it keeps neighbours nearer to itself than to one kept before, then fills up
-    with the nearest left, and links run both ways.
+    with the nearest left, and links run both ways. The layer above holds a hashed choice of nodes, and those
+    that no link of a chosen one leads to.
     """
     n = len(vectors)
     top = node_levels(n, vectors)
-    levels = []
-    for layer in range(int(top.max(initial=0)) + 1):
-        nodes = np.flatnonzero(top >= layer)
-        links = np.full((n, LINKS * (2 if layer == 0 else 1)), -1, np.int32)
-        levels.append(_link(vectors, nodes, links))
-    highest = np.flatnonzero(top == top.max()) if n else np.zeros(1, int)
-    return Graph(vectors, levels, int(highest[0]))
+    nodes, levels = np.arange(n), []
+    while True:
+        links = _link(vectors, nodes, np.full((n, LINKS * (1 if levels else 2)), -1, np.int32))
+        levels.append(links)
+        above = _above(nodes, links, nodes[top[nodes] >= len(levels)])
+        # with so few above, or a layer that does not get much smaller, these are the entries
+        nodes = above
+        if len(nodes) <= ENTRIES or len(nodes) * 2 > int((links[:, :1] >= 0).sum()):
+            return Graph(vectors, levels, nodes)
+
+
+def _above(nodes: np.ndarray, links: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen nodes, and as many others as it takes that each node is among them or linked from one of them."""
+    reached = np.zeros(len(links) + 1, bool)  # the last one stands for no link
+    reached[chosen] = True
+    reached[links[chosen]] = True
+    more = []
+    for node in nodes.tolist():
+        if not reached[node]:
+            more.append(node)
+            reached[node] = True
+            reached[links[node]] = True
+    return np.sort(np.concatenate([chosen, np.array(more, np.int64)]).astype(np.int64))
 
 
 def _link(vectors: np.ndarray, nodes: np.ndarray, links: np.ndarray) -> np.ndarray:
@@ -99,24 +121,25 @@ def _link(vectors: np.ndarray, nodes: np.ndarray, links: np.ndarray) -> np.ndarr
 
 
 def search(graph: Graph, query: np.ndarray, wanted: int) -> list[int]:
-    """Nodes near the query: down the layers greedily, then a beam on the lowest."""
-    at = graph.entry
-    for links in graph.levels[:0:-1]:
-        while True:
-            around = links[at]
-            around = around[around >= 0]
-            if not len(around):
-                break
-            near = graph.vectors[around] @ query
-            best = int(near.argmax())
-            if near[best] <= graph.vectors[at] @ query:
-                break
-            at = int(around[best])
-    links, beam = graph.levels[0], max(BEAM, wanted)
-    first = float(graph.vectors[at] @ query)
-    seen = np.zeros(len(graph.vectors), bool)
-    seen[at] = True
-    todo, found = [(-first, at)], [(first, at)]
+    """Nodes near the query: the nearest of the highest layer, then a beam on each layer below, started from those found above."""
+    beam = max(BEAM, wanted)
+    near = graph.vectors[graph.entries] @ query
+    if len(near) > beam:
+        picked = np.argpartition(-near, beam - 1)[:beam]
+    else:
+        picked = np.arange(len(near))
+    found = list(zip(near[picked].tolist(), graph.entries[picked].tolist()))
+    for links in graph.levels[::-1]:
+        found = _beam(graph.vectors, links, query, found, beam)
+    return [node for _, node in sorted(found, reverse=True)]
+
+
+def _beam(vectors: np.ndarray, links: np.ndarray, query: np.ndarray, found: list[tuple[float, int]], beam: int) -> list[tuple[float, int]]:
+    seen = np.zeros(len(vectors), bool)
+    seen[[at for _, at in found]] = True
+    todo = [(-near, at) for near, at in found]
+    heapq.heapify(todo)
+    heapq.heapify(found)
     while todo:
         far, at = heapq.heappop(todo)
         if len(found) >= beam and -far < found[0][0]:
@@ -127,13 +150,13 @@ def search(graph: Graph, query: np.ndarray, wanted: int) -> list[int]:
         if not len(around):
             continue
         seen[around] = True
-        for near, other in zip((graph.vectors[around] @ query).tolist(), around.tolist()):
+        for near, other in zip((vectors[around] @ query).tolist(), around.tolist()):
             if len(found) < beam or near > found[0][0]:
                 heapq.heappush(todo, (-near, other))
                 heapq.heappush(found, (near, other))
                 if len(found) > beam:
                     heapq.heappop(found)
-    return [node for _, node in sorted(found, reverse=True)]
+    return found
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -151,7 +174,7 @@ def _index_rows(ids: list[int], vectors: list[bytes], width: int) -> pa.RecordBa
         pa.array([np.array(ids)[order].tolist()], pa.list_(pa.int64())), pa.array([np.bincount(node, minlength=len(distinct)).tolist()], pa.list_(pa.int64())),
         pa.array([distinct.tobytes()], pa.large_binary()), pa.array([width], pa.int32()),
         pa.array([[x.shape[1] for x in graph.levels]], pa.list_(pa.int64())),
-        pa.array([b"".join(x.tobytes() for x in graph.levels)], pa.large_binary()), pa.array([graph.entry], pa.int32()),
+        pa.array([b"".join(x.tobytes() for x in graph.levels)], pa.large_binary()), pa.array([graph.entries.tolist()], pa.list_(pa.int64())),
     ], [name.strip().split(" ")[0] for name in _INDEX.split(",")])
 
 
@@ -189,7 +212,7 @@ def _search_shard(row: dict, queries: np.ndarray, query_ids: np.ndarray, k: int)
     for width in row["layers"]:
         levels.append(links[at : at + n * width].reshape(n, width))
         at += n * width
-    graph, sizes, ids = Graph(_unit(vectors), levels, row["entry"]), np.array(row["sizes"]), np.array(row["ids"])
+    graph, sizes, ids = Graph(_unit(vectors), levels, np.array(row["entries"], np.int64)), np.array(row["sizes"]), np.array(row["ids"])
     starts, lengths = np.cumsum(sizes) - sizes, np.sqrt((vectors**2).sum(axis=1))
     units = _unit(queries)
     for place, (query, unit) in enumerate(zip(queries, units)):

@@ -36,6 +36,21 @@ def test_recall_on_several_shards(spark, monkeypatch):
     assert hits >= 0.9 * 200
 
 
+@pytest.mark.parametrize("width, hot", [(64, 0), (64, 2700), (256, 2700)])
+def test_recall_on_a_full_clustered_shard(width, hot):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=((8000 - hot) // 70, width))
+    rows = [np.repeat(centres, 70, axis=0), np.repeat(rng.normal(size=(1, width)), hot, axis=0)]
+    vectors = np.concatenate(rows)
+    vectors = neighbours._unit(vectors + 0.05 * rng.normal(size=vectors.shape))
+    graph = neighbours.build(vectors)
+    found = []
+    for query in rng.choice(len(vectors), 200, replace=False):
+        want = set(np.argsort(-(vectors @ vectors[query]))[:6].tolist()) - {int(query)}
+        found.append(len(want & set(neighbours.search(graph, vectors[query], 6)[:6])) / len(want))
+    assert np.mean(found) >= 0.97 and min(found) > 0
+
+
 def test_copies_ties_and_unusable_vectors(spark):
     rng = np.random.default_rng(4)
     same = rng.normal(size=8).astype(np.float32).tolist()
