@@ -212,12 +212,16 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     pairs = land(candidate_pairs(buckets), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # the text of one row for each wanted id
-    chosen = signed.filter("_n > 0").groupBy(F.col("_a").alias("id")).agg(F.min(F.struct(*KEY)).alias("k"))
-    chosen = land(chosen.join(wanted, "id", "left_semi").select("id", F.col("k._f").alias("_f"), F.col("k._r").alias("_r")), "chosen")
+    chosen = signed.filter("_n > 0").groupBy(F.col("_a").alias("id")).agg(F.min(F.struct(*KEY)).alias("k"), F.max("_n").alias("_n"))
+    chosen = land(chosen.join(wanted, "id", "left_semi").select("id", F.col("k._f").alias("_f"), F.col("k._r").alias("_r"), F.greatest(F.lit(1), F.col("_n") - (WORDS - 1)).alias("n")), "chosen")
     thin = maybe_in(texts.withColumn("_spotted", F.xxhash64(*KEY)), "_spotted", key_filter(chosen.select(F.xxhash64(*KEY).alias("k")), "k"))
     found = land(thin.join(chosen, list(KEY)).select("id", F.col("_text").alias("t")), "texts")
 
     def alike(some: DataFrame) -> DataFrame:
+        # of texts that differ too much in shingles no more than those of the smaller can be shared
+        for side in ("a", "b"):
+            some = some.join(chosen.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}")), side)
+        some = some.filter(F.least("n_a", "n_b") >= (THRESHOLD - 1e-9) * F.greatest("n_a", "n_b")).select("a", "b")
         sides = some.join(found.select(F.col("id").alias("b"), F.col("t").alias("right")), "b")
         sides = sides.join(found.select(F.col("id").alias("a"), F.col("t").alias("left")), "a").select("a", "b", "left", "right")
         return sides.mapInArrow(_verify, "a long, b long")
