@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, contamination, language, lines, neardup, neighbours, pii, quality, secrets, toolcalls
+from strandline.llm import bpe, contamination, language, lines, neardup, neighbours, pii, planes, quality, secrets, toolcalls
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_order_minhash": neardup.op8_order_minhash,
     "op9_positional_index": contamination.op9_positional_index,
     "op10_language_id": language.op10_language_id,
+    "op11_planes": planes.op11_planes,
 }
 ORACLES: dict[str, str] = {"op3_tool_calls": toolcalls.OP3_SQL, "op9_positional_index": contamination.OP9_SQL}
