@@ -7,8 +7,6 @@ the part that one task writes; shards are numbered in ascending order of the doc
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,33 +17,21 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from strandline.llm.common import frugal, ready, table
+from strandline.llm.units import UnitCoder, byte_level
 from strandline.session import LANDED, work_path
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2  # the id that ends each document
 CHUNK = 1 << 16  # ids in a chunk; the last one of a shard has fewer
-PIECE = 1 << 15  # characters that are encoded at once, if the text has a blank to be cut at
 LEVEL = 3  # of compression
 PLANES = {"byte": 4, "bit": 32}
-# A text may be cut here: no token spans the place between a word and the blank that follows it.
-_CUT = re.compile("[!-~](?=[ \n])")
 
 INDEX = "shard int, chunk int, first long, n_ids int, docs_before long, doc_ids array<long>, doc_starts array<int>, kind string"
 STORED = f"{INDEX}, planes array<binary>"
 
 
-def text_pieces(text: str, size: int = PIECE) -> Iterator[str]:
-    """The text in pieces whose tokens, one after the other, are those of the whole; longer ones where nothing can be cut."""
-    at = 0
-    while len(text) - at > size and (cut := _CUT.search(text, at + size - 1)):
-        yield text[at : cut.end()]
-        at = cut.end()
-    yield text[at:]
-
-
 def to_planes(ids: np.ndarray, kind: str = "byte") -> list[bytes]:
     """Compressed planes of a block of ids, lowest first; planes of zeros are empty."""
     cells = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
@@ -136,13 +122,25 @@ def _batch(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), fields.types, strict=True)], schema=fields)
 
 
+_coders: dict[str, UnitCoder] = {}
+
+
+def _coder(path: str) -> UnitCoder:
+    """One for each worker process."""
+    if path not in _coders:
+        _coders.clear()
+        _coders[path] = UnitCoder(byte_level(path))
+    return _coders[path]
+
+
 def write_ids(docs: DataFrame, path: str, kind: str = "byte", chunk: int = CHUNK, vocabulary: str | None = None, end: int = END) -> None:
     """Encode the whole `text` of each document, append the id `end`, and store all ids in ascending order of doc_id.
 
     Documents are dealt out by range, so that any number of rows of one doc_id, or of null ones, which come
     first, may span shards; rows of one doc_id are in the order of a hash of their text. Null texts count as
-    empty and have the end alone. An empty table gives a table of no chunks. Other columns are left out. Texts
-    are encoded in pieces cut at blanks, and a task holds one chunk; a text without any blank is encoded whole.
+    empty and have the end alone. An empty table gives a table of no chunks. Other columns are left out. The
+    library encodes each distinct unit that a worker meets (see units.py), and a task holds one chunk; a text
+    without any blank is encoded whole.
     """
     if kind not in PLANES:
         raise ValueError(f"kind must be one of {', '.join(PLANES)}, found {kind}")
@@ -154,14 +152,12 @@ def write_ids(docs: DataFrame, path: str, kind: str = "byte", chunk: int = CHUNK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, shard = Tokenizer.from_file(place), _Shard(kind, chunk)
+        coder, shard = _coder(place), _Shard(kind, chunk)
         for batch in batches:
             for doc_id, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 shard.begin(doc_id)
-                for piece in text_pieces(whole.as_py()):
-                    ids = encoder.encode_batch_fast([piece], add_special_tokens=False)[0].ids
-                    for row in shard.add(np.array(ids, np.uint32)):
+                for ids in coder.ids(whole.as_py()):
+                    for row in shard.add(ids):
                         yield _batch([row], _FIELDS)
                 for row in shard.add(np.array([end], np.uint32)):
                     yield _batch([row], _FIELDS)
