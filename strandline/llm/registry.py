@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, contamination, language, lines, neardup, neighbours, pii, planes, quality, secrets, toolcalls, trie
+from strandline.llm import alignment, bpe, contamination, language, lines, neardup, neighbours, pii, planes, quality, secrets, toolcalls, trie
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_positional_index": contamination.op9_positional_index,
     "op10_language_id": language.op10_language_id,
     "op11_planes": planes.op11_planes,
+    "op12_alignment": alignment.op12_alignment,
     "op13_prefix_trie": trie.op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {"op3_tool_calls": toolcalls.OP3_SQL, "op9_positional_index": contamination.OP9_SQL, "op13_prefix_trie": trie.OP13_SQL}
