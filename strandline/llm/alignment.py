@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +25,14 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from strandline.llm.common import frugal, ready, table
-from strandline.llm.units import TEXT_PART, UNIT_CHARS, byte_level, cut_units, piece_level, text_pieces
+from strandline.llm.units import TEXT_PART, UNIT_CHARS, BatchUnits, byte_level, cut_units, gathered, larger_batches, piece_level, text_pieces
 from strandline.session import land
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
-HELD = 300_000  # distinct units that a worker remembers
+HELD = 200_000  # distinct units that a worker remembers, about
 RUN_LINKS, RUN_DOCS = 1 << 22, 1 << 15  # a run is closed beyond these
 LONG_DOC = 1 << 20  # links of one document that are counted up before going on
+ALIGN_BYTES = 12 << 20  # of texts whose distinct units are aligned at once
 RADIX = 32  # parts, by second token
 FAN = 64  # runs merged at once, on average
 BLOCK = 1 << 16  # pairs in a block
@@ -94,13 +97,16 @@ class Aligner:
         self.bytes = byte_lengths_first(first), byte_lengths_second(second)
         self.held = held
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}  # what was known before `known` last became full
 
     def of(self, units: list[str]) -> list[tuple | None]:
         """(text of groups, first tokens, second tokens, groups, links) of each unit; None if a tokenizer changes its bytes."""
-        if len(self.known) > self.held:
-            self.known = {}
-        known = self.known
-        new = [u for u in set(units) if u not in known]
+        if len(self.known) > self.held // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        absent = {unit for unit in units if unit not in known}
+        known.update({unit: older[unit] for unit in absent if unit in older})
+        new = [unit for unit in absent if unit not in older]
         if new:
             for unit, a, b in zip(new, self.encode[0](new), self.encode[1](new), strict=True):
                 raw = unit.encode()
@@ -108,17 +114,46 @@ class Aligner:
                     known[unit] = None
                 else:
                     groups, n_groups, links = align(a, b, *self.bytes)
-                    known[unit] = groups, len(a), len(b), n_groups, np.array(links, np.uint64)
-        found = [known[u] for u in units]
+                    known[unit] = groups, len(a), len(b), n_groups, array("Q", links).tobytes()
+        found = [known[unit] for unit in units]
         for unit in new:
             if len(unit) > UNIT_CHARS:
                 del known[unit]
         return found
 
+    def documents(self, texts: pa.Array) -> Iterator[tuple | None]:
+        """What `document` gives for each text of a batch; null and empty ones have no tokens."""
+        filled = pc.greater(pc.fill_null(pc.binary_length(texts), 0), 0)
+        given = texts.filter(filled)
+        cut = BatchUnits(given, spaced=True)
+        found = self.of(cut.units)
+        spelled = [unit[0] if unit else "" for unit in found]
+        numbers = np.array([unit[1:4] if unit else (0, 0, 0) for unit in found], np.int64).reshape(-1, 3)
+        links = np.frombuffer(b"".join([unit[4] for unit in found if unit]), np.uint64)
+        sizes = np.array([len(unit[4]) // 8 if unit else 0 for unit in found], np.int64)
+        bad, at = np.array([unit is None for unit in found], bool), np.cumsum(sizes) - sizes
+        k, place = 0, 0
+        for is_filled in filled.to_pylist():
+            if not is_filled:
+                yield None
+                continue
+            if cut.alone[place]:
+                yield self.document(given[place].as_py())
+            else:
+                which = cut.which[cut.starts[k] : cut.starts[k + 1]]
+                if bad[which].any():
+                    yield None
+                else:
+                    codes = links[gathered(at, sizes, which)]
+                    digest = hashlib.sha256(";".join([spelled[i] for i in which.tolist()]).encode()).hexdigest()
+                    yield digest, *numbers[which].sum(axis=0).tolist(), len(codes), codes, np.ones(len(codes), np.int32)
+                k += 1
+            place += 1
+
     def document(self, text: str) -> tuple[str, int, int, int, int, np.ndarray, np.ndarray] | None:
         """Digest, numbers of tokens, groups and links, and the links counted by pair; None if there are no tokens."""
         digest, numbers, n_links, waiting, many = hashlib.sha256(), [0, 0, 0], 0, [], 0
-        codes, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        codes, times = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         for at, part in enumerate(text_pieces(" " + text, TEXT_PART)):
             found = self.of(cut_units(part))
             if None in found:
@@ -126,14 +161,14 @@ class Aligner:
             spelled, a, b, groups, links = zip(*found, strict=True)
             digest.update(((";" if at else "") + ";".join(spelled)).encode())
             numbers = [n + sum(x) for n, x in zip(numbers, (a, b, groups), strict=True)]
-            waiting += links
-            many += sum(map(len, links))
+            waiting.append(np.frombuffer(b"".join(links), np.uint64))
+            many += len(waiting[-1])
             if many > LONG_DOC:
-                codes, times = _counted([codes, *waiting], [times, np.ones(many, np.int64)])
+                codes, times = _counted([codes, *waiting], [times, np.ones(many, np.int32)])
                 n_links, waiting, many = n_links + many, [], 0
         if waiting:
             rest = np.concatenate(waiting)
-            codes, times = (np.concatenate([codes, rest]), np.concatenate([times, np.ones(len(rest), np.int64)])) if len(codes) else (rest, np.ones(len(rest), np.int64))
+            codes, times = (np.concatenate([codes, rest]), np.concatenate([times, np.ones(len(rest), np.int32)])) if len(codes) else (rest, np.ones(len(rest), np.int32))
         return digest.hexdigest(), *numbers, n_links + many, codes, times
 
 
@@ -143,7 +178,7 @@ def _counted(codes: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarr
     order = np.argsort(codes, kind="stable")
     codes, times = codes[order], times[order]
     new = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
-    return codes[new], np.add.reduceat(times, new) if len(new) else times
+    return codes[new], np.add.reduceat(times, new, dtype=np.int64) if len(new) else times
 
 
 _RUNS = ("run long, part int, low long, codes binary, counts binary, n_docs binary, docs binary, times binary, "
@@ -193,16 +228,16 @@ class _Run:
         if not self.records:
             return
         codes = np.concatenate([c for _, c, _ in self.records])
-        docs = np.repeat(np.array([d for d, _, _ in self.records], np.int64), [len(c) for _, c, _ in self.records])
+        docs = np.repeat(np.array([d for d, _, _ in self.records], np.int32), [len(c) for _, c, _ in self.records])
         times = np.concatenate([t for _, _, t in self.records])
         self.records = []
         order = np.argsort(codes, kind="stable")  # documents stay in order within a pair
         codes, docs, times = codes[order], docs[order], times[order]
         new = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (docs[1:] != docs[:-1])))
-        codes, docs, times = codes[new], docs[new], np.add.reduceat(times, new)
+        codes, docs, times = codes[new], docs[new], np.add.reduceat(times, new, dtype=np.int64)
         starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
         pairs, n_docs, counts = codes[starts], np.diff(np.append(starts, len(codes))), np.add.reduceat(times, starts)
-        steps = np.diff(docs, prepend=0)
+        steps = np.diff(docs, prepend=np.int32(0))
         steps[starts] = docs[starts]
         parts = _part(pairs, self.radix)
         of_record = np.repeat(parts, n_docs)
@@ -241,10 +276,9 @@ def build_runs(docs: DataFrame, first: str, second: str, radix: int, run_links:
         frugal()
         aligner, number = _aligner(first, second), TaskContext.get().partitionId() << 32
         held = _Run(number, radix)
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                whole = text.as_py()
-                held.add(doc_id, aligner.document(whole) if whole else None)
+        for batch in larger_batches(batches, ALIGN_BYTES):
+            for doc_id, found in zip(batch.column(0).to_pylist(), aligner.documents(batch.column(1)), strict=True):
+                held.add(doc_id, found)
                 if held.held >= run_links or len(held.rows) >= RUN_DOCS:
                     yield from held.closed()
                     number += 1

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.common import frugal, ready, table
-from strandline.llm.units import UnitCoder, byte_level
+from strandline.llm.units import UnitCoder, byte_level, larger_batches
 from strandline.session import LANDED, work_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -153,10 +153,10 @@ def write_ids(docs: DataFrame, path: str, kind: str = "byte", chunk: int = CHUNK
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
         coder, shard = _coder(place), _Shard(kind, chunk)
-        for batch in batches:
-            for doc_id, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for batch in larger_batches(batches):
+            for doc_id, parts in zip(batch.column(0).to_pylist(), coder.ids_of_batch(batch.column(1)), strict=True):
                 shard.begin(doc_id)
-                for ids in coder.ids(whole.as_py()):
+                for ids in parts:
                     for row in shard.add(ids):
                         yield _batch([row], _FIELDS)
                 for row in shard.add(np.array([end], np.uint32)):

@@ -13,17 +13,22 @@ from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-UNITS_HELD = 1_000_000  # distinct units that a worker remembers before it starts anew
+UNITS_HELD = 400_000  # distinct units that a worker remembers, about
 UNIT_CHARS = 64  # longer units are not remembered
+BATCH_BYTES = 16 << 20  # of texts whose distinct units are found at once
 TEXT_PART = 1 << 20  # characters of a text that are cut into units at once
 
 _UNIT = re.compile("[ \n]*[^ \n]+|[ \n]+")
 # White space of other kinds may belong to one piece with the blanks beside it.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _CUT = re.compile("[!-~](?=[ \n])")
+# White space that a piece of a byte-level pattern may span: other than blanks and line feeds, three of these, or two at the end.
+_UNPLAIN = r"[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
 
 
 def text_pieces(text: str, size: int) -> Iterator[str]:
@@ -41,33 +46,95 @@ def cut_units(piece: str) -> list[str]:
 
 
 class UnitCoder:
-    """Token ids of texts by any function from distinct units to their ids; units met before are remembered."""
+    """Token ids of texts by any function from distinct units to their ids; units met lately are remembered."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], held: int = UNITS_HELD):
-        self.encode, self.held, self.known = encode, held, {}
-
-    def packed(self, units: list[str]) -> bytes:
-        """The ids of the units as unsigned numbers of 32 bits."""
-        known = self.known
+        self.encode, self.held = encode, held
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # what was known before `known` last became full
+
+    def each(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit as unsigned numbers of 32 bits."""
+        if len(self.known) > self.held // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         found = list(map(known.get, units))
-        if None not in found:
-            return b"".join(found)
-        if len(known) > self.held:
-            known = self.known = {}
-            found = [None] * len(units)
-        new = list({unit for unit, ids in zip(units, found, strict=True) if ids is None})
-        known.update({u: array("I", ids).tobytes() for u, ids in zip(new, self.encode(new), strict=True)})
-        joined = b"".join(map(known.__getitem__, units))
-        for unit in new:
-            if len(unit) > UNIT_CHARS:
-                del known[unit]
-        return joined
+        if None in found:
+            absent = {unit for unit, ids in zip(units, found, strict=True) if ids is None}
+            known.update({unit: older[unit] for unit in absent if unit in older})
+            new = [unit for unit in absent if unit not in older]
+            if new:
+                known.update({u: array("I", ids).tobytes() for u, ids in zip(new, self.encode(new), strict=True)})
+            found = [known[unit] for unit in units]
+            for unit in new:
+                if len(unit) > UNIT_CHARS:
+                    del known[unit]
+        return found
 
     def ids(self, text: str) -> Iterator[np.ndarray]:
         """The ids of a text, part by part."""
         for part in text_pieces(text, TEXT_PART):
             if part:
-                yield np.frombuffer(self.packed(cut_units(part)), np.uint32)
+                yield np.frombuffer(b"".join(self.each(cut_units(part))), np.uint32)
+
+    def ids_of_batch(self, texts: pa.Array) -> Iterator[Iterator[np.ndarray]]:
+        """The ids of each text of a batch, part by part, for byte-level encoders."""
+        cut = BatchUnits(texts)
+        spelled = self.each(cut.units)
+        sizes = np.array([len(ids) // 4 for ids in spelled], np.int64)
+        every, at = np.frombuffer(b"".join(spelled), np.uint32), np.cumsum(sizes) - sizes
+        k = 0
+        for place, is_alone in enumerate(cut.alone):
+            if is_alone:
+                yield self.ids(texts[place].as_py())
+            else:
+                yield iter([every[gathered(at, sizes, cut.which[cut.starts[k] : cut.starts[k + 1]])]])
+                k += 1
+
+
+def gathered(at: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Places of the runs `which`, one after the other, where run k has sizes[k] places from at[k]."""
+    own = sizes[which]
+    ends = np.cumsum(own)
+    return np.repeat(at[which] - ends + own, own) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class BatchUnits:
+    """The distinct units of a batch of texts, found by Arrow, and which of them each plain text has.
+
+    Texts are cut before blanks and line feeds. `alone` marks those that must be cut by `cut_units` instead: with
+    other white space, with runs of white space that tokenizers may take as one piece, or longer than a part; with
+    `spaced`, each text has a blank put before it, and runs of blanks are such for piece tokenizers too.
+    """
+
+    def __init__(self, texts: pa.Array, spaced: bool = False):
+        alone = pc.or_(pc.match_substring_regex(texts, _UNPLAIN + "|^ |  " if spaced else _UNPLAIN), pc.greater(pc.binary_length(texts), TEXT_PART))
+        self.alone = alone.to_pylist()
+        # a blank is put before each line feed and is left out again when units are spelled
+        pieces = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(alone)), "\n", " \n"), " ")
+        ends = pieces.offsets.to_numpy()
+        coded = pieces.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+        self.starts = ends - ends[0]
+        self.units = [piece if piece[:1] == "\n" else " " + piece for piece in coded.dictionary.to_pylist()]
+        self.which = coded.indices.to_numpy().astype(np.int64)
+        if not spaced:  # the first piece of a text has no blank before it
+            first = self.starts[:-1]
+            heads = coded.dictionary.take(pa.array(self.which[first])).to_pylist()
+            self.which[first] = len(self.units) + np.arange(len(heads))
+            self.units += heads
+
+
+def larger_batches(batches: Iterator[pa.RecordBatch], size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about so many bytes, as the share of distinct units falls with the size."""
+    held, n_bytes = [], 0
+    for batch in batches:
+        held.append(batch)
+        n_bytes += batch.nbytes
+        if n_bytes >= size:
+            yield pa.concat_batches(held)
+            held, n_bytes = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def byte_level(path: str, plain: bool = False) -> Callable[[list[str]], list[list[int]]]:

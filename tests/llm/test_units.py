@@ -1,6 +1,7 @@
 import os
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,6 +50,22 @@ def test_units_have_the_pieces_of_the_whole_text():
     equal()
 
 
+@pytest.mark.parametrize("part", [15, 1 << 20])
+def test_batches_have_the_tokens_of_the_whole_texts(monkeypatch, part):
+    monkeypatch.setattr(units, "TEXT_PART", part)
+    coder = units.UnitCoder(units.byte_level(public_tokenizers.path("byte_bpe_50k.json")), held=40)
+    plain = st.text(alphabet="ab1'sé\n .字", max_size=60)
+
+    @given(st.lists(st.one_of(TEXTS, plain, st.lists(st.text("abé.'", min_size=1, max_size=4), max_size=9).map(" ".join)), max_size=6))
+    @settings(max_examples=400, deadline=None)
+    def equal(texts):
+        LIBRARY.encode_special_tokens = False
+        found = [[int(i) for part in parts for i in part] for parts in coder.ids_of_batch(pa.array(texts, pa.large_string()))]
+        assert found == [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+
+    equal()
+
+
 def test_a_part_longer_than_the_memory(monkeypatch):
     monkeypatch.setattr(units, "TEXT_PART", 50)
     coder = units.UnitCoder(units.byte_level(public_tokenizers.path("byte_bpe_50k.json")), held=3)
