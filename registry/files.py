@@ -224,14 +224,15 @@ def staging_area(s, d):
 
 @query("s1_match_files", """
     SELECT k.kind, k.entity_type, count(*) AS n_files
-    FROM supplier, (VALUES ('metadata', 'project'), ('descriptors', 'sequence_file'), ('links', 'links')) k(kind, entity_type) GROUP BY ALL""")
+    FROM supplier, (VALUES ('metadata', 'project'), ('descriptors', 'sequence_file'), ('links', 'links')) k(kind, entity_type) GROUP BY ALL
+    UNION ALL SELECT 'metadata', 'cell_line', 1""")
 def match_files(s, d):
     found = staging.match_files(s, [staging_area(s, d), f"{staging_area(s, d)}-absent"])
     return found.groupBy("kind", "entity_type").agg(F.count(F.lit(1)).alias("n_files"))
 
 
 @query("s2_no_match_warnings", """
-    SELECT 'NoMatchWarning' AS warning, CAST(26 + 5 + 1 - 3 AS BIGINT) AS n_warnings, (SELECT count(*) FROM supplier) AS n_suppliers""")
+    SELECT 'NoMatchWarning' AS warning, CAST(26 + 5 + 1 - 4 AS BIGINT) AS n_warnings, (SELECT count(*) FROM supplier) AS n_suppliers""")
 def no_match(s, d):
     from strandline.operators.documents import no_match_warnings
 
@@ -260,12 +261,12 @@ def has_any_data(s, d):
 
 @query("s8_skip_empty_files", "SELECT 'project' AS entity_type, count(*) AS n_files FROM supplier")
 def skip_empty(s, d):
-    found = staging.read_documents(s, [staging_area(s, d)], kinds=("metadata",))
+    found = staging.read_documents(s, [staging_area(s, d)], kinds=("metadata",), skip_empty=True)
     return found.groupBy("entity_type").agg(F.count(F.lit(1)).alias("n_files"))
 
 
 @query("s9_inventory", """
-    SELECT t.top, 'entity' AS entity, count(*) AS n_files
+    SELECT t.top, 'entity' AS entity, count(*) + any_value(CASE WHEN t.top = 'metadata' THEN 1 ELSE 0 END) AS n_files
     FROM supplier, (VALUES ('metadata'), ('descriptors'), ('links')) t(top) GROUP BY ALL""")
 def inventory(s, d):
     found, _ = staging.inventory(s, [staging_area(s, d)])

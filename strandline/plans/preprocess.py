@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from strandline.functions.messages import error_counts
 from strandline.operators import documents as D
 from strandline.schemas import id_column, is_file_type
-from strandline.session import land
+from strandline.session import land, land_batches
 from strandline.sinks.writers import write_errors, write_json_rows
-from strandline.sources.staging import read_documents
+from strandline.sources.staging import document_batches
 
 
 class DocumentErrors(Exception):
@@ -31,13 +31,13 @@ class Preprocessed:
 def preprocess(spark: SparkSession, areas: Sequence[str], schemas: DataFrame) -> Preprocessed:
     """Read, check and reshape the documents of staging areas.
 
-    The documents' small files are opened once: their compact text and findings are landed as a
-    Parquet table in the shared folder, and everything else is derived from that table. Rows and
-    requests are landed too, by type, as exports and loads read them several times.
+    The documents' small files are listed in a catalogue and opened once, in batches of bounded size: their
+    compact text and findings are landed as a Parquet table in the shared folder, and everything else is derived
+    from that table. Rows and requests are landed too, by type, as exports and loads read them several times.
     """
-    found = D.expected_documents(read_documents(spark, areas))
-    documents = found.select("area", "kind", "entity_type", "file_name", "value")
-    reported = land(D.with_report(documents, schemas), "documents", "kind", "entity_type")
+    columns = ("area", "kind", "entity_type", "file_name", "value")
+    batches = (D.with_report(D.expected_documents(batch).select(*columns), schemas) for batch in document_batches(spark, areas))
+    reported = land_batches(batches, "documents", "kind", "entity_type")
     rows, requests, errors = D.reshape(reported)
     named = spark.createDataFrame([(area.rstrip("/"),) for area in areas], "area string")
     warnings = D.no_match_warnings(reported, named)

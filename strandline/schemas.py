@@ -63,6 +63,8 @@ ROWS = _struct(
     ("project_id", _S, True),
     ("file_id", _S, True),
     ("descriptor", _S, True),
+    # stands in for the content in comparisons, see functions.jsons.digest_of
+    ("content_digest", _S, True),
     ("row_id", _S, False),
     ("entity_type", _S, False),
     ("version_date", T.DateType(), False),
@@ -85,6 +87,15 @@ DOCUMENTS = _struct(
     ("file_name", _S, False),
     ("value", _S, True),
 )
+# files of staging areas
+CATALOGUE = _struct(
+    ("area", _S, False),
+    ("top", _S, True),
+    ("entity_type", _S, True),
+    ("file_name", _S, False),
+    ("file_path", _S, False),
+    ("file_size", T.LongType(), False),
+)
 LOAD_HISTORY = _struct(
     ("state", _S, True),
     ("target_path", _S, True),
@@ -92,7 +103,8 @@ LOAD_HISTORY = _struct(
     ("file_id", _S, True),
 )
 LOAD_REQUESTS = _struct(("source_path", _S, True), ("target_path", _S, True))
-TOMBSTONES = _struct(("row_id", _S, False), ("entity_type", _S, False))
+# removed rows, with the file and the place there that hold them
+TOMBSTONES = _struct(("row_id", _S, False), ("__file", _S, False), ("__place", T.LongType(), False), ("entity_type", _S, False))
 JSON_SCHEMAS = _struct(("url", _S, False), ("schema_text", _S, True))
 ERRORS = _struct(
     ("errorType", _S, False), ("filePath", _S, False), ("fileName", _S, False), ("message", _S, False)

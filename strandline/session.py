@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # a look-up of this many ids is answered by the files' Bloom filters
+    "spark.sql.parquet.pushdown.inFilterThreshold": "500",
     # staging areas hold one small document per file: pack many of them into a task
     "spark.sql.files.openCostInBytes": "262144",
     # rows hold whole documents: bound the batches that reach Python workers
@@ -109,3 +112,15 @@ def land(frame: DataFrame, label: str, *partition_cols: str) -> DataFrame:
     writer.parquet(path)
     LANDED.append(path)
     return spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
+
+
+def land_batches(frames: Iterable[DataFrame], label: str, *partition_cols: str) -> DataFrame:
+    """Write frames of one schema into one intermediate table, one after the other, and read it back; there must be one at least."""
+    path, first = "", None
+    for frame in frames:
+        path = path or work_path(frame.sparkSession, label)
+        first = first or frame
+        writer = frame.write.mode("append")
+        (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
+    LANDED.append(path)
+    return first.sparkSession.read.schema(first.schema).parquet(path).select(*first.columns)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from itertools import chain, islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.names import base_name, parent
 from strandline.schemas import DOCUMENTS, LINKS, TOP_LEVEL_DIRS
+from strandline.session import land_batches
+from strandline.sources.catalogue import WALKERS, build_catalogue, scan_batches
 
 KINDS = ("metadata", "descriptors", "links")
 
@@ -25,29 +29,6 @@ def _existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return kept
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a path; for an area these are a handful of folders."""
-    if not _existing(spark, [path]):
-        return []
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listed = location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(location)
-    return sorted(status.getPath().getName() for status in listed)
-
-
-def _empty_files(spark: SparkSession, folders: Iterable[str]) -> list[str]:
-    """Zero-byte ``.json`` files below the folders, which Spark's scans leave out; one listing call per folder."""
-    jvm, conf, found, todo = spark._jvm, spark._jsc.hadoopConfiguration(), [], list(folders)
-    while todo:
-        location = jvm.org.apache.hadoop.fs.Path(todo.pop())
-        listed = jvm.scala.runtime.ScalaRunTime.stringOf(location.getFileSystem(conf).listStatus(location))
-        for path, is_folder, length in re.findall(r"\{path=(.*?); isDirectory=(true|false);(?: length=(\d+);)?", listed):
-            if is_folder == "true":
-                todo.append(path)
-            elif length == "0" and path.endswith(".json"):
-                found.append(path)
-    return sorted(found)
-
-
 def _qualified(spark: SparkSession, path: str) -> str:
     """The path as file listings spell it, scheme included."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -71,37 +52,22 @@ def _placed(spark: SparkSession, areas: Sequence[str], path: Column, tops: Seque
     return F.coalesce(lookup[head], lookup[parent(path)]), F.substring(path, F.length(head) + 2, F.length(path))
 
 
-def read_documents(
-    spark: SparkSession,
-    areas: Sequence[str],
-    kinds: Sequence[str] = KINDS,
-    entity_types: Sequence[str] | None = None,
-) -> DataFrame:
-    """All ``.json`` documents of the areas in one scan: the ``DOCUMENTS`` columns plus path and size.
+def _nothing(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], DOCUMENTS).withColumns({"file_path": F.lit("").cast("string"), "file_size": F.lit(0).cast("bigint")})
 
-    Absent folders give no rows. Zero-byte files, which Spark leaves out of every scan, are rows with an empty text.
-    ``entity_types`` narrows the scan to the folders of those types.
-    """
-    roots = [
-        f"{area.rstrip('/')}/{kind}" + (f"/{entity_type}" if entity_type and kind != "links" else "")
-        for area in areas
-        for kind in kinds
-        for entity_type in (entity_types or [None] if kind != "links" else [None])
-    ]
-    present = _existing(spark, roots)
-    if not present:
-        return spark.createDataFrame([], DOCUMENTS).withColumns(
-            {"file_path": F.lit("").cast("string"), "file_size": F.lit(0).cast("bigint")}
-        )
-    texts = spark.read.text(present, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+
+def _documents_in(catalogue: DataFrame, kinds: Sequence[str], entity_types: Sequence[str] | None) -> DataFrame:
+    """The catalogue's ``.json`` files of some kinds and types; a file that lies in no folder of a type is none."""
+    found = catalogue.filter(F.col("top").isin(*kinds) & F.col("entity_type").isNotNull() & F.col("file_name").endswith(".json"))
+    return found if entity_types is None else found.filter((F.col("top") == LINKS) | F.col("entity_type").isin(*entity_types))
+
+
+def _scan(spark: SparkSession, areas: Sequence[str], paths: Sequence[str]) -> DataFrame:
+    """The documents in some folders or files, as ``read_documents`` gives them."""
+    texts = spark.read.text(list(paths), wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     scan = texts.select(_decoded(F.col("_metadata.file_path")).alias("file_path"), F.col("_metadata.file_size").alias("file_size"), "value")
-    if empty := _empty_files(spark, present):
-        scan = scan.unionByName(spark.createDataFrame([(path, 0, "") for path in empty], scan.schema))
-    path = F.col("file_path")
-    area, below = _placed(spark, areas, path, KINDS)
-    located = scan.select(
-        area.alias("area"), F.split(below, "/").alias("steps"), "file_path", "file_size", "value",
-    )
+    area, below = _placed(spark, areas, F.col("file_path"), KINDS)
+    located = scan.select(area.alias("area"), F.split(below, "/").alias("steps"), "file_path", "file_size", "value")
     kind = F.col("steps")[0]
     # metadata and descriptors have a folder per type; a file lying beside those folders has no type
     folder = F.when(F.size("steps") > 2, F.col("steps")[1])
@@ -111,14 +77,59 @@ def read_documents(
     ).filter("entity_type is not null")
 
 
-def match_files(spark: SparkSession, areas: Sequence[str], kinds: Sequence[str] = KINDS) -> DataFrame:
-    """Documents by area, kind and entity type, without their text."""
-    return read_documents(spark, areas, kinds).select("area", "kind", "entity_type", "file_name", "file_path", "file_size")
+def document_batches(
+    spark: SparkSession,
+    areas: Sequence[str],
+    kinds: Sequence[str] = KINDS,
+    entity_types: Sequence[str] | None = None,
+    catalogue: DataFrame | None = None,
+    skip_empty: bool = False,
+    limit: int | None = None,
+) -> Iterator[DataFrame]:
+    """The documents of the areas in frames of at most ``limit`` files each (``catalogue.READ_BATCH``), the zero-byte ones apart."""
+    listed = build_catalogue(spark, areas, kinds, entity_types) if catalogue is None else catalogue
+    wanted = _documents_in(listed, kinds, entity_types)
+    for paths in scan_batches(wanted.filter("file_size > 0"), limit):
+        yield _scan(spark, areas, paths)
+    if not skip_empty:
+        # Spark leaves them out of every scan
+        yield wanted.filter("file_size = 0").select(
+            "area", F.col("top").alias("kind"), "entity_type", "file_name", F.lit("").alias("value"), "file_path", "file_size")
 
 
-def read_descriptors(spark: SparkSession, areas: Sequence[str], entity_types: Sequence[str]) -> DataFrame:
-    """Descriptors of the given file types in all areas, in one scan."""
-    found = read_documents(spark, areas, kinds=("descriptors",), entity_types=entity_types)
+def read_documents(
+    spark: SparkSession,
+    areas: Sequence[str],
+    kinds: Sequence[str] = KINDS,
+    entity_types: Sequence[str] | None = None,
+    catalogue: DataFrame | None = None,
+    skip_empty: bool = False,
+    limit: int | None = None,
+) -> DataFrame:
+    """All ``.json`` documents of the areas: the ``DOCUMENTS`` columns plus path and size.
+
+    Absent folders give no rows. Zero-byte files, which Spark leaves out of every scan, are rows with an empty text
+    unless ``skip_empty`` is set. ``entity_types`` narrows the scan to the folders of those types. The files are
+    those of a ``catalogue`` of the areas, which is made if none is given. Up to ``limit`` of them are one scan,
+    which reads when the frame is used; beyond that they are read batch by batch into a table, so that the driver
+    holds the paths of one batch only.
+    """
+    batches = document_batches(spark, areas, kinds, entity_types, catalogue, skip_empty, limit)
+    scans = list(islice(batches, 2 if skip_empty else 3))
+    if len(scans) > (1 if skip_empty else 2):
+        return land_batches(chain(scans, batches), "scanned")
+    return reduce(DataFrame.unionByName, scans, _nothing(spark))
+
+
+def match_files(spark: SparkSession, areas: Sequence[str], kinds: Sequence[str] = KINDS, catalogue: DataFrame | None = None) -> DataFrame:
+    """Documents by area, kind and entity type, zero-byte ones too; no file is opened."""
+    listed = build_catalogue(spark, areas, kinds) if catalogue is None else catalogue
+    return _documents_in(listed, kinds, None).select("area", F.col("top").alias("kind"), "entity_type", "file_name", "file_path", "file_size")
+
+
+def read_descriptors(spark: SparkSession, areas: Sequence[str], entity_types: Sequence[str], catalogue: DataFrame | None = None) -> DataFrame:
+    """Descriptors of the given file types in all areas."""
+    found = read_documents(spark, areas, kinds=("descriptors",), entity_types=entity_types, catalogue=catalogue)
     return found.select("area", "entity_type", "file_name", F.col("value").alias("descriptor"))
 
 
@@ -139,30 +150,32 @@ def has_any_data(spark: SparkSession, path: str) -> bool:
     return has_file(spark, path, at_least=1)
 
 
-def inventory(spark: SparkSession, areas: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def inventory(spark: SparkSession, areas: Sequence[str], catalogue: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Files outside ``data/`` as ``area, top, blob, path, entity, version``, and the ones with other names.
 
     Entity and version are the first two underscore-separated parts of the file name, so the version
     of a plain name still ends in ``.json``. Names without an underscore go to the second frame.
     """
-    tops = ("data", *KINDS)
-    # the data files, by far the most, are not even listed
-    chosen = [f"{area.rstrip('/')}/{name}" for area in areas for name in _children(spark, area) if name != "data"]
-    if not chosen:
-        empty = spark.createDataFrame([], "area string, top string, blob string, path string, entity string, version string")
-        return empty, empty
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(chosen).select("path")
-    blob = F.col("path")
-    area, below = _placed(spark, areas, blob, tops)
-    parts = F.split(base_name(blob), "_")
-    files = scan.select(
-        area.alias("area"), F.split(below, "/")[0].alias("top"), blob.alias("blob"), parent(blob).alias("path"),
+    listed = build_catalogue(spark, areas) if catalogue is None else catalogue
+    parts = F.split("file_name", "_")
+    files = listed.select(
+        "area", "top", F.col("file_path").alias("blob"), parent(F.col("file_path")).alias("path"),
         F.get(parts, F.lit(0)).alias("entity"), F.get(parts, F.lit(1)).alias("version"),
     )
     return files.filter("version is not null"), files.filter("version is null")
 
 
-def top_level(spark: SparkSession, areas: Sequence[str]) -> DataFrame:
-    """``area`` and each of the well-known folders that holds a file; listing stops at the first file."""
-    found = [(area, top) for area in areas for top in TOP_LEVEL_DIRS if has_file(spark, f"{area.rstrip('/')}/{top}")]
-    return spark.createDataFrame(found, "area string, top string")
+def top_level(spark: SparkSession, areas: Sequence[str], catalogue: DataFrame | None = None) -> DataFrame:
+    """``area`` and each of the well-known folders that holds a file.
+
+    With a ``catalogue`` only ``data``, which it leaves out, is looked at. Listing a folder stops at its first
+    file, and folders are listed by several threads.
+    """
+    tops = TOP_LEVEL_DIRS if catalogue is None else [top for top in TOP_LEVEL_DIRS if top not in KINDS]
+    asked = [(area, top) for area in areas for top in tops]
+    with ThreadPoolExecutor(WALKERS) as pool:
+        held = pool.map(lambda place: has_file(spark, "/".join((place[0].rstrip("/"), place[1]))), asked)
+        found = spark.createDataFrame([place for place, is_held in zip(asked, held, strict=True) if is_held], "area string, top string")
+    if catalogue is None:
+        return found
+    return found.unionByName(catalogue.filter(F.col("top").isin(*KINDS)).select("area", "top").distinct())
