@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 # Bytes of the longest document that the JVM's variant parser takes.
@@ -41,11 +41,14 @@ def scalar(text: Column, path: str) -> Column:
 
 
 def with_scalars(frame: DataFrame, text: str, names: Sequence[str], target: str) -> DataFrame:
-    """A struct column ``target`` of top-level scalars, as ``scalar`` gives them; each text is parsed once."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    raw = frame.withColumn("__raw", F.from_json(text, schema))
-    fields = [_unless_container(F.col("__raw")[name], F.col(text), f"$.{name}").alias(name) for name in names]
-    return raw.withColumn(target, F.struct(*fields)).drop("__raw")
+    """A struct column ``target`` of top-level scalars, as ``scalar`` gives them; each text is parsed once.
+
+    The values come from a generator, below which no filter on them is pushed, so none makes Spark parse again.
+    """
+    found = [f"__{name}" for name in names]
+    raw = frame.select("*", F.json_tuple(F.col(text), *names).alias(*found))
+    fields = [_unless_container(F.col(f"__{name}"), F.col(text), f"$.{name}").alias(name) for name in names]
+    return raw.withColumn(target, F.struct(*fields)).drop(*found)
 
 
 def has_key(text: Column, name: str) -> Column:
@@ -113,3 +116,47 @@ def compact(text: Column) -> Column:
         return texts.map(one, na_action="ignore")
 
     return encode(text)
+
+
+def _canonical_parts(value: object) -> Iterator[str]:
+    """The canonical form of a document, piece by piece: sorted keys, and whole numbers without a fraction."""
+    if isinstance(value, dict):
+        for n, key in enumerate(sorted(value)):
+            yield ("," if n else "{") + json.dumps(key) + ":"
+            yield from _canonical_parts(value[key])
+        yield "}" if value else "{}"
+    elif isinstance(value, list):
+        for n, item in enumerate(value):
+            yield "," if n else "["
+            yield from _canonical_parts(item)
+        yield "]" if value else "[]"
+    else:
+        yield json.dumps(int(value) if isinstance(value, float) and value.is_integer() else value)
+
+
+def digest_of(document: object) -> str:
+    """Digest of a document that is equal for documents equal up to key order and number spelling, of any size."""
+    digest = hashlib.sha256()
+    for part in _canonical_parts(document):
+        digest.update(part.encode())
+    return digest.hexdigest()
+
+
+def text_digest(raw: str | None) -> str | None:
+    """``digest_of`` the document in a text; texts that are not JSON stand for themselves."""
+    if raw is None:
+        return None
+    try:
+        return digest_of(read_document(raw))
+    except (RecursionError, ValueError):
+        return "text:" + hashlib.sha256(raw.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def content_digest(text: Column) -> Column:
+    """``text_digest`` as a column; unlike ``fingerprint``, without a bound on the size."""
+
+    @F.pandas_udf("string")
+    def digests(texts: pd.Series) -> pd.Series:
+        return pd.Series([text_digest(raw) if isinstance(raw, str) else None for raw in texts], dtype=object)
+
+    return digests(text)

@@ -20,7 +20,7 @@ FORBIDDEN = "no value is permitted"
 # Constraints of JSON schemas that are not checked; keywords outside the standard constrain nothing.
 UNCHECKED = {
     "$ref", "additionalItems", "allOf", "anyOf", "const", "contains", "dependencies", "dependentRequired", "dependentSchemas", "else",
-    "exclusiveMaximum", "exclusiveMinimum", "if", "maxItems", "maxLength", "maxProperties", "maximum", "minItems", "minLength", "minProperties",
+    "exclusiveMaximum", "exclusiveMinimum", "format", "if", "maxItems", "maxLength", "maxProperties", "maximum", "minItems", "minLength", "minProperties",
     "minimum", "multipleOf", "not", "oneOf", "patternProperties", "prefixItems", "propertyNames", "then", "unevaluatedItems",
     "unevaluatedProperties", "uniqueItems",
 }

@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import messages as M
-from strandline.functions.jsons import compact_text, is_string_property, read_document, scalar
+from strandline.functions.jsons import compact_text, digest_of, is_string_property, read_document, scalar
 from strandline.functions.names import name_parts
 from strandline.functions.schema_check import BadSchema, violations
-from strandline.operators.files import load_requests, with_file_fields, without_request
+from strandline.operators.files import FILE_FIELDS, load_requests, with_file_fields, without_request
 from strandline.operators.skew import spread_join
 from strandline.schemas import FILE_TYPES, LINKS, NON_FILE_TYPES
 
@@ -102,6 +102,13 @@ def complete_descriptors(documents: DataFrame, text: str = "value") -> tuple[Dat
 # --- schema validation -----------------------------------------------------------------------------
 
 
+def _scalar_text(value: object) -> str | None:
+    """A scalar as text; null for JSON null, objects and arrays."""
+    if value is None or isinstance(value, (dict, list)):
+        return None
+    return value if isinstance(value, str) else compact_text(value)
+
+
 def _report_column(value: Column, schema_text: Column, registry: object) -> Column:
     """Struct of the compact document, its findings and its string properties; parses each document once."""
 
@@ -128,10 +135,13 @@ def _report_column(value: Column, schema_text: Column, registry: object) -> Colu
             document = read_document(raw)
             content = compact_text(document)
         except (TypeError, ValueError):
-            return None, not_json, None
-        strings = [key for key, held in document.items() if isinstance(held, str)] if isinstance(document, dict) else []
+            return None, not_json, None, None, *[None] * len(FILE_FIELDS), False
+        properties = document if isinstance(document, dict) else {}
+        strings = [key for key, held in properties.items() if isinstance(held, str)]
+        digest = digest_of(document)
+        named = *(_scalar_text(properties.get(key)) for key in FILE_FIELDS), "drs_uri" in properties
         if "describedBy" not in strings:
-            return content, None, strings
+            return content, None, strings, digest, *named
         name = document["describedBy"]
         schema, problem = schema_for(name, text)
         if problem is None:
@@ -140,22 +150,23 @@ def _report_column(value: Column, schema_text: Column, registry: object) -> Colu
                 problem = violation % (name, found) if found else None
             except BadSchema:
                 problem = not_loaded % name
-        return content, problem, strings
+        return content, problem, strings, digest, *named
 
-    @F.pandas_udf("content string, finding string, strings array<string>")
+    @F.pandas_udf(f"content string, finding string, strings array<string>, content_digest string, {', '.join(f'{name} string' for name in FILE_FIELDS)}, hosted boolean")
     def report(values: pd.Series, texts: pd.Series) -> pd.DataFrame:
         def clean(series: pd.Series) -> pd.Series:
             return series.astype(object).where(series.notna(), None)
 
         rows = [examine(*row) for row in zip(clean(values), clean(texts))]
-        return pd.DataFrame(rows, columns=["content", "finding", "strings"])
+        return pd.DataFrame(rows, columns=["content", "finding", "strings", "content_digest", *FILE_FIELDS, "hosted"])
 
     return report(value, schema_text)
 
 
 def with_report(documents: DataFrame, schemas: DataFrame, registry_limit: int = REGISTRY_LIMIT) -> DataFrame:
     """``value`` replaced by ``content`` (compact text, null if not JSON), ``finding`` (message or null) and
-    ``strings`` (names of the top-level string properties).
+    ``strings`` (names of the top-level string properties), ``content_digest``, and ``named``: a descriptor's fields as
+    ``files.with_file_fields`` takes them, and whether its file is hosted elsewhere.
 
     Documents without a ``describedBy`` string have no schema to be checked against. One action
     measures the schema table: if its text fits ``registry_limit`` every worker gets all of it,
@@ -176,7 +187,8 @@ def with_report(documents: DataFrame, schemas: DataFrame, registry_limit: int =
         report = _report_column(F.col("value"), F.col("schema_text"), None)
     columns = [F.col(name) for name in documents.columns if name != "value"]
     reported = source.select(*columns, report.alias("report"))
-    return reported.select(*columns, "report.content", "report.finding", "report.strings")
+    named = F.struct(*(F.col(f"report.{name}").alias(name) for name in (*FILE_FIELDS, "hosted"))).alias("named")
+    return reported.select(*columns, "report.content", "report.finding", "report.strings", "report.content_digest", named)
 
 
 def schema_errors(reported: DataFrame) -> DataFrame:
@@ -199,7 +211,9 @@ def match_descriptors(metadata: DataFrame, descriptors: DataFrame) -> tuple[Data
 
     ``metadata`` and ``descriptors`` hold a ``content`` column; pairs carry ``content`` and ``descriptor``.
     """
-    described = descriptors.select(*FILE_KEY, F.col("content").alias("descriptor"))
+    carried = [name for name in ("named",) if name in descriptors.columns]
+    described = descriptors.select(*FILE_KEY, F.col("content").alias("descriptor"), *carried)
+    metadata = metadata.drop(*carried)
     keys = list(FILE_KEY)
     # both inputs of the inner join come straight from a shuffle, so adaptive execution can split a
     # heavy name on either side; the unmatched names need the key columns only
@@ -223,7 +237,7 @@ def match_descriptors(metadata: DataFrame, descriptors: DataFrame) -> tuple[Data
 
 # --- table rows ------------------------------------------------------------------------------------
 
-STAGED = ("area", "entity_type", "entity_id", "version", "content", "project_id", "crc32c", "descriptor")
+STAGED = ("area", "entity_type", "entity_id", "version", "content", "content_digest", "project_id", "crc32c", "descriptor")
 
 
 def _staged(named: DataFrame, **extra: Column) -> DataFrame:
@@ -267,7 +281,7 @@ def reshape(reported: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     named_links = with_links_name(readable.filter(kind == "links"))
 
     rows = metadata_rows(named_metadata).unionByName(file_rows(named_pairs)).unionByName(links_rows(named_links))
-    described = descriptors.select(*FILE_KEY, "kind", F.col("content").alias("descriptor"))
+    described = descriptors.select(*FILE_KEY, "kind", F.col("content").alias("descriptor"), "named")
     requests = load_requests(described)
     # a descriptor that was dropped as incomplete is not validated
     validated = with_missing_property(

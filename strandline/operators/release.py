@@ -132,19 +132,24 @@ def before_cutoff(staged: DataFrame, cutoff: Column) -> DataFrame:
     return staged.withColumn("version_ts", require_version(F.col("version"))).filter(F.col("version_ts") <= cutoff)
 
 
+def _print(rows: DataFrame) -> Column:
+    return (F.col("content_digest") if "content_digest" in rows.columns else fingerprint(F.col("content"))).alias("print")
+
+
 def latest_staged(staged: DataFrame, by: Sequence[str] = ("area", *ENTITY)) -> DataFrame:
     """Of each staged entity the row with the largest version text, and its content's fingerprint.
 
-    The fingerprint replaces the content before anything is shuffled.
+    The fingerprint replaces the content before anything is shuffled; ``content_digest`` stands for it where the
+    rows have that, which must then hold for staged and stored rows alike.
     """
-    narrow = staged.select(*by, "version", fingerprint(F.col("content")).alias("print"))
+    narrow = staged.select(*by, "version", _print(staged))
     newest = F.max(F.struct("version", "print")).alias("newest")
     return narrow.groupBy(*by).agg(newest).select(*by, "newest.version", "newest.print")
 
 
 def latest_stored(rows: DataFrame) -> DataFrame:
-    """Of each stored entity the newest version and its content's fingerprint."""
-    narrow = rows.select(*ENTITY, "version", fingerprint(F.col("content")).alias("print"))
+    """Of each stored entity the newest version and its content's fingerprint, as in ``latest_staged``."""
+    narrow = rows.select(*ENTITY, "version", _print(rows))
     newest = F.max(F.struct("version", "print")).alias("newest")
     return narrow.groupBy(*ENTITY).agg(newest).select(
         *ENTITY, F.col("newest.version").alias("stored_version"), F.col("newest.print").alias("stored_print")

@@ -2,9 +2,11 @@
 
 Spark's own skew handling splits a shuffle partition only when both join inputs come straight from a
 shuffle. Here the right side is usually an aggregate (one row per key), where it does not apply. So
-the heavy keys of the left side are found first, with one sketch over the key column, and only those
-keys are spread over several slices. The sketch decides placement, never content: a key it misses or
-adds changes no result.
+the heavy keys of the left side are found first, and only those keys are spread over several slices of
+a bounded number of rows. Two passes over the key column find them exactly: the first counts rows by a
+small hash, which is one short list whatever the data; the second counts the single keys in the few
+entries of that list that are beyond a slice. Where there are none, adaptive execution leaves the second
+pass out.
 """
 
 from __future__ import annotations
@@ -14,11 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most HOT_LIMIT keys can each hold more than 1/HOT_LIMIT of the rows, so the broadcast table of
-# heavy keys has at most that many rows of two numbers, whatever the size of the data.
-HOT_LIMIT = 1000
-# Keys below this many rows are one task's work anyway.
+# Rows of one key that a task takes; keys with more are cut into slices of about so many.
 MIN_SLICE_ROWS = 1_000_000
+# Entries of the first pass.
+LIST_SIZE = 1 << 16
+# Bound of the broadcast table of heavy keys (two numbers each): beyond MIN_SLICE_ROWS times this number of rows,
+# which is 10^12, slices grow with the data.
+HEAVY_LIMIT = 1_000_000
 
 _HASH, _COPIES, _SLICE = "__key_hash", "__copies", "__slice"
 _OTHER_COPIES, _OTHER_SLICE, _ROWS = "__other_copies", "__other_slice", "__rows"
@@ -29,18 +33,16 @@ def _hashed(on: Sequence[str]):
 
 
 def hot_keys(left: DataFrame, on: Sequence[str], min_slice_rows: int | None = None) -> DataFrame:
-    """Hashes of the heavy keys and the number of slices each is to be cut into (at most HOT_LIMIT rows)."""
+    """Hashes of all keys with more than ``min_slice_rows`` rows and the number of slices each is to be cut into."""
     least = MIN_SLICE_ROWS if min_slice_rows is None else min_slice_rows
-    sketch = left.select(_hashed(on).alias(_HASH)).agg(
-        F.expr(f"approx_top_k({_HASH}, {HOT_LIMIT}, {10 * HOT_LIMIT})").alias("top"), F.count(F.lit(1)).alias("total")
-    )
-    per_slice = F.greatest(F.col("total") / HOT_LIMIT, F.lit(float(least)))
-    entries = sketch.select(F.explode("top").alias("entry"), per_slice.alias("per_slice"))
-    heavy = entries.filter(F.col("entry.count") > F.col("per_slice"))
-    return heavy.select(
-        F.col("entry.item").alias(_HASH),
-        F.ceil(F.col("entry.count") / F.col("per_slice")).cast("int").alias(_COPIES),
-    )
+    keys = left.select(_hashed(on).alias(_HASH)).withColumn("entry", F.pmod(_HASH, F.lit(LIST_SIZE)))
+    listed = keys.groupBy("entry").agg(F.count(F.lit(1)).alias("n"))
+    full = listed.filter(F.col("n") > least).select("entry", F.lit(True).alias("full"))
+    counted = keys.join(F.broadcast(full), "entry", "left_semi").groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
+    # the sum of all counts, for the bound of the table
+    total = listed.agg(F.sum("n")).scalar()
+    sliced = counted.withColumn("slice", F.greatest(F.lit(least), F.ceil(total / HEAVY_LIMIT)))
+    return sliced.filter("n > slice").select(_HASH, F.ceil(F.col("n") / F.col("slice")).cast("int").alias(_COPIES))
 
 
 def _own_slice(spread: Sequence[str], copies: str):
@@ -102,7 +104,7 @@ def grid_join(
     right_hot = hot_keys(right, on, min_slice_rows) if right_hot is None else right_hot
     by_left = left_hot.withColumn(_OTHER_COPIES, none)
     by_right = right_hot.withColumnRenamed(_COPIES, _OTHER_COPIES).withColumn(_COPIES, none)
-    # at most twice HOT_LIMIT rows
+    # at most twice HEAVY_LIMIT rows
     hot = F.broadcast(by_left.unionByName(by_right).groupBy(_HASH).agg(F.max(_COPIES).alias(_COPIES), F.max(_OTHER_COPIES).alias(_OTHER_COPIES)))
     drop = (_HASH, _COPIES, _OTHER_COPIES)
     rows = (

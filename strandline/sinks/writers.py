@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.functions.jsons import content_digest
 from strandline.functions.versions import format_version
-from strandline.schemas import ROWS, version_date
+from strandline.schemas import ROWS, TOMBSTONES, version_date
 
 
 def _json_ready(frame: DataFrame) -> DataFrame:
@@ -67,19 +68,25 @@ def append_rows(rows: DataFrame, path: str) -> None:
     """Append rows to the long table, partitioned by entity type and version date.
 
     Rows get their row id here, in the writing tasks. The rebalance hint gathers the rows of a
-    partition into few files and lets adaptive execution split a partition that holds too much.
+    partition into few files and lets adaptive execution split a partition that holds too much. The content's
+    digest is made here where the rows have none yet.
     """
     dated = rows.withColumn("version_date", version_date(F.col("version")))
+    if "content_digest" not in rows.columns:
+        dated = dated.withColumn("content_digest", content_digest(F.col("content")))
     missing = [f for f in ROWS if f.name not in (*dated.columns, "row_id")]
     complete = dated.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else dated
     placed = complete.hint("rebalance", "entity_type", "version_date")
     with_id = placed.withColumn("row_id", F.expr("uuid()"))
-    with_id.select(*ROWS.fieldNames()).write.mode("append").partitionBy("entity_type", "version_date").parquet(path)
+    # sorted by id within a folder, and with a Bloom filter of ids, so that a look-up of few ids skips row groups
+    ordered = with_id.select(*ROWS.fieldNames()).sortWithinPartitions("entity_type", "version_date", "entity_id")
+    bloom = {"parquet.bloom.filter.enabled#entity_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    ordered.write.options(**bloom).mode("append").partitionBy("entity_type", "version_date").parquet(path)
 
 
 def append_tombstones(tombstones: DataFrame, path: str) -> None:
     """Tombstones lie in a folder per type, so reading one type's live rows reads only its own."""
-    tombstones.select("row_id", "entity_type").write.mode("append").partitionBy("entity_type").parquet(path)
+    tombstones.select(*TOMBSTONES.fieldNames()).write.mode("append").partitionBy("entity_type").parquet(path)
 
 
 def copy_by_type(rows: DataFrame, path: str, columns: Iterable[str] | None = None) -> None:

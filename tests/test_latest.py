@@ -91,6 +91,14 @@ def test_hot_keys_are_found_and_bounded(spark):
     assert [row["__copies"] for row in hot] == [10]
 
 
+def test_a_key_of_a_small_share_is_cut_by_an_absolute_bound(spark):
+    """1/2000 of the rows, in a list of many keys whose entries are mostly shared."""
+    data = spark.range(400_000).selectExpr("case when id < 200 then 'some' when id < 221 then 'few' else cast(id div 2 as string) end as k", "id")
+    assert [row["__copies"] for row in skew.hot_keys(data, ["k"], min_slice_rows=21).collect()] == [10]
+    assert skew.hot_keys(data, ["k"], min_slice_rows=200).count() == 0
+    assert sorted(row["__copies"] for row in skew.hot_keys(data, ["k"], min_slice_rows=20).collect()) == [2, 10]
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_spread_join_equals_plain_join(spark, how):
     left = spark.range(3000).selectExpr("case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else cast(id % 50 as string) end as k", "id")

@@ -142,19 +142,6 @@ def test_problem_removal(spark, folder):
     assert store.live().count() == 5
 
 
-def test_tombstones_many_and_few(spark, folder, monkeypatch):
-    from strandline.plans import store as module
-
-    store = Store(spark, f"{folder}/store")
-    rows = spark.range(50).selectExpr("'project' as entity_type", "cast(id as string) as entity_id",
-                                      "timestamp'2021-01-01 00:00:00' as version", "'{}' as content")
-    store.append(rows)
-    store.soft_delete(store.raw().filter("entity_id < '2'"))
-    few = values(store.live(), "entity_id")
-    monkeypatch.setattr(module, "BROADCAST_TOMBSTONES", 0)
-    assert values(store.live(), "entity_id") == few and len(few) == 50 - 12
-
-
 def test_session_zone_is_checked(spark, folder):
     spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
     try:
