@@ -9,6 +9,7 @@ from strandline.operators.files import null_file_refs
 from strandline.operators.latest import duplicate_rows
 from strandline.operators.skew import spread_join
 from strandline.schemas import LINKS, PROJECT, TOP_LEVEL_DIRS
+from strandline.session import land
 
 # The five problem counts.
 COUNTS = ("duplicates", "null_file_refs", "dangling_project_refs", "empty_links_count", "empty_projects_count")
@@ -41,28 +42,52 @@ def problems_by_table(problems: DataFrame) -> DataFrame:
     return problems.groupBy("entity_type", "issue").agg(F.countDistinct("row_id").alias("n_rows"))
 
 
+def _tagged(rows: DataFrame) -> DataFrame:
+    """One row for each check that a row of a data set takes part in, counted up by tag and key.
+
+    ``id``: each row under its type and id; ``ref``: each links row under its project and id; ``own``: each
+    project row under its id. One scan and one aggregation, combined before the shuffle.
+    """
+    kind, none = F.col("entity_type"), F.lit(None).cast("string")
+
+    def tag(name: str, first: Column, second: Column) -> Column:
+        return F.struct(F.lit(name).alias("tag"), first.alias("a"), second.alias("b"))
+
+    unset = F.col("file_id").isNull() & ~F.col("descriptor").like('%"drs_uri":%')
+    tags = F.array_compact(F.array(
+        tag("id", kind, F.col("entity_id")),
+        F.when(kind == LINKS, tag("ref", F.col("project_id"), F.col("entity_id"))),
+        F.when(kind == PROJECT, tag("own", F.col("entity_id"), none)),
+    ))
+    each = rows.select(F.explode(tags).alias("t"), F.col("version").isNotNull().alias("dated"), F.coalesce(unset, F.lit(False)).alias("unset"))
+    return each.groupBy("t.tag", "t.a", "t.b").agg(
+        F.count(F.lit(1)).alias("n"), F.max("dated").alias("dated"), F.sum(F.col("unset").cast("bigint")).alias("n_unset"))
+
+
 def problem_counts(rows: DataFrame) -> DataFrame:
-    """One row: the five problem counts of a data set, and ``has_problems``."""
-    links = rows.filter(F.col("entity_type") == LINKS).select(F.col("entity_id").alias("links_id"), "project_id")
-    projects = rows.filter(F.col("entity_type") == PROJECT).select(F.col("entity_id").alias("project_id"))
-    by_issue = problems_by_table(problem_rows(rows)).select("issue", F.col("n_rows").alias("n"))
-
-    def counted(issue: str, frame: DataFrame, n: Column) -> DataFrame:
-        return frame.agg(n.cast("bigint").alias("n")).select(F.lit(issue).alias("issue"), "n")
-
-    n_rows = F.count(F.lit(1))
-    empty = F.when(n_rows == 0, 1).otherwise(0)
-    parts = (
-        by_issue
-        .unionByName(counted("dangling_project_refs", dangling_links(links, projects), n_rows))
-        .unionByName(counted("empty_links_count", links, empty))
-        .unionByName(counted("empty_projects_count", projects, empty))
-    )
-    sums = [F.coalesce(F.sum(F.when(F.col("issue") == name, F.col("n"))), F.lit(0)).alias(name) for name in COUNTS]
+    """One row: the five problem counts of a data set, and ``has_problems``.
+
+    The rows are read once; what the checks need of them is stored by key, without content. Row ids are taken to
+    be unique, as an append makes them.
+    """
+    tagged = land(_tagged(rows), "tagged")
+    is_id, is_ref, is_own = (F.col("tag") == name for name in ("id", "ref", "own"))
+    # one row of the newest version is kept of each id; where no row has a version, none is
+    spare = F.when(F.col("n") > 1, F.when(F.col("dated"), F.col("n") - 1).otherwise(F.col("n"))).otherwise(0)
+    zero = F.lit(0).cast("bigint")
+    parts = tagged.select(
+        F.when(is_id, spare).otherwise(0).cast("bigint").alias("duplicates"), F.when(is_id, F.col("n_unset")).otherwise(0).cast("bigint").alias("null_file_refs"),
+        zero.alias("dangling_project_refs"), is_ref.cast("bigint").alias("n_links"), is_own.cast("bigint").alias("n_projects"))
+    links = tagged.filter(is_ref).select(F.col("b").alias("links_id"), F.col("a").alias("project_id"))
+    dangling = dangling_links(links, tagged.filter(is_own).select(F.col("a").alias("project_id")))
+    parts = parts.unionByName(dangling.select(zero.alias("duplicates"), zero.alias("null_file_refs"), F.lit(1).cast("bigint").alias("dangling_project_refs"), zero.alias("n_links"), zero.alias("n_projects")))
+    sums = parts.agg(*(F.coalesce(F.sum(name), zero).alias(name) for name in ("duplicates", "null_file_refs", "dangling_project_refs", "n_links", "n_projects")))
+    empty = {f"empty_{name}_count": F.when(F.col(f"n_{name}") == 0, 1).otherwise(0).cast("bigint") for name in ("links", "projects")}
     any_problem = F.lit(False)
+    counted = sums.withColumns(empty).select(*COUNTS)
     for name in COUNTS:
         any_problem = any_problem | (F.col(name) > 0)
-    return parts.agg(*sums).withColumn("has_problems", any_problem)
+    return counted.withColumn("has_problems", any_problem)
 
 
 def missing_directories(inventory: DataFrame, areas: DataFrame) -> DataFrame:

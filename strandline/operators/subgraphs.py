@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.skew import small, spread_join
 from strandline.schemas import LINKS, LINKS_CONTENT
+from strandline.session import land
 
 # The two kinds of link.
 PROCESS_LINK = "process_link"
@@ -74,14 +75,10 @@ def subgraph_nodes(links: DataFrame) -> DataFrame:
     )
 
 
-def link_problems(links: DataFrame) -> DataFrame:
-    """Links rows that cannot be opened in full: ``links_id, project_id, problem``.
-
-    Problems: unreadable content or no links array, an unknown link type, a missing part of a link.
-    """
-    opened = with_links(links).select("links_id", "project_id", F.explode_outer("links").alias("link"), F.col("links").isNull().alias("closed"))
-    link = F.col("link")
+def _problem_of_link(link: Column, closed: Column) -> Column:
+    """Why a link cannot be opened in full, or null."""
     kind = F.coalesce(link["link_type"], F.lit("null"))
+
     def lacks(items: Column, *fields: str) -> Column:
         """Is the array absent, or any of its items without a field?"""
         return items.isNull() | F.exists(items, lambda x: _any_null(x, fields))
@@ -99,15 +96,51 @@ def link_problems(links: DataFrame) -> DataFrame:
             _any_null(link["entity"], ("entity_type", "entity_id")) | lacks(link["files"], "file_type", "file_id"),
         )
     )
-    problem = (
-        F.when(F.col("closed"), "no links array")
+    return (
+        F.when(closed, "no links array")
         .when(link.isNull(), None)
         .when(~kind.isin(PROCESS_LINK, FILE_LINK), F.concat(F.lit("unknown link type "), kind))
         .when(lacking, F.concat(F.lit("incomplete "), kind))
     )
+
+
+def link_problems(links: DataFrame) -> DataFrame:
+    """Links rows that cannot be opened in full: ``links_id, project_id, problem``.
+
+    Problems: unreadable content or no links array, an unknown link type, a missing part of a link.
+    """
+    opened = with_links(links).select("links_id", "project_id", F.explode_outer("links").alias("link"), F.col("links").isNull().alias("closed"))
+    problem = _problem_of_link(F.col("link"), F.col("closed"))
     return opened.select("links_id", "project_id", problem.alias("problem")).filter("problem is not null").distinct()
 
 
+def graph_table(links: DataFrame) -> DataFrame:
+    """The nodes of all links, and the problems, as one stored table; every document is parsed once.
+
+    ``links_id, project_id`` with ``entity_type, entity_id`` of a node, or else a ``problem``.
+    """
+    opened = with_links(links).select(
+        "links_id", "project_id", F.posexplode_outer("links").alias("position", "link"), F.col("links").isNull().alias("closed"))
+    own = F.when(F.coalesce(F.col("position"), F.lit(0)) == 0, _node(F.lit(LINKS), F.col("links_id"))).otherwise(F.array().cast(NODES))
+    nodes = F.concat(own, F.coalesce(_nodes_of_link(F.col("link")), F.array().cast(NODES)))
+    found = opened.select("links_id", "project_id", nodes.alias("nodes"), _problem_of_link(F.col("link"), F.col("closed")).alias("problem"))
+    # a problem is a last item without a node
+    last = F.when(F.col("problem").isNotNull(), F.array(F.lit(None).cast("struct<entity_type:string,entity_id:string>"))).otherwise(F.array().cast(NODES))
+    items = found.select("links_id", "project_id", "problem", F.posexplode(F.concat("nodes", last)).alias("at", "node"), F.size("nodes").alias("n"))
+    is_problem = F.col("at") >= F.col("n")
+    return land(items.select("links_id", "project_id", "node.entity_type", "node.entity_id", F.when(is_problem, F.col("problem")).alias("problem")), "graph")
+
+
+def nodes_in(graph: DataFrame) -> DataFrame:
+    """The nodes of a ``graph_table``, as ``subgraph_nodes`` gives them."""
+    return graph.filter("problem is null").drop("problem")
+
+
+def problems_in(graph: DataFrame) -> DataFrame:
+    """The problems of a ``graph_table``, as ``link_problems`` gives them."""
+    return graph.filter("problem is not null").select("links_id", "project_id", "problem").distinct()
+
+
 def expected_entities(nodes: DataFrame) -> DataFrame:
     """Distinct nodes, whatever links name them."""
     return nodes.select("entity_type", "entity_id").distinct()
@@ -121,15 +154,15 @@ def missing_entities(nodes: DataFrame, loaded: DataFrame) -> DataFrame:
 
 def missing_by_project(nodes: DataFrame, loaded: DataFrame) -> DataFrame:
     """``project_id`` and each entity its subgraphs expect that no table holds."""
-    wanted = nodes.select("project_id", "entity_type", "entity_id").distinct()
+    wanted = land(nodes.select("project_id", "entity_type", "entity_id").distinct(), "nodes")
     stored = loaded.select("entity_type", "entity_id").distinct()
     return spread_join(wanted, stored, ["entity_type", "entity_id"], "left_anti", ["project_id"])
 
 
 def project_report(links: DataFrame, loaded: DataFrame) -> DataFrame:
     """Per project: links rows, distinct expected entities, missing ones, unreadable links, and ``verified``."""
-    nodes = subgraph_nodes(links)
-    wanted = nodes.select("project_id", "entity_type", "entity_id").distinct()
+    graph = graph_table(links)
+    wanted = land(nodes_in(graph).select("project_id", "entity_type", "entity_id").distinct(), "nodes")
     stored = loaded.select("entity_type", "entity_id").distinct().withColumn("stored", F.lit(True))
     found = spread_join(wanted, stored, ["entity_type", "entity_id"], "left", ["project_id"])
     zero = F.lit(0).cast("bigint")
@@ -140,7 +173,7 @@ def project_report(links: DataFrame, loaded: DataFrame) -> DataFrame:
             "project_id", zero.alias("n_links"), one.alias("n_expected"),
             F.when(F.col("stored").isNull(), 1).otherwise(0).cast("bigint").alias("n_missing"), zero.alias("n_problems"),
         ))
-        .unionByName(link_problems(links).select(
+        .unionByName(problems_in(graph).select(
             "project_id", zero.alias("n_links"), zero.alias("n_expected"), zero.alias("n_missing"), one.alias("n_problems"),
         ))
     )

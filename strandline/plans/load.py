@@ -4,21 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.versions import require_version
 from strandline.operators.diff import rows_to_append
 from strandline.operators.files import require_file_ids, with_file_ids
-from strandline.operators.latest import outdated_rows
+from strandline.operators.latest import KEYS, outdated_rows
 from strandline.operators.rows import union_of_types
+from strandline.operators.skew import small
 from strandline.plans.store import Store
 from strandline.schemas import ENTITY_TYPES, FILE_TYPES, STAGED, version_date
 from strandline.session import land
 from strandline.sources.staging import has_any_data
 from strandline.sources.tables import read_staged
 
+# Pairs of type and version date, and ids, that are spelled out in a filter.
+PAIRS, IDS = 5_000, 500
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -58,39 +63,69 @@ def resolve_stored_file_ids(store: Store) -> DataFrame:
     return with_file_ids(store.live().filter(F.col("entity_type").isin(*FILE_TYPES)), store.history())
 
 
-def _same_dates(existing: DataFrame, staged: DataFrame) -> DataFrame:
-    """Stored rows within the staged rows' version dates; others cannot have an equal key.
+def stored_beside(existing: DataFrame, keys: DataFrame) -> DataFrame:
+    """Stored rows of the types and version dates of some keys (``entity_type, version``); others cannot have an equal key.
+
+    Up to ``PAIRS`` pairs of type and date are spelled out, so that only their folders are opened. Beyond, the
+    folders from each type's first to its last date are, and a semi join leaves out the dates between.
+    """
+    pairs = keys.select("entity_type", version_date(F.col("version")).alias("version_date")).distinct()
+    listed = pairs.limit(PAIRS + 1).collect()
+    by_type: dict[str, list] = {}
+    for row in listed:
+        if row.version_date is not None:
+            by_type.setdefault(row.entity_type, []).append(row.version_date)
+    if len(listed) <= PAIRS:
+        tests = [(F.col("entity_type") == name) & F.col("version_date").isin(sorted(dates)) for name, dates in sorted(by_type.items())]
+        return existing.filter(reduce(Column.__or__, tests, F.lit(False)))
+    # a few dozen types at most
+    spans = pairs.groupBy("entity_type").agg(F.min("version_date").alias("low"), F.max("version_date").alias("high")).collect()
+    tests = [(F.col("entity_type") == row.entity_type) & F.col("version_date").between(row.low, row.high) for row in spans]
+    return existing.filter(reduce(Column.__or__, tests, F.lit(False))).join(pairs, ["entity_type", "version_date"], "left_semi")
+
+
+def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Stored rows of some ids (``entity_type, entity_id``).
 
-    The two dates become scalar subqueries, so the stored table is pruned by partition.
+    Up to ``IDS`` ids are spelled out, which the files' Bloom filters answer, so that row groups without them are
+    not read; the exact join follows, and more ids are joined alone.
     """
-    dates = staged.select(version_date(F.col("version")).alias("d"))
-    low, high = dates.agg(F.min("d")).scalar(), dates.agg(F.max("d")).scalar()
-    return existing.filter((F.col("version_date") >= low) & (F.col("version_date") <= high))
+    listed = ids.limit(IDS + 1).collect()
+    if len(listed) <= IDS:
+        rows = rows.filter(F.col("entity_type").isin(sorted({row.entity_type for row in listed})) & F.col("entity_id").isin(sorted({row.entity_id for row in listed if row.entity_id is not None})))
+    return rows.join(small(ids), list(KEYS), "left_semi")
 
 
 def load(staged: DataFrame, store: Store, against: str = "live") -> LoadResult:
     """Append what the store lacks, then soft-delete older versions in the tables that rows are staged for.
 
-    A load that broke off after its append is completed by the next run of the same rows: there is nothing
-    to append then, but older versions are still removed. ``against='raw'`` compares with removed rows too, so those are not appended again.
+    Only the folders of the staged types and version dates are compared, and only the staged ids are ranked, so
+    a load reads in proportion to itself. A load that broke off after its append is completed by the next run of
+    the same rows: there is nothing to append then, but older versions are still removed. ``against='raw'`` compares with removed rows too, so those are not appended again.
     """
     if against not in ("live", "raw"):
         raise ValueError(f"against must be live or raw, not {against}")
-    existing = store.live() if against == "live" else store.raw()
-    new_rows = land(rows_to_append(staged, _same_dates(existing, staged)), "new-rows")
+    keys = land(staged.select(*KEYS, "version"), "staged-keys")
+    # a few dozen types at most
+    present = sorted(row.entity_type for row in keys.select("entity_type").distinct().collect())
+    existing = store.live(present) if against == "live" else store.raw()
+    new_rows = land(rows_to_append(staged, stored_beside(existing, keys)), "new-rows")
     # at most one entry per entity type
     appended = {row.entity_type: row["count"] for row in new_rows.groupBy("entity_type").count().collect()}
     if appended:
         store.append(new_rows.drop("area", "crc32c"))
-    # a few dozen types at most
-    present = sorted(row.entity_type for row in staged.select("entity_type").distinct().collect())
-    return LoadResult(appended, clear_outdated(store, present) if present else {})
+    ids = land(keys.select(*KEYS).distinct(), "staged-ids")
+    return LoadResult(appended, clear_outdated(store, present, ids) if present else {})
 
 
-def clear_outdated(store: Store, entity_types: Sequence[str]) -> dict[str, int]:
-    """Soft-delete the rows of some types that are older than the newest version of their id."""
-    rows = store.live().filter(F.col("entity_type").isin(*entity_types))
-    old = land(outdated_rows(rows).select("entity_type", "row_id"), "outdated")
+def clear_outdated(store: Store, entity_types: Sequence[str], ids: DataFrame | None = None) -> dict[str, int]:
+    """Soft-delete the rows of some types that are older than the newest version of their id.
+
+    With ``ids`` (``entity_type, entity_id``) only rows of these ids are ranked: as each load clears the ids it
+    appends, nothing else can have become outdated.
+    """
+    rows = store.live(entity_types).select(*KEYS, "version", "row_id")
+    old = land(outdated_rows(rows if ids is None else land(with_ids(rows, ids), "ranked")).select("entity_type", "row_id"), "outdated")
     # at most one entry per entity type
     outdated = {row.entity_type: row["count"] for row in old.groupBy("entity_type").count().collect()}
     if outdated:
