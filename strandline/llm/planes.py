@@ -64,8 +64,8 @@ def _times(a: int, b: int) -> int:
 
 def join_crc32(parts: list[tuple[int, int]]) -> int:
     """The CRC-32 of joined byte strings, from (CRC-32, length) of each."""
-    whole = 0
-    for crc, length in parts:
+    whole = parts[0][0] if parts else 0
+    for crc, length in parts[1:]:
         shift, power = 1 << 31, 1 << 23  # x^0 and x^8
         while length:
             if length & 1:
@@ -195,13 +195,13 @@ def read_span(spark: SparkSession, path: str, start: int, n_ids: int) -> DataFra
     return wanted.mapInArrow(run, "start long, ids array<long>")
 
 
-_PART = "shard int, doc long, chunk int, doc_id long, first long, n_tokens long, ids_crc32 long, whole boolean"
+_PART = "shard int, doc long, chunk int, doc_id long, first long, n_tokens long, ids_crc32 long"
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What each chunk has of each document: its number in the shard, place, ids and their CRC-32."""
     fields = pa.schema([("shard", pa.int32()), ("doc", pa.int64()), ("chunk", pa.int32()), ("doc_id", pa.int64()), ("first", pa.int64()),
-                        ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("whole", pa.bool_())])
+                        ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
     for batch in batches:
         for row in batch.to_pylist():
             raw = from_planes(row["planes"], row["n_ids"], row["kind"]).astype("<u4").tobytes()
@@ -211,8 +211,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 number = row["docs_before"]
             found = [
-                (row["shard"], number + k, row["chunk"], doc_ids[k], row["first"] + a, b - a, zlib.crc32(raw[4 * a : 4 * b]),
-                 number + k >= row["docs_before"] and k < len(starts) - 1)
+                (row["shard"], number + k, row["chunk"], doc_ids[k], row["first"] + a, b - a, zlib.crc32(raw[4 * a : 4 * b]))
                 for k, (a, b) in enumerate(zip(starts, [*starts[1:], row["n_ids"]], strict=True))
             ]
             yield _batch(found, fields)
@@ -228,15 +227,15 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every stored document, from the ids in the planes.
 
-    Documents within a chunk need no shuffle; of the others, each chunk's part is summed up by itself, so that
-    only counts and checksums of at most two parts a chunk meet.
+    Each chunk is opened once and its part of each document summed up by itself, so that only counts and
+    checksums meet, and of a document of any length one for each of its chunks.
     """
     ready(spark)
     parts = spark.read.schema(STORED).parquet(path).mapInArrow(_parts, _PART)
-    split = (parts.filter("not whole").groupBy("shard", "doc")
-             .agg(F.max("doc_id").alias("doc_id"), F.min("first").alias("first"), F.sort_array(F.collect_list(F.struct("chunk", "n_tokens", "ids_crc32"))).alias("parts"))
-             .select("shard", "doc_id", "first", "parts").mapInArrow(_joined, "shard int, doc_id long, first long, n_tokens long, ids_crc32 long"))
-    rows = parts.filter("whole").select("shard", "doc_id", "first", "n_tokens", "ids_crc32").unionByName(split)
+    gathered = (parts.groupBy("shard", "doc")
+                .agg(F.max("doc_id").alias("doc_id"), F.min("first").alias("first"), F.sort_array(F.collect_list(F.struct("chunk", "n_tokens", "ids_crc32"))).alias("parts"))
+                .select("shard", "doc_id", "first", "parts"))
+    rows = gathered.mapInArrow(_joined, "shard int, doc_id long, first long, n_tokens long, ids_crc32 long")
     return _placed(rows, spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

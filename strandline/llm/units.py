@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-UNITS_HELD = 400_000  # distinct units that a worker remembers, about
+UNITS_HELD = 300_000  # distinct units that a worker remembers, or those of one batch
 UNIT_CHARS = 64  # longer units are not remembered
 BATCH_BYTES = 16 << 20  # of texts whose distinct units are found at once
 TEXT_PART = 1 << 20  # characters of a text that are cut into units at once
@@ -28,7 +28,9 @@ _UNIT = re.compile("[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _CUT = re.compile("[!-~](?=[ \n])")
 # White space that a piece of a byte-level pattern may span: other than blanks and line feeds, three of these, or two at the end.
-_UNPLAIN = r"[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
+_MARK = "\x01"
+_PUNCTUATED = r"([0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{17f}])([.,;:!?])"
+_UNPLAIN = r"[\x01\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
 
 
 def text_pieces(text: str, size: int) -> Iterator[str]:
@@ -48,27 +50,21 @@ def cut_units(piece: str) -> list[str]:
 class UnitCoder:
     """Token ids of texts by any function from distinct units to their ids; units met lately are remembered."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], held: int = UNITS_HELD):
+    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], held: int = UNITS_HELD):
         self.encode, self.held = encode, held
         self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # what was known before `known` last became full
 
     def each(self, units: list[str]) -> list[bytes]:
         """The ids of each unit as unsigned numbers of 32 bits."""
-        if len(self.known) > self.held // 2:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        found = list(map(known.get, units))
+        found = list(map(self.known.get, units))
         if None in found:
-            absent = {unit for unit, ids in zip(units, found, strict=True) if ids is None}
-            known.update({unit: older[unit] for unit in absent if unit in older})
-            new = [unit for unit in absent if unit not in older]
-            if new:
-                known.update({u: array("I", ids).tobytes() for u, ids in zip(new, self.encode(new), strict=True)})
-            found = [known[unit] for unit in units]
-            for unit in new:
-                if len(unit) > UNIT_CHARS:
-                    del known[unit]
+            new = list(dict.fromkeys([unit for unit, ids in zip(units, found, strict=True) if ids is None]))
+            fresh = dict(zip(new, (array("I", ids).tobytes() for ids in self.encode(new)), strict=True))
+            found = [fresh[unit] if ids is None else ids for unit, ids in zip(units, found, strict=True)]
+            if len(self.known) + len(fresh) > self.held:  # those of these texts alone are kept
+                self.known = {unit: ids for unit, ids in zip(units, found, strict=True) if len(unit) <= UNIT_CHARS}
+            else:
+                self.known.update({unit: ids for unit, ids in fresh.items() if len(unit) <= UNIT_CHARS})
         return found
 
     def ids(self, text: str) -> Iterator[np.ndarray]:
@@ -102,7 +98,8 @@ def gathered(at: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray
 class BatchUnits:
     """The distinct units of a batch of texts, found by Arrow, and which of them each plain text has.
 
-    Texts are cut before blanks and line feeds. `alone` marks those that must be cut by `cut_units` instead: with
+    Texts are cut before blanks and line feeds, and unless `spaced`, which is for piece tokenizers too, between a
+    letter or digit and punctuation. `alone` marks those that must be cut by `cut_units` instead: with
     other white space, with runs of white space that tokenizers may take as one piece, or longer than a part; with
     `spaced`, each text has a blank put before it, and runs of blanks are such for piece tokenizers too.
     """
@@ -110,15 +107,23 @@ class BatchUnits:
     def __init__(self, texts: pa.Array, spaced: bool = False):
         alone = pc.or_(pc.match_substring_regex(texts, _UNPLAIN + "|^ |  " if spaced else _UNPLAIN), pc.greater(pc.binary_length(texts), TEXT_PART))
         self.alone = alone.to_pylist()
-        # a blank is put before each line feed and is left out again when units are spelled
-        pieces = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(alone)), "\n", " \n"), " ")
+        # a blank is put before each line feed, and one with a mark before punctuation after a word; they are left out
+        # again when units are spelled
+        plain = pc.replace_substring(texts.filter(pc.invert(alone)), "\n", " \n")
+        if not spaced:
+            plain = pc.replace_substring_regex(plain, _PUNCTUATED, "\\1 " + _MARK + "\\2")
+        pieces = pc.split_pattern(plain, " ")
         ends = pieces.offsets.to_numpy()
         coded = pieces.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
         self.starts = ends - ends[0]
-        self.units = [piece if piece[:1] == "\n" else " " + piece for piece in coded.dictionary.to_pylist()]
+        found = coded.dictionary
+        blank, nothing = (pa.scalar(text, found.type) for text in (" ", ""))
+        unmarked = pc.if_else(pc.starts_with(found, _MARK), pc.utf8_slice_codeunits(found, 1), pc.binary_join_element_wise(blank, found, nothing))
+        self.units = pc.if_else(pc.starts_with(found, "\n"), found, unmarked).to_pylist()
         self.which = coded.indices.to_numpy().astype(np.int64)
         if not spaced:  # the first piece of a text has no blank before it
             first = self.starts[:-1]
+            # and is no marked one, as a mark follows a word
             heads = coded.dictionary.take(pa.array(self.which[first])).to_pylist()
             self.which[first] = len(self.units) + np.arange(len(heads))
             self.units += heads
@@ -131,21 +136,21 @@ def larger_batches(batches: Iterator[pa.RecordBatch], size: int = BATCH_BYTES) -
         held.append(batch)
         n_bytes += batch.nbytes
         if n_bytes >= size:
-            yield pa.concat_batches(held)
-            held, n_bytes = [], 0
+            whole, held, n_bytes = pa.concat_batches(held), [], 0
+            yield whole
     if held:
         yield pa.concat_batches(held)
 
 
-def byte_level(path: str, plain: bool = False) -> Callable[[list[str]], list[list[int]]]:
+def byte_level(path: str, plain: bool = False) -> Callable[[list[str]], Iterable[list[int]]]:
     """The tokenizers library's encoder of a file, without added special tokens; with `plain`, their strings are text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = plain
-    return lambda units: [found.ids for found in library.encode_batch_fast(units, add_special_tokens=False)]
+    return lambda units: (found.ids for found in library.encode_batch_fast(units, add_special_tokens=False))
 
 
-def piece_level(path: str) -> Callable[[list[str]], list[list[int]]]:
+def piece_level(path: str) -> Callable[[list[str]], Iterable[list[int]]]:
     """The sentencepiece library's encoder of a model, for units of a blank and a text.
 
     The model's own blank stands for a unit's first one; before a line feed it is taken away again.
