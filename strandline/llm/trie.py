@@ -47,7 +47,8 @@ def numbered_turns(turns: DataFrame) -> DataFrame:
     meta = stored.metadataColumn("_metadata")
     placed = stored.select("*", meta["file_name"].alias("file"), meta["row_index"].alias("at"))
     files = placed.groupBy("file").agg(F.count("*").alias("n"))  # a row for each task that wrote
-    before = files.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    in_order = Window.orderBy(F.length("file"), "file")  # numbers of files have five digits or more
+    before = files.select("file", (F.sum("n").over(in_order) - F.col("n")).alias("before"))
     every = placed.join(before, "file").select("conv_id", "id", "size", (F.col("before") + F.col("at")).alias("at"))
     firsts = every.groupBy("conv_id").agg(F.min("at").alias("first"))
     return every.join(firsts, "conv_id").select("conv_id", (F.col("at") - F.col("first")).alias("place"), "id", "size")
