@@ -1,6 +1,6 @@
 """The roles the given tables play, as DataFrames and as SQL.
 
-Every frame reads whole tables. The SQL text of a role is a common table expression of the same name.
+Frames read their tables whole; `existing` plays a store that holds two of the event types. The SQL text of a role is a common table expression of the same name.
 """
 
 from __future__ import annotations

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from strandline.functions.versions import date_stamp
 
-# The version-4 UUID pattern, and the shapes of data set and snapshot names.
+# The version-4 UUID pattern, and the shapes of data set names, of snapshot names and of earlier ones.
 UUID_V4 = "(?i)([a-f0-9]{8}-?[a-f0-9]{4}-?4[a-f0-9]{3}-?[89ab][a-f0-9]{3}-?[a-f0-9]{12})"
-ENVIRONMENTS = ("dev", "prod", "staging")
-DATE = r"(\d{4})(\d{2})(\d{2})"
-LONG_QUALIFIER = r"(?:_([a-zA-Z][a-zA-Z0-9]{0,15}))?"
-SHORT_QUALIFIER = r"(?:_([a-zA-Z][a-zA-Z0-9]{0,13}))?"
-LEADING_QUALIFIER = "(_[a-zA-Z][a-zA-Z0-9]{0,13})?"
-COMPACT_ID = "([0-9a-f]{32})?"
-DASHED_ID = "([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})?"
+DATASET_NAME = r"^%s_(dev|prod|staging)_([0-9a-f]{32})?__(\d{4})(\d{2})(\d{2})(?:_([a-zA-Z][a-zA-Z0-9]{0,15}))?$"
+SNAPSHOT_NAME = (
+    r"^(%s)_(dev|prod|staging)_([0-9a-f]{32})?__(\d{4})(\d{2})(\d{2})(?:_([a-zA-Z][a-zA-Z0-9]{0,15}))?"
+    r"_(\d{4})(\d{2})(\d{2})(?:_([a-zA-Z][a-zA-Z0-9]{0,15}))?$"
+)
+EARLIER_SNAPSHOT_NAME = (
+    r"^(%s)_(dev|prod|staging)_(\d{4})(\d{2})(\d{2})(_[a-zA-Z][a-zA-Z0-9]{0,13})?_([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})?"
+    r"__(\d{4})(\d{2})(\d{2})(?:_([a-zA-Z][a-zA-Z0-9]{0,13}))?$"
+)
 
 
 def base_name(path: Column) -> Column:
@@ -69,15 +71,13 @@ def is_bucket_path(path: Column) -> Column:
 
 
 def dataset_name_pattern(atlas: str) -> str:
-    return f"^{atlas}_({'|'.join(ENVIRONMENTS)})_{COMPACT_ID}__{DATE}{LONG_QUALIFIER}$"
+    return DATASET_NAME % atlas
 
 
 def snapshot_name_patterns(atlases: Sequence[str]) -> tuple[str, str]:
     """The earlier and the current snapshot name pattern."""
-    head = f"^({'|'.join(atlases)})_({'|'.join(ENVIRONMENTS)})_"
-    earlier = f"{head}{DATE}{LEADING_QUALIFIER}_{DASHED_ID}__{DATE}{SHORT_QUALIFIER}$"
-    current = f"{head}{COMPACT_ID}__{DATE}{LONG_QUALIFIER}_{DATE}{LONG_QUALIFIER}$"
-    return earlier, current
+    names = "|".join(atlases)
+    return EARLIER_SNAPSHOT_NAME % names, SNAPSHOT_NAME % names
 
 
 def _suffix(qualifier: Column) -> Column:

@@ -81,7 +81,7 @@ def stored_rows(spark, content, project="p1", drop=()):
         own = entity_type == "links"
         made.append((entity_id, datetime(2021, 1, 1), json.dumps(content) if own else "{}", project if own else None,
                      "f" if entity_type.endswith("_file") else None, "{}" if entity_type.endswith("_file") else None,
-                     f"{entity_type}-{entity_id}", entity_type, date(2021, 1, 1)))
+                     None, f"{entity_type}-{entity_id}", entity_type, date(2021, 1, 1)))
     return spark.createDataFrame(made, ROWS)
 
 
