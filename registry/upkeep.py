@@ -6,7 +6,7 @@ from registry import query
 from registry import frames as R
 from strandline.operators import checks, latest, subgraphs
 from strandline.operators import rows as rows_ops
-from strandline.plans import check, load, snapshot
+from strandline.plans import check, load, snapshot, upkeep
 from strandline.plans.store import Store
 from strandline.session import work_path
 
@@ -92,6 +92,50 @@ def _store_of(s, rows):
     return store
 
 
+def _orders_store(s, d):
+    years = F.date_trunc("year", "o_orderdate").cast("timestamp")
+    dates = R.table(s, d, "orders").select(R.text("o_orderkey").alias("row_id"), years.alias("version"))
+    return _store_of(s, _orders_as_rows(s, d).join(dates, "row_id"))
+
+
+@query("d8_removal_job", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS row_id FROM orders WHERE o_orderpriority <> '1-URGENT' OR o_orderstatus = 'P'""")
+def removal_job(s, d):
+    """By control files, from the store."""
+    store = _orders_store(s, d)
+    upkeep.remove_project(store, "1-URGENT", work_path(s, "control"))
+    return store.live().select(F.col("content").alias("row_id"))
+
+
+@query("w1_spare_rows_job", """
+    SELECT o_orderpriority AS entity_id, count(*) - 1 AS n_spare, true AS newest_too
+    FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 HAVING count(*) > 1""")
+def spare_rows_job(s, d):
+    """All but one row of each id of a table; whether a row of the newest version is left in the store."""
+    store = _orders_store(s, d)
+    path = work_path(s, "spare")
+    upkeep.write_spare_rows(store, "project", path)
+    projects = store.live(["project"])
+    listed = projects.join(s.read.schema("row_id string").csv(path), "row_id", "left_semi")
+    kept = projects.join(listed, "row_id", "left_anti").groupBy("entity_id").agg(F.max("version").alias("kept"))
+    newest = projects.groupBy("entity_id").agg(F.max("version").alias("newest"))
+    spare = listed.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n_spare"))
+    return spare.join(kept, "entity_id").join(newest, "entity_id").select("entity_id", "n_spare", (F.col("kept") == F.col("newest")).alias("newest_too"))
+
+
+@query("j7_export_of_file_ids", f"""
+    SELECT {R.SQL_ITEM_ID} AS sequence_file_id, CASE WHEN o_orderstatus = 'F' THEN 'f' || o_orderkey END AS file_id
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def export_of_file_ids(s, d):
+    """Stored file rows, exported with the ids that the load history has for them."""
+    store = Store(s, work_path(s, "store"))
+    store.append(R.file_rows(s, d).withColumns({"version": F.lit("2024-01-01").cast("timestamp"), "content": F.lit("{}")}))
+    store.add_history(R.history(s, d))
+    path = work_path(s, "export")
+    upkeep.export_file_ids(store, "sequence_file", path)
+    return s.read.schema("sequence_file_id string, file_id string").json(path)
+
+
 @query("d3_soft_delete", R.with_ctes("entities", """
     SELECT entity_type, row_id FROM entities
     QUALIFY version = max(version) OVER (PARTITION BY entity_type, entity_id)"""))
