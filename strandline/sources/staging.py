@@ -29,6 +29,12 @@ def _existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return kept
 
 
+def moment(spark: SparkSession, path: str) -> int:
+    """When a file was written, in milliseconds."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(location).getModificationTime()
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     """The path as file listings spell it, scheme included."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
