@@ -213,11 +213,10 @@ def staging_area(s, d):
         suppliers = R.table(s, d, "supplier")
         metadata = suppliers.select("s_suppkey", "s_name", F.lit("https://schemas.example.org/any").alias("describedBy"))
         descriptors = suppliers.select(F.col("s_name").alias("file_name"), R.text("s_suppkey").alias("file_id"), R.text("s_nationkey").alias("crc32c"))
-        for frame, folder in ((metadata, "metadata/project"), (descriptors, "descriptors/sequence_file"), (metadata, "links"),
-                              (suppliers.filter("s_suppkey < 0"), "metadata/cell_line")):
-            writer = frame.write.option("maxRecordsPerFile", 1).option("mapreduce.output.basename", "entity_1")
-            writer.json(f"{root}/{folder}")
-        suppliers.select("s_name").write.option("maxRecordsPerFile", 1).text(f"{root}/data")
+        for frame, folder in ((metadata, "metadata/project"), (descriptors, "descriptors/sequence_file"), (metadata, "links")):
+            writers.write_single_files(frame, f"{root}/{folder}", "entity_1")
+        suppliers.filter("s_suppkey < 0").write.option("mapreduce.output.basename", "entity_1").json(f"{root}/metadata/cell_line")
+        writers.write_single_files(suppliers.select("s_name"), f"{root}/data", "part", "text")
         _areas[key] = root
     return _areas[key]
 

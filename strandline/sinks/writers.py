@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from strandline.functions.jsons import content_digest
@@ -12,6 +15,9 @@ from strandline.functions.versions import format_version
 from strandline.schemas import ROWS, TOMBSTONES, version_date
 
 
+FILES_PER_TASK = 2000  # of those that hold a single row
+
+
 def _json_ready(frame: DataFrame) -> DataFrame:
     """Timestamps in the version format, so that an export reads back unchanged."""
     return frame.select(
@@ -59,6 +65,33 @@ def write_tsv(frame: DataFrame, path: str, sort_by: str = "name") -> None:
     frame.orderBy(sort_by).write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
 
+def _write_each(folder: str, name: str, ending: str, rows: Iterable[Row]) -> None:
+    part = TaskContext.get().partitionId()
+    for place, row in enumerate(rows):
+        with open(f"{folder}/{name}-{part:05d}-{place:05d}{ending}", "w", encoding="utf-8", newline="") as file:
+            file.write(row.value + "\n")
+
+
+def write_single_files(frame: DataFrame, folder: str, name: str, kind: str = "json") -> None:
+    """A file for each row, spread over tasks, in a new folder: ``json``, or ``text`` of the one column; names begin with ``name``.
+
+    On a local or mounted file system the tasks open the files themselves: there Hadoop starts a process
+    (``chmod``) for each file and each checksum, some ten milliseconds a file. Rows are in a fixed order, so a task
+    that runs again writes the same files.
+    """
+    spark = frame.sparkSession
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place = location.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(location).toUri()
+    n = max(1, -(-frame.count() // FILES_PER_TASK))
+    spread = frame.repartition(n, *frame.columns).sortWithinPartitions(*frame.columns)
+    if place.getScheme() != "file":
+        spread.write.option("maxRecordsPerFile", 1).option("mapreduce.output.basename", name).format(kind).save(folder)
+        return
+    value = F.to_json(F.struct("*")) if kind == "json" else F.coalesce(frame.columns[0], F.lit(""))
+    os.makedirs(place.getPath())
+    spread.select(value.alias("value")).foreachPartition(partial(_write_each, place.getPath(), name, ".json" if kind == "json" else ".txt"))
+
+
 def write_manifests(lines: DataFrame, path: str) -> None:
     """One folder per manifest with one file of plain lines; ``lines`` has ``entry`` and ``manifest``."""
     lines.select("entry", "manifest").repartition("manifest").write.mode("overwrite").partitionBy("manifest").text(path)

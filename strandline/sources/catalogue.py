@@ -1,20 +1,23 @@
 """A stored list of the files of staging areas, made in bounded batches; scans and checks start from it.
 
 Folders are listed through the file system's iterators, which fetch page by page, by several threads of the
-driver. Whenever a batch of files is full it is appended to the stored table, so the driver never holds more than
+driver; local or mounted ones by the operating system's, without a call into the JVM for each file. Whenever a batch of files is full it is appended to the stored table, so the driver never holds more than
 one batch, however many files an area or a single folder has. Names that Spark's scans hide (with a leading
 underscore or dot) are left out here too, so that a list and a scan of the same folder agree.
 """
 
 from __future__ import annotations
 
+import os
 import threading
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
+from itertools import islice
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Row as SparkRow
 from pyspark.sql import functions as F
 
 from strandline.schemas import CATALOGUE, LINKS
@@ -60,11 +63,31 @@ def _absent(error: Py4JJavaError) -> bool:
     return error.java_exception.getClass().getSimpleName() == "FileNotFoundException"
 
 
+def _listed_here(folder: str, path: str) -> Iterator[tuple[str, str, bool, int]]:
+    """The same for a folder of the driver's own file system."""
+    try:
+        with os.scandir(path) as entries:
+            for entry in entries:
+                try:
+                    is_folder = entry.is_dir()
+                    size = 0 if is_folder else entry.stat().st_size
+                except FileNotFoundError:  # removed meanwhile, or a link to nothing
+                    continue
+                yield entry.name, f"{folder}/{entry.name}", is_folder, size
+    except FileNotFoundError:
+        return
+
+
 def _listed(spark: SparkSession, path: str) -> Iterator[tuple[str, str, bool, int]]:
     """Name, path, whether a folder, and size of what lies in a folder, page by page; an absent folder holds nothing."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = system.makeQualified(location)
+    if whole.toUri().getScheme() == "file" and not os.path.isfile(whole.toUri().getPath()):
+        yield from _listed_here(whole.toString().rstrip("/"), whole.toUri().getPath())
+        return
     try:
-        found = location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatusIterator(location)
+        found = system.listStatusIterator(location)
         more = found.hasNext()
     except Py4JJavaError as error:
         if _absent(error):
@@ -129,6 +152,14 @@ def build_catalogue(
     return spark.read.schema(CATALOGUE).parquet(where)
 
 
+def file_batches(files: DataFrame, limit: int | None = None) -> Iterator[list[SparkRow]]:
+    """Files to open, batch by batch, with at most ``limit`` files each; the driver holds one batch of them."""
+    limit = READ_BATCH if limit is None else limit
+    rows = files.select(*CATALOGUE.fieldNames()).orderBy("file_path").toLocalIterator()
+    while run := list(islice(rows, limit)):
+        yield run
+
+
 def scan_batches(files: DataFrame, limit: int | None = None) -> Iterator[list[str]]:
     """Paths to scan, batch by batch, with at most ``limit`` files each.
 

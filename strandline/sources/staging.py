@@ -7,15 +7,18 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import chain, islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.names import base_name, parent
-from strandline.schemas import DOCUMENTS, LINKS, TOP_LEVEL_DIRS
+from strandline.schemas import CATALOGUE, DOCUMENTS, LINKS, TOP_LEVEL_DIRS
 from strandline.session import land_batches
-from strandline.sources.catalogue import WALKERS, build_catalogue, scan_batches
+from strandline.sources.catalogue import WALKERS, build_catalogue, file_batches, scan_batches
 
 KINDS = ("metadata", "descriptors", "links")
+TASK_FILES = 1000  # files that one task opens itself
+OPEN_BYTES = 8 << 20  # texts that such a task holds at once, beyond the last one
 
 
 def _existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
@@ -83,6 +86,31 @@ def _scan(spark: SparkSession, areas: Sequence[str], paths: Sequence[str]) -> Da
     ).filter("entity_type is not null")
 
 
+def _read_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the catalogue with the bytes of their files."""
+    for batch in batches:
+        start, values, size = 0, [], 0
+        for place, path in enumerate(batch.column("file_path").to_pylist(), 1):
+            with open(path.removeprefix("file:"), "rb") as file:
+                values.append(file.read())
+            size += len(values[-1])
+            if size > OPEN_BYTES or place == batch.num_rows:
+                read = pa.array(values, pa.large_binary())
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, place - start).columns, read], [*batch.schema.names, "read"])
+                start, values, size = place, [], 0
+
+
+def _scan_here(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
+    """The documents in files of a local or mounted file system, opened by the tasks; as ``_scan`` gives them.
+
+    Spark's scan of paths takes about a millisecond a file to list them and as long again to open one.
+    """
+    listed = spark.createDataFrame(spark.sparkContext.parallelize(files, max(1, -(-len(files) // TASK_FILES))), CATALOGUE)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CATALOGUE)
+    return listed.mapInArrow(_read_here, f"{fields}, read binary").select(
+        "area", F.col("top").alias("kind"), "entity_type", "file_name", F.col("read").cast("string").alias("value"), "file_path", "file_size")
+
+
 def document_batches(
     spark: SparkSession,
     areas: Sequence[str],
@@ -95,8 +123,13 @@ def document_batches(
     """The documents of the areas in frames of at most ``limit`` files each (``catalogue.READ_BATCH``), the zero-byte ones apart."""
     listed = build_catalogue(spark, areas, kinds, entity_types) if catalogue is None else catalogue
     wanted = _documents_in(listed, kinds, entity_types)
-    for paths in scan_batches(wanted.filter("file_size > 0"), limit):
-        yield _scan(spark, areas, paths)
+    filled = wanted.filter("file_size > 0")
+    if all(_qualified(spark, area).startswith("file:") for area in areas):
+        for files in file_batches(filled, limit):
+            yield _scan_here(spark, files)
+    else:
+        for paths in scan_batches(filled, limit):
+            yield _scan(spark, areas, paths)
     if not skip_empty:
         # Spark leaves them out of every scan
         yield wanted.filter("file_size = 0").select(

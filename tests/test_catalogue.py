@@ -1,6 +1,7 @@
 """The staging catalogue: bounded batches, one rule for hidden files, scans and checks that start from it."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from strandline.operators.checks import missing_directories
 from strandline.operators.documents import no_match_warnings
 from strandline.schemas import JSON_SCHEMAS
+from strandline.sinks import writers
 from strandline.sources import catalogue as C
 from strandline.sources import staging
 from tests.conftest import values
@@ -84,3 +86,27 @@ def test_preprocessing_in_batches(spark, area, monkeypatch):
     parts = P.preprocess(spark, [area], known)
     for name in ("rows", "requests", "errors", "warnings"):
         assert values(getattr(parts, name)) == values(getattr(whole, name)), name
+
+
+def test_local_files_are_listed_and_read_without_the_jvm(spark, area, monkeypatch):
+    """A call into the JVM, or a path in a scan, for each file took a millisecond or more."""
+    want = values(staging.read_documents(spark, [area]))
+    files = C.build_catalogue(spark, [area], ("metadata", "descriptors", "links")).filter("file_size > 0")
+    scanned = values(staging._scan(spark, [area], [row.file_path for row in staging._documents_in(files, staging.KINDS, None).collect()]))
+    assert sorted(scanned) == [row for row in want if row[4] != ""]
+
+    def refused(*_: object, **__: object) -> DataFrame:
+        raise AssertionError("files are scanned path by path")
+
+    monkeypatch.setattr(staging, "_scan", refused)
+    monkeypatch.setattr(staging, "TASK_FILES", 3)
+    monkeypatch.setattr(staging, "OPEN_BYTES", 10)
+    assert values(staging.read_documents(spark, [area], limit=7)) == want
+
+
+def test_single_files_are_spread_over_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(writers, "FILES_PER_TASK", 4)
+    writers.write_single_files(spark.range(21).selectExpr("id", "if(id = 3, null, 'é') AS name"), f"{folder}/single", "entity_1")
+    names = os.listdir(f"{folder}/single")
+    assert len(names) == 21 and len({name.split("-")[1] for name in names}) > 1 and all(name.startswith("entity_1-") for name in names)
+    assert values(spark.read.json(f"{folder}/single")) == values(spark.range(21).selectExpr("id", "if(id = 3, null, 'é') AS name"))
