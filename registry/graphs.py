@@ -18,7 +18,7 @@ query("j10_missing_entities", R.with_ctes(NODES, LOADED, """
 query("v6_missing_entities_by_project", R.with_ctes(NODES, LOADED, """
     SELECT DISTINCT n.project_id, n.entity_type, n.entity_id FROM link_nodes n
     LEFT JOIN loaded l ON l.entity_type = n.entity_type AND l.entity_id = n.entity_id WHERE l.entity_id IS NULL"""))(
-    lambda s, d: subgraphs.missing_by_project(subgraphs.subgraph_nodes(R.links_rows(s, d)), R.loaded_entities(s, d)))
+    lambda s, d: subgraphs.missing_by_project(subgraphs.subgraph_nodes(R.links_rows(s, d)), R.loaded_entities(s, d), R.links_rows(s, d)))
 
 REPORT = """
     expected AS (SELECT DISTINCT project_id, entity_type, entity_id FROM link_nodes),

@@ -45,6 +45,12 @@ def hot_keys(left: DataFrame, on: Sequence[str], min_slice_rows: int | None = No
     return sliced.filter("n > slice").select(_HASH, F.ceil(F.col("n") / F.col("slice")).cast("int").alias(_COPIES))
 
 
+def within_slice(values: DataFrame, min_slice_rows: int | None = None) -> bool:
+    """Are there so few distinct rows that one for each of them fits a slice? Stops counting beyond."""
+    least = MIN_SLICE_ROWS if min_slice_rows is None else min_slice_rows
+    return values.distinct().limit(least + 1).count() <= least
+
+
 def _own_slice(spread: Sequence[str], copies: str):
     """The slice a row belongs to; 0 unless its key is cut."""
     n = F.coalesce(F.col(copies), F.lit(1))

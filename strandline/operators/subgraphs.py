@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.operators.skew import small, spread_join
+from strandline.operators.skew import small, spread_join, within_slice
 from strandline.schemas import LINKS, LINKS_CONTENT
 from strandline.session import land
 
@@ -114,8 +114,8 @@ def link_problems(links: DataFrame) -> DataFrame:
     return opened.select("links_id", "project_id", problem.alias("problem")).filter("problem is not null").distinct()
 
 
-def graph_table(links: DataFrame) -> DataFrame:
-    """The nodes of all links, and the problems, as one stored table; every document is parsed once.
+def graph_items(links: DataFrame) -> DataFrame:
+    """The nodes of all links, and the problems, in one pass; every document is parsed once.
 
     ``links_id, project_id`` with ``entity_type, entity_id`` of a node, or else a ``problem``.
     """
@@ -128,7 +128,38 @@ def graph_table(links: DataFrame) -> DataFrame:
     last = F.when(F.col("problem").isNotNull(), F.array(F.lit(None).cast("struct<entity_type:string,entity_id:string>"))).otherwise(F.array().cast(NODES))
     items = found.select("links_id", "project_id", "problem", F.posexplode(F.concat("nodes", last)).alias("at", "node"), F.size("nodes").alias("n"))
     is_problem = F.col("at") >= F.col("n")
-    return land(items.select("links_id", "project_id", "node.entity_type", "node.entity_id", F.when(is_problem, F.col("problem")).alias("problem")), "graph")
+    return items.select("links_id", "project_id", "node.entity_type", "node.entity_id", F.when(is_problem, F.col("problem")).alias("problem"))
+
+
+def graph_table(links: DataFrame) -> DataFrame:
+    """``graph_items`` as a stored table."""
+    return land(graph_items(links), "graph")
+
+
+def _keyed_items(links: DataFrame) -> DataFrame:
+    """``graph_items`` with keys only: a problem stands for its entity type, its links row for the id."""
+    problem = F.col("problem")
+    return graph_items(links).select(
+        "project_id", F.when(problem.isNotNull(), problem).otherwise(F.col("entity_type")).alias("entity_type"),
+        F.when(problem.isNotNull(), F.col("links_id")).otherwise(F.col("entity_id")).alias("entity_id"), problem.isNotNull().alias("unreadable"))
+
+
+def first_fault(links: DataFrame, loaded: DataFrame) -> tuple[dict, bool] | None:
+    """An unreadable link (and true), or else an expected entity that no table holds (and false), or else nothing.
+
+    Both come from one pass over the documents and one aggregation of keys, which the tasks begin before the shuffle.
+    """
+    keys = ["entity_type", "entity_id", "unreadable"]
+    stored = loaded.filter("entity_type is not null and entity_id is not null").select(
+        "entity_type", "entity_id", F.lit(False).alias("unreadable"), F.lit(True).alias("stored"))
+    tagged = _keyed_items(links).select(*keys, F.lit(False).alias("stored")).unionByName(stored)
+    open_keys = tagged.groupBy(*keys).agg(F.max("stored").alias("stored")).filter("not stored")
+    found = open_keys.orderBy(F.desc("unreadable")).limit(1).collect()
+    if not found:
+        return None
+    if found[0].unreadable:
+        return link_problems(links).first().asDict(), True
+    return {"entity_type": found[0].entity_type, "entity_id": found[0].entity_id}, False
 
 
 def nodes_in(graph: DataFrame) -> DataFrame:
@@ -152,31 +183,40 @@ def missing_entities(nodes: DataFrame, loaded: DataFrame) -> DataFrame:
     return expected_entities(nodes).join(stored, ["entity_type", "entity_id"], "left_anti")
 
 
-def missing_by_project(nodes: DataFrame, loaded: DataFrame) -> DataFrame:
-    """``project_id`` and each entity its subgraphs expect that no table holds."""
-    wanted = land(nodes.select("project_id", "entity_type", "entity_id").distinct(), "nodes")
-    stored = loaded.select("entity_type", "entity_id").distinct()
-    return spread_join(wanted, stored, ["entity_type", "entity_id"], "left_anti", ["project_id"])
+def _met(wanted: DataFrame, loaded: DataFrame, how: str, projects: DataFrame) -> DataFrame:
+    """Distinct entities by project, joined to the loaded ones (``stored`` is true).
+
+    An entity has at most a row for each of the projects, so it can only be heavy where they are more than a slice
+    has rows. Else the rows and the loaded entities, in the partitions of their distinct, meet in one shuffle each.
+    """
+    keys = ["entity_type", "entity_id"]
+    stored = loaded.select(*keys).distinct().withColumn("stored", F.lit(True))
+    if within_slice(projects.select("project_id")):
+        return wanted.join(stored, keys, how)
+    return spread_join(land(wanted, "nodes"), stored, keys, how, ["project_id"])
+
+
+def missing_by_project(nodes: DataFrame, loaded: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """``project_id`` and each entity its subgraphs expect that no table holds.
+
+    ``links`` are the rows of the nodes, whose projects are counted without opening a document.
+    """
+    wanted = nodes.select("project_id", "entity_type", "entity_id").distinct()
+    return _met(wanted, loaded, "left_anti", nodes if links is None else links).select("project_id", "entity_type", "entity_id")
 
 
 def project_report(links: DataFrame, loaded: DataFrame) -> DataFrame:
     """Per project: links rows, distinct expected entities, missing ones, unreadable links, and ``verified``."""
-    graph = graph_table(links)
-    wanted = land(nodes_in(graph).select("project_id", "entity_type", "entity_id").distinct(), "nodes")
-    stored = loaded.select("entity_type", "entity_id").distinct().withColumn("stored", F.lit(True))
-    found = spread_join(wanted, stored, ["entity_type", "entity_id"], "left", ["project_id"])
+    found = _met(_keyed_items(links).distinct(), loaded, "left", links)
     zero = F.lit(0).cast("bigint")
     one = F.lit(1).cast("bigint")
-    parts = (
-        links.select("project_id", one.alias("n_links"), zero.alias("n_expected"), zero.alias("n_missing"), zero.alias("n_problems"))
-        .unionByName(found.select(
-            "project_id", zero.alias("n_links"), one.alias("n_expected"),
-            F.when(F.col("stored").isNull(), 1).otherwise(0).cast("bigint").alias("n_missing"), zero.alias("n_problems"),
+    unreadable = F.col("unreadable")
+    parts = links.select("project_id", one.alias("n_links"), zero.alias("n_expected"), zero.alias("n_missing"), zero.alias("n_problems")).unionByName(
+        found.select(
+            "project_id", zero.alias("n_links"), F.when(unreadable, zero).otherwise(one).alias("n_expected"),
+            F.when(~unreadable & F.col("stored").isNull(), one).otherwise(zero).alias("n_missing"),
+            F.when(unreadable, one).otherwise(zero).alias("n_problems"),
         ))
-        .unionByName(problems_in(graph).select(
-            "project_id", zero.alias("n_links"), zero.alias("n_expected"), zero.alias("n_missing"), one.alias("n_problems"),
-        ))
-    )
     names = ["n_links", "n_expected", "n_missing", "n_problems"]
     summed = parts.groupBy("project_id").agg(*[F.sum(n).alias(n) for n in names])
     verified = (F.col("n_missing") == 0) & (F.col("n_problems") == 0)

@@ -4,9 +4,11 @@ import pytest
 
 from conftest import values
 from staging import file_link, links, process_link
+from strandline.operators import skew
 from strandline.operators import subgraphs as S
 from strandline.plans import check as C
 from strandline.schemas import ROWS
+from strandline.session import LANDED
 
 
 def frame(spark, *rows):
@@ -97,3 +99,32 @@ def test_single_project(spark):
         C.require_single_project(stored_rows(spark, links(process_link()), drop=("cell_line",)), "p1")
     with pytest.raises(S.SubgraphError, match="unreadable"):
         C.require_single_project(stored_rows(spark, links({"link_type": "odd"})), "p1")
+
+
+def test_report_and_missing_entities_shuffle_once_and_store_nothing(spark, monkeypatch):
+    """Nodes were stored and the loaded entities shuffled a second time, by slice, though no key can be heavy."""
+    rows = frame(spark, ("l1", "p1", links(process_link())), ("l2", "p2", links(process_link("other"))), ("l3", "p2", "{}"), ("l4", "p2", "{}"))
+    stored = loaded(spark, *ALL, *ALL)
+    nodes = S.subgraph_nodes(rows)
+    n_stored = len(LANDED)
+    missing, report = S.missing_by_project(nodes, stored, rows), S.project_report(rows, stored)
+    assert len(LANDED) == n_stored and "__slice" not in missing._jdf.queryExecution().optimizedPlan().toString()
+    counts = [("p1", 1, 5, 0, 0, True), ("p2", 3, 7, 4, 2, False)]
+    assert values(report, "project_id", "n_links", "n_expected", "n_missing", "n_problems", "verified") == counts
+    want = values(missing)
+    monkeypatch.setattr(skew, "MIN_SLICE_ROWS", 1)  # more projects than a slice has rows
+    assert values(S.missing_by_project(nodes, stored)) == want and len(LANDED) > n_stored
+    assert values(S.project_report(rows, stored), "project_id", "n_links", "n_expected", "n_missing", "n_problems", "verified") == counts
+
+
+def test_a_check_opens_documents_once_and_stores_nothing(spark):
+    one = frame(spark, ("l1", "p1", links(process_link())))
+    n_stored = len(LANDED)
+    assert S.first_fault(one, loaded(spark, *ALL, (None, None))) is None
+    assert S.first_fault(one, loaded(spark, *ALL[1:], ("links", None))) == ({"entity_type": "links", "entity_id": "l1"}, False)
+    row, unreadable = S.first_fault(one.unionByName(frame(spark, ("l2", "p1", "{}"))), loaded(spark, *ALL))
+    assert unreadable and row == {"links_id": "l2", "project_id": "p1", "problem": "no links array"}
+    # an id that is null is never loaded
+    nameless = frame(spark, (None, "p1", links(process_link())))
+    assert S.first_fault(nameless, loaded(spark, *ALL[1:], ("links", None))) == ({"entity_type": "links", "entity_id": None}, False)
+    assert len(LANDED) == n_stored
