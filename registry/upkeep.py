@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry import frames as R
+from strandline.functions.jsons import content_digest
 from strandline.operators import checks, latest, subgraphs
 from strandline.operators import rows as rows_ops
 from strandline.plans import check, load, snapshot, upkeep
 from strandline.plans.store import Store
-from strandline.session import work_path
+from strandline.session import land, work_path
 
 
 def _dataset(s, d, version=None):
@@ -226,9 +227,10 @@ def full_view_snapshot(s, d):
 def _linked(s, d, project_id):
     """Links of one project in the long form, one for each id, and the entities that they name."""
     links = R.links_rows(s, d).select(F.lit("links").alias("entity_type"), F.col("links_id").alias("entity_id"), F.lit(project_id).alias("project_id"), "content")
-    links = links.groupBy("entity_type", "entity_id", "project_id").agg(F.min("content").alias("content"))
-    named = subgraphs.expected_entities(subgraphs.subgraph_nodes(subgraphs.links_of(links)))
-    return links, named.filter("entity_type <> 'links'").select("entity_type", "entity_id")
+    # stored, as the checks read them several times
+    links = land(links.groupBy("entity_type", "entity_id", "project_id").agg(F.min("content").alias("content")), "linked")
+    named = subgraphs.expected_entities(subgraphs.subgraph_nodes(subgraphs.links_of(links)).filter("entity_type <> 'links'"))
+    return links, land(named.select("entity_type", "entity_id"), "named")
 
 
 def _passes(job, *arguments):
@@ -257,9 +259,11 @@ def require_single_project(s, d):
 def require_copy(s, d):
     links, named = _linked(s, d, "P")
     null = F.lit(None).cast("string")
-    rows = links.unionByName(named.withColumns({"project_id": null, "content": F.lit("{}")})).unionByName(
-        s.createDataFrame([("project", "P", None, "{}")], "entity_type string, entity_id string, project_id string, content string"))
-    rows = rows.distinct().withColumns({"version": F.lit("2024-01-01").cast("timestamp"), "file_id": F.lit("f"), "descriptor": F.lit("{}"), "row_id": null})
+    project = s.createDataFrame([("project", "P", None, "{}")], "entity_type string, entity_id string, project_id string, content string")
+    # links are distinct already; the digest of each document is made once for both appends
+    rows = links.unionByName(named.withColumns({"project_id": null, "content": F.lit("{}")}).unionByName(project).distinct())
+    rows = land(rows.withColumn("content_digest", content_digest(F.col("content"))), "rows")
+    rows = rows.withColumns({"version": F.lit("2024-01-01").cast("timestamp"), "file_id": F.lit("f"), "descriptor": F.lit("{}"), "row_id": null})
     store = Store(s, work_path(s, "store"))
     store.append(rows.drop("row_id"))
     found = [("complete", _passes(check.require_copy, store, "P")), ("another project", _passes(check.require_copy, store, "Q"))]
@@ -276,8 +280,10 @@ def copied_dataset(s, d):
     links = R.links_rows(s, d)
     expected = s.createDataFrame([("1",)], "project_id string")
     others = subgraphs.project_set_difference(subgraphs.distinct_projects(links), expected)
-    missing = subgraphs.missing_entities(subgraphs.subgraph_nodes(links), R.loaded_entities(s, d))
-    stored = R.loaded_entities(s, d).distinct().withColumns({"version": F.lit(1), "row_id": F.concat_ws("/", "entity_type", "entity_id")})
+    # stored, as both counts read it, one of them several times
+    loaded = land(R.loaded_entities(s, d).distinct(), "loaded")
+    missing = subgraphs.missing_entities(subgraphs.subgraph_nodes(links), loaded)
+    stored = loaded.withColumns({"version": F.lit(1), "row_id": F.concat_ws("/", "entity_type", "entity_id")})
     count = F.count(F.lit(1))
     return others.agg(count.alias("other_projects")).select(
         "other_projects", missing.agg(count).scalar().alias("missing"), latest.duplicate_rows(stored).agg(count).scalar().alias("duplicates"))
