@@ -1,9 +1,9 @@
 """Personal data, with DataFrame functions only: strict formats, and candidates that boosted trees accept.
 
 Generators with a high recall propose spans, some of which overlap. Those of strict formats that pass their
-checks are always taken. Gradient-boosted trees learn from a bounded sample of strict matches, passed or
-failed, by format and context; a threshold calibrated on a part kept apart selects further candidates of
-the loose generators. Trees run inside Spark's own library of models, without Python on the executors.
+checks are always taken. Gradient-boosted trees learn from all strict matches, passed or failed, by format
+and context; a threshold calibrated on a part kept apart selects further candidates of the loose generators.
+Trees run inside Spark's own library of models, without Python on the executors.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from strandline.session import land
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 24  # characters before and after a candidate that features look at
-SAMPLE_ROWS = 20_000  # candidates to learn from, at most
 ROUNDS, DEPTH = 8, 3
 PRECISION = 0.95  # asked of the candidates accepted in the calibration part
 LEAST_ROWS = 40  # of each label; with fewer, nothing is learned and no candidate is added
@@ -110,22 +109,30 @@ def features(rows: DataFrame) -> tuple[DataFrame, list[str]]:
     return rows.select("*", *(c.cast("double").alias(name) for name, c in made.items())), list(made)
 
 
+def examples(found: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(part, label, features, n): all strict candidates, counted by part, label and features.
+
+    The trees take the counts as weights, so what they hold grows with the kinds of candidates, not with the candidates.
+    """
+    part = F.pmod(F.xxhash64("value", "left", "kind"), F.lit(4))
+    named, names = features(found.filter("strict").withColumn("label", F.col("base").cast("double")).withColumn("part", part))
+    return named.groupBy("part", "label", *names).agg(F.count("*").cast("double").alias("n")), names
+
+
 def accepted(found: DataFrame) -> DataFrame:
     """The candidates of the loose generators that the trees accept, from a stored table of candidates."""
-    place = F.xxhash64("value", "left", "kind")
-    sample = found.filter("strict").select("*", place.alias("h")).orderBy("h", *KEY, "start").limit(SAMPLE_ROWS)
-    named, names = features(sample.withColumn("label", F.col("base").cast("double")))
+    counted, names = examples(found)
     assemble = VectorAssembler(inputCols=names, outputCol="x")
-    rows = land(named.select("h", "label", *names), "sample")
-    learn, check = rows.filter("pmod(h, 4) <> 0"), rows.filter("pmod(h, 4) = 0")
-    counts = {row["label"]: row["n"] for row in learn.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    rows = land(counted, "examples")
+    learn, check = rows.filter("part <> 0"), rows.filter("part = 0")
+    counts = {row["label"]: row["n"] for row in learn.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     nothing = found.filter("false").withColumn("score", F.lit(0.0))
     if len(counts) < 2 or min(counts.values()) < LEAST_ROWS or found.filter("not strict").isEmpty():
         return nothing
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=7).fit(assemble.transform(learn))
+    model = GBTClassifier(featuresCol="x", labelCol="label", weightCol="n", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=7).fit(assemble.transform(learn))
     scored = lambda frame: model.transform(assemble.transform(frame)).withColumn("score", vector_to_array("probability")[1])
     # the least threshold whose acceptances are right often enough in the part kept apart
-    bins = scored(check).groupBy(F.floor(F.col("score") * 50).alias("bin")).agg(F.sum("label").alias("right"), F.count("*").alias("n")).collect()
+    bins = scored(check).groupBy(F.floor(F.col("score") * 50).alias("bin")).agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).collect()
     threshold, right, n = None, 0.0, 0
     for row in sorted(bins, key=lambda b: -b["bin"]):
         right, n = right + row["right"], n + row["n"]

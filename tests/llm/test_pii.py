@@ -55,5 +55,15 @@ def test_trees_add_loose_phones_only_where_nothing_else_stands(spark):
     assert all(rows[i]._n_phone == 1 for i in range(400)) and not any(rows[i]._spans for i in range(400, 800))
 
 
+def test_trees_learn_from_every_strict_match(spark):
+    # more matches than a bounded sample would hold, in few distinct kinds
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('call +1 (555) ', 200 + id % 700, '-', 1000 + id % 9000, ' or +1-', id % 9, ' now') AS text")
+    found = land(pii.candidates(land(docs, "docs")), "candidates")
+    rows, names = pii.examples(found)
+    held = rows.groupBy("label").agg({"n": "sum"}).collect()
+    assert {r.label: r["sum(n)"] for r in held} == {1.0: 24_000, 0.0: 24_000} and found.filter("strict").count() == 48_000
+    assert len(names) + 3 == len(rows.columns) and rows.count() < 2000
+
+
 def test_empty_table(spark):
     assert pii.personal_data(cases.empty(spark)).collect() == []
