@@ -17,6 +17,7 @@ from strandline.session import land
 WINDOW = 13
 SLOP = 3  # places by which a proximity match may move a term
 MAX_SHARE = 20  # contaminated: at least one word in so many is hit
+END = -1  # the term of the posting after a document's last word
 BROADCAST_ROWS = 300_000  # tables of benchmark terms are broadcast up to so many narrow rows; larger ones are shuffled
 
 _WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
@@ -52,10 +53,15 @@ def windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size
 
 
 def build_index(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """The stored index (_f, _r, term, place) of the given terms (word, term) over whole documents."""
-    places = keyed(docs, F.posexplode(raw_words(F.col(text))).alias("place", "raw"))
+    """The stored index (_f, _r, term, place) of the given terms (word, term) over whole documents.
+
+    Each document also has a posting of the term END at the place after its last word, so its words are found and counted in one pass.
+    """
+    # no word is empty, so the empty string marks the end
+    places = keyed(docs, F.posexplode(F.concat(raw_words(F.col(text)), F.array(F.lit("")))).alias("place", "raw"))
     named = places.select(*KEY, "place", lowered(F.col("raw")).alias("word"))
-    return land(named.join(_sized(terms), "word").select(*KEY, "term", "place"), "index")
+    ended = terms.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(END).cast("long").alias("term")))
+    return land(named.join(_sized(ended), "word").select(*KEY, "term", "place"), "index")
 
 
 def matches(index: DataFrame, spelled: DataFrame) -> DataFrame:
@@ -105,12 +111,13 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     found = windows(items, item_id, item_text)
     terms = land(found.select(F.explode("words").alias("word")).distinct().select("word", F.monotonically_increasing_id().alias("term")), "terms")
     spelled = land(found.select("win", F.posexplode("words").alias("offset", "word")).join(terms, "word").select("win", "term", "offset"), "spelled")
-    hits = matches(build_index(docs, terms, text), spelled).join(_sized(found.select("win", "items")), "win")
+    index = build_index(docs, terms, text)
+    hits = matches(index.filter(F.col("term") != END), spelled).join(_sized(found.select("win", "items")), "win")
     by_row = hits.groupBy(*KEY).agg(
         F.array_sort(F.collect_set(F.when(F.col("exact"), F.struct("start", "length")))).alias("_spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("exact"), F.col("items")))))).alias("_items"),
         F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("exact"), F.col("items"))))).alias("_near"))
-    rows = keyed(docs, F.size(raw_words(F.col(text))).cast("long").alias("_n_words"))
+    rows = index.filter(F.col("term") == END).select(*KEY, F.col("place").cast("long").alias("_n_words"))
     none = F.array().cast("array<string>")
     joined = rows.join(by_row, list(KEY), "left").select(
         *KEY, "_n_words", F.coalesce(covered(F.col("_spans")), F.lit(0)).cast("long").alias("_n_hit"),

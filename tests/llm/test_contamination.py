@@ -54,6 +54,15 @@ def test_against_brute_force(spark):
     assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if r._contaminated}
 
 
+def test_index_counts_the_words_of_every_document(spark):
+    table, _ = items(spark)
+    docs = land(cases.documents(spark), "docs")
+    terms = table.limit(0).selectExpr("text AS word", "item_id AS term")
+    index = contamination.build_index(docs, terms)
+    ends = index.filter(f"term = {contamination.END}").join(keyed(docs, "text"), list(KEY)).collect()
+    assert len(ends) == docs.count() == index.count() and all(r.place == len(words(r.text)) for r in ends)
+
+
 def test_proximity(spark):
     table = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
     docs = land(spark.createDataFrame([(0, "one two extra three four five six"), (1, "six one far away two")], "doc_id long, text string"), "docs")
