@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import frugal, key_filter, maybe_in
+from strandline.llm.common import arrow_schema, frugal, key_filter, maybe_in
 from strandline.session import land
 
 
 ROUND = 1 << 18  # pairs that a round of `linked` may make at least; beyond that, as many as the first pairs
 SLICES = 16  # parts of a bucket that meet its pivots in tasks of their own
+EDGES = 1 << 20  # edges that a task contracts at once
+THRESHOLD = 0.8  # least Jaccard similarity of the sets that `plausible` compares
+# Sets x and y are so similar if they differ in no more than SLACK * (|x| + |y|) members.
+SLACK = (1 - THRESHOLD) / (1 + THRESHOLD)
+
+Sides = Callable[[DataFrame], DataFrame]
+Shingles = Callable[[list[str]], Iterable[np.ndarray]]
+_TOKENS = "ref long, id long, root long, outer boolean, size int, n int, place int, token long"
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,13 +69,58 @@ def candidate_pairs(buckets: DataFrame) -> DataFrame:
             .distinct())
 
 
+def least_members(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, roots) of the ids in the edges (a, b): the least id of the component of each."""
+    ids, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = places[: len(a)], places[len(a) :]
+    label = np.arange(len(ids))
+    while (label[x] != label[y]).any():
+        # the larger root of an edge hangs on the smaller, then all hang on the roots
+        low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
+    return ids, ids[label]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges (u, v) of the same components, in blocks, each id with the least one of its component there."""
+    frugal()
+    held, room = [], EDGES
+
+    def contracted() -> pa.RecordBatch:
+        ids, roots = least_members(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+        hangs = ids != roots
+        return pa.record_batch([pa.array(ids[hangs]), pa.array(roots[hangs])], ["u", "v"])
+
+    for batch in batches:
+        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)))
+        room -= batch.num_rows
+        if room <= 0:
+            yield contracted()
+            held, room = [], EDGES
+    if held:
+        yield contracted()
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(id, root) for each id in a pair, root being the least id of its component.
 
-    Alternates large-star and small-star steps until nothing changes; each is a grouping with partial sums
-    and a join, and the edges are written to the shared folder after each round.
+    Tasks first contract blocks of edges. If there are several blocks, large-star and small-star steps follow
+    until nothing changes; each is a grouping with partial sums and a join, and the edges are written to the
+    shared folder after each round.
     """
-    edges = land(pairs.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    edges = land(pairs.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
+    blocks = -(-edges.count() // EDGES)
+    edges = land(edges.coalesce(max(1, blocks)).mapInArrow(_contract, "u long, v long"), "edges")
+    if blocks > 1:
+        edges = _stars(edges)
+    roots = edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) from each id to the least one of its component."""
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -80,10 +133,8 @@ def components(pairs: DataFrame) -> DataFrame:
         edges = land(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
-            break
+            return edges
         state = now
-    roots = edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -111,14 +162,70 @@ def _met(pivots: DataFrame, rows: DataFrame, fits: str) -> DataFrame:
     return met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
 
 
-def linked(buckets: DataFrame, pairs: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def differences(shingles: Shingles) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For rows (ref, id, root, outer, left, right), left being the text of the reference and right that of the id,
+    a row for each token of their difference that another set similar to the id's might share. See plausible."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
+        schema = arrow_schema(_TOKENS)
+        known: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+        for batch in batches:
+            names = [batch.column(name).to_pylist() for name in ("ref", "id", "root", "outer", "left", "right")]
+            heads, counts, places, values = [], [], [], []
+            for *head, left, right in zip(*names):
+                if known[0] != left:
+                    known = (left, np.sort(next(iter(shingles([left])))))
+                own = np.sort(next(iter(shingles([right]))))
+                added, gone = np.setdiff1d(own, known[1], assume_unique=True), np.setdiff1d(known[1], own, assume_unique=True)
+                n, h, size = len(added) + len(gone), len(known[1]), len(own)
+                near = n <= SLACK * (size + h) + 1e-6
+                # how many tokens of the difference a set that is similar, and not near too, has at least
+                least = (n + SLACK * (h - size)) / 2 if near else (n - SLACK * (size + h)) / 2
+                take = max(0, n - max(1, int(np.ceil(least - 1e-6))) + 1)
+                # those that the reference lacks come first, as few others share them
+                values.append(np.concatenate([np.zeros(int(near), np.uint64), added, gone])[: int(near) + take])
+                places.append(np.arange(len(values[-1])) - int(near))
+                heads.append((*head, size, n))
+                counts.append(len(values[-1]))
+            if not heads:
+                continue
+            spread = pa.array(np.repeat(np.arange(len(heads)), counts))
+            columns = [pa.array([head[i] for head in heads], schema.field(i).type).take(spread) for i in range(6)]
+            yield pa.record_batch([*columns, pa.array(np.concatenate(places), pa.int32()), pa.array(np.concatenate(values).view(np.int64))], schema=schema)
+
+    return tokens
+
+
+def plausible(near: DataFrame, sides: Sides, shingles: Shingles) -> DataFrame:
+    """Distinct pairs (a, b) of ids with one reference and different roots, among them all whose sets have a
+    similarity of THRESHOLD; from rows (ref, id, root, outer), one of each pair being outer.
+
+    Two sets differ in as many members as their differences to a third do. So two similar sets that are not both
+    near to the reference share members of these differences, at least half of what the sizes of the differences
+    exceed the allowed one by. The first they share, in an order common to all, leaves enough after it; only ids that share such a
+    member are paired. The near ones share a member of their own, marked by a place of -1.
+    """
+    rows = sides(near).mapInArrow(differences(shingles), _TOKENS)
+    rows = land(rows.withColumn("key", F.xxhash64("ref", "token", F.col("place") < 0)).drop("ref", "token"), "tokens")
+    one, other = (rows.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "root", "outer", "size", "n", "place"))) for side in "ab")
+    fits = f"least(n_a - place_a, n_b - place_b) >= (n_a + n_b - {SLACK} * (size_a + size_b)) / 2 - 1e-6"
+    met = one.filter("outer_a").join(other, "key").filter(f"root_a <> root_b and (not outer_b or id_a < id_b) and (place_a < 0 or {fits})")
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
+def linked(
+    buckets: DataFrame, pairs: DataFrame, alike: Callable[[DataFrame], DataFrame], sides: Sides | None = None, shingles: Shingles | None = None,
+) -> DataFrame:
     """(id, root) of the components of all alike pairs that share a bucket; `pairs` are the candidate_pairs of the
     rows (bucket, id), and `alike` gives those pairs (a, b) that are alike.
 
     The candidate pairs come first. As they connect each bucket, one with several components holds a pair that is
     not alike, and only such buckets are looked at again. There the member with most links, as the original of
-    many copies has, meets all others, while that joins many. Then every two members that are still in different components and
-    were not compared are, in rounds of bounded size; so in the end all pairs of a bucket are compared or joined.
+    many copies has, meets all others. Then all pairs of members still in different components are compared; but if `sides` (the
+    texts of rows (ref, id, ...) as left and right) and `shingles` (a set of numbers for each text, of a similarity of
+    THRESHOLD for texts that are alike) are given, those are left out that these sets rule out. Without them, that
+    member meets the others while that joins many, and the rest is compared in rounds of bounded size.
     """
     good = land(alike(pairs), "alike")
     roots = land(components(good), "roots")
@@ -141,6 +248,21 @@ def linked(buckets: DataFrame, pairs: DataFrame, alike: Callable[[DataFrame], Da
             roots = land(components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found)), "roots")
         return n, m
 
+    if sides is not None and shingles is not None:
+        rows = _unjoined(members, roots)
+        if rows.isEmpty():
+            return roots
+        degrees = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+        order = F.struct(F.coalesce("links", F.lit(0)).alias("links"), "id")
+        refs = rows.join(degrees, "id", "left").groupBy("bucket").agg(F.max_by(F.struct("id", "root"), order).alias("hub"))
+        refs = land(refs.select("bucket", F.col("hub.id").alias("pivot"), F.col("hub.root").alias("other")), "hubs")
+        compare(_met(refs, rows, "root <> other"))
+        near = _unjoined(members, roots).join(refs, "bucket").filter("id <> pivot").select(F.col("pivot").alias("ref"), "id", "root").distinct()
+        near = land(near, "near")
+        tops = near.groupBy("ref", "root").agg(F.count("*").alias("c")).groupBy("ref").agg(F.max_by("root", F.struct("c", "root")).alias("top"))
+        compare(plausible(near.join(tops, "ref").select("ref", "id", "root", (F.col("root") != F.col("top")).alias("outer")), sides, shingles))
+        return roots
+
     while True:
         rows = _unjoined(members, roots)
         if rows.isEmpty():

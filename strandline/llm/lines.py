@@ -159,12 +159,14 @@ def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # an inner join: a semi join would be moved below the filter, and all lines shuffled
     texts = land(texts.join(wanted, "id").groupBy("id").agg(F.min("_text").alias("t")), "texts")
 
+    def sides(some: DataFrame, left: str = "ref", right: str = "id") -> DataFrame:
+        both = some.join(texts.select(F.col("id").alias(right), F.col("t").alias("right")), right)
+        return both.join(texts.select(F.col("id").alias(left), F.col("t").alias("left")), left).select(*some.columns, "left", "right")
+
     def alike(some: DataFrame) -> DataFrame:
-        sides = some.join(texts.select(F.col("id").alias("b"), F.col("t").alias("right")), "b")
-        sides = sides.join(texts.select(F.col("id").alias("a"), F.col("t").alias("left")), "a").select("a", "b", "left", "right")
-        return sides.mapInArrow(_verify, "a long, b long")
+        return sides(some.select("a", "b"), "a", "b").mapInArrow(_verify, "a long, b long")
 
-    roots = linked(buckets, pairs, alike)
+    roots = linked(buckets, pairs, alike, sides, shingle_sets)
     # exact copies by both hashes, then the components; the least (document, row, line) of each stays
     place = F.struct(F.col("_id").isNull().alias("n"), "_id", *KEY, "_line")
     exact = signed.groupBy("_a", "_b").agg(F.min(place).alias("first"), F.count("*").alias("n"))

@@ -177,6 +177,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*columns, *(pa.array(row.view(np.int64)) for row in names), pa.array(n), nested], schema=arrow_schema(_SIGNED))
 
 
+def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
+    """The labelled shingles of each text, none twice; an alignment shares no more than the sets do."""
+    return (labelled_shingles(word_hashes(text)) for text in texts)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
     last = (None, None)
@@ -217,16 +222,18 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     thin = maybe_in(texts.withColumn("_spotted", F.xxhash64(*KEY)), "_spotted", key_filter(chosen.select(F.xxhash64(*KEY).alias("k")), "k"))
     found = land(thin.join(chosen, list(KEY)).select("id", F.col("_text").alias("t")), "texts")
 
+    def sides(some: DataFrame, left: str = "ref", right: str = "id") -> DataFrame:
+        both = some.join(found.select(F.col("id").alias(right), F.col("t").alias("right")), right)
+        return both.join(found.select(F.col("id").alias(left), F.col("t").alias("left")), left).select(*some.columns, "left", "right")
+
     def alike(some: DataFrame) -> DataFrame:
         # of texts that differ too much in shingles no more than those of the smaller can be shared
         for side in ("a", "b"):
             some = some.join(chosen.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}")), side)
         some = some.filter(F.least("n_a", "n_b") >= (THRESHOLD - 1e-9) * F.greatest("n_a", "n_b")).select("a", "b")
-        sides = some.join(found.select(F.col("id").alias("b"), F.col("t").alias("right")), "b")
-        sides = sides.join(found.select(F.col("id").alias("a"), F.col("t").alias("left")), "a").select("a", "b", "left", "right")
-        return sides.mapInArrow(_verify, "a long, b long")
+        return sides(some, "a", "b").mapInArrow(_verify, "a long, b long")
 
-    roots = linked(buckets, pairs, alike)
+    roots = linked(buckets, pairs, alike, sides, shingle_sets)
     # texts without words are alone: their class is keyed by their row
     rows = signed.select(*KEY, "_id", "_a", "_b", "_n").join(roots.select(F.col("id").alias("_a"), "root"), "_a", "left")
     group = F.when(F.col("_n") == 0, F.struct(F.col("_f").alias("x"), F.col("_r").alias("y"), F.lit(0).alias("z"))).when(

@@ -107,3 +107,37 @@ def test_components(spark, edges):
         return x
 
     assert got == {x: root(x) for x in parent}
+
+
+def test_plausible_pairs_miss_no_similar_pair_and_leave_out_most(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words)]
+    for _ in range(300):
+        changed = list(words)
+        for at in rng.integers(0, 120, rng.integers(1, 9)):
+            changed[at] = f"edit{rng.integers(0, 40)}"
+        texts.append(" ".join(changed))
+    texts += [" ".join(f"v{k}x{i}" for i in range(40)) for k in range(20)]
+    sets = [set(s.tolist()) for s in neardup.shingle_sets(texts)]
+    pairs = [(a, b) for b in range(1, len(sets)) for a in range(1, b)]
+    close = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    near = spark.createDataFrame([(0, k, k, True) for k in range(1, len(texts))], "ref long, id long, root long, outer boolean")
+    table = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+
+    def sides(some):
+        both = some.join(table.withColumnRenamed("text", "right"), "id")
+        return both.join(table.selectExpr("id AS ref", "text AS left"), "ref")
+
+    got = {(r.a, r.b) for r in components_module.plausible(near, sides, neardup.shingle_sets).collect()}
+    assert close <= got
+    is_near = [len(s & sets[0]) >= 0.8 * len(s | sets[0]) for s in sets]
+    far = [(a, b) for a, b in pairs if not (is_near[a] and is_near[b])]
+    assert len(got.intersection(far)) < len(far) / 4
+
+
+def test_blocks_of_edges(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "EDGES", 40)
+    edges = [(i, i + 1) for i in range(100)] + [(200, i) for i in range(201, 260)]
+    got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(101)}, **{i: 200 for i in range(200, 260)}}
