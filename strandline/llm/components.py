@@ -9,20 +9,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import arrow_schema, frugal, key_filter, maybe_in
+from strandline.llm.common import arrow_schema, frugal, key_filter, maybe_in, mix
 from strandline.session import land
 
 
 ROUND = 1 << 18  # pairs that a round of `linked` may make at least; beyond that, as many as the first pairs
 SLICES = 16  # parts of a bucket that meet its pivots in tasks of their own
 EDGES = 1 << 20  # edges that a task contracts at once
-THRESHOLD = 0.8  # least Jaccard similarity of the sets that `plausible` compares
+THRESHOLD = 0.8  # least Jaccard similarity of the sets of pairs that `plausible` gives
 # Sets x and y are so similar if they differ in no more than SLACK * (|x| + |y|) members.
 SLACK = (1 - THRESHOLD) / (1 + THRESHOLD)
+BLOCK = 16  # a reference of m rows has sqrt(m) / BLOCK blocks
+TOKENS = 1 << 19  # members of differences in a block
+TOGETHER = 256  # rows of small cells that are taken together
+WORK = 1 << 20  # pairs and shared members counted at once
 
 Sides = Callable[[DataFrame], DataFrame]
 Shingles = Callable[[list[str]], Iterable[np.ndarray]]
-_TOKENS = "ref long, id long, root long, outer boolean, size int, n int, place int, token long"
+_DIFFERENCES = "ref long, id long, root long, outer boolean, size long, n long, tokens array<long>"
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,55 +167,119 @@ def _met(pivots: DataFrame, rows: DataFrame, fits: str) -> DataFrame:
 
 
 def differences(shingles: Shingles) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For rows (ref, id, root, outer, left, right), left being the text of the reference and right that of the id,
-    a row for each token of their difference that another set similar to the id's might share. See plausible."""
+    """For rows (ref, id, root, outer, left, right), left being the text of the reference and right that of the id:
+    the size of the id's set and the members that only one of the two sets has."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
-        schema = arrow_schema(_TOKENS)
-        known: tuple[str | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+        schema = arrow_schema(_DIFFERENCES)
+
+        def told(held: list[tuple]) -> pa.RecordBatch:
+            names = list(dict.fromkeys(text for row in held for text in row[4:]))
+            sets = dict(zip(names, shingles(names)))
+            found = [np.setxor1d(sets[left], sets[right], assume_unique=True) for *_, left, right in held]
+            sizes = [len(sets[row[5]]) for row in held]
+            n = np.array([len(values) for values in found])
+            nested = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), pa.array(np.concatenate(found).view(np.int64)))
+            heads = [pa.array([row[i] for row in held], schema.field(i).type) for i in range(4)]
+            return pa.record_batch([*heads, pa.array(sizes, pa.int64()), pa.array(n), nested], schema=schema)
+
         for batch in batches:
-            names = [batch.column(name).to_pylist() for name in ("ref", "id", "root", "outer", "left", "right")]
-            heads, counts, places, values = [], [], [], []
-            for *head, left, right in zip(*names):
-                if known[0] != left:
-                    known = (left, np.sort(next(iter(shingles([left])))))
-                own = np.sort(next(iter(shingles([right]))))
-                added, gone = np.setdiff1d(own, known[1], assume_unique=True), np.setdiff1d(known[1], own, assume_unique=True)
-                n, h, size = len(added) + len(gone), len(known[1]), len(own)
-                near = n <= SLACK * (size + h) + 1e-6
-                # how many tokens of the difference a set that is similar, and not near too, has at least
-                least = (n + SLACK * (h - size)) / 2 if near else (n - SLACK * (size + h)) / 2
-                take = max(0, n - max(1, int(np.ceil(least - 1e-6))) + 1)
-                # those that the reference lacks come first, as few others share them
-                values.append(np.concatenate([np.zeros(int(near), np.uint64), added, gone])[: int(near) + take])
-                places.append(np.arange(len(values[-1])) - int(near))
-                heads.append((*head, size, n))
-                counts.append(len(values[-1]))
-            if not heads:
-                continue
-            spread = pa.array(np.repeat(np.arange(len(heads)), counts))
-            columns = [pa.array([head[i] for head in heads], schema.field(i).type).take(spread) for i in range(6)]
-            yield pa.record_batch([*columns, pa.array(np.concatenate(places), pa.int32()), pa.array(np.concatenate(values).view(np.int64))], schema=schema)
+            held, room = [], 1 << 17  # characters whose shingles are held at once
+            for row in zip(*(batch.column(name).to_pylist() for name in ("ref", "id", "root", "outer", "left", "right"))):
+                held.append(row)
+                room -= len(row[5]) + (len(row[4]) if len(held) == 1 or row[4] != held[-2][4] else 0)
+                if room <= 0:
+                    yield told(held)
+                    held, room = [], 1 << 17
+            if held:
+                yield told(held)
 
     return tokens
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size says, one range after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _close(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The pairs of an outer row and another of its cell whose sets are similar, the members that their differences
+    share being counted for many pairs at once."""
+    column = {name: rows.column(name).combine_chunks() for name in rows.column_names}
+    ref, low, high, block, ids, root, size, n = (column[name].to_numpy(zero_copy_only=False) for name in ("ref", "low", "high", "block", "id", "root", "size", "n"))
+    outer = column["outer"].to_numpy(zero_copy_only=False)
+    fresh = np.ones(len(ids), bool)
+    fresh[1:] = (ref[1:] != ref[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    cell = np.cumsum(fresh)
+    token = column["tokens"].flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    owner = np.repeat(np.arange(len(ids)), n)
+    # tokens are members of one cell; two of a hash would only let more pairs pass
+    _, token, owners = np.unique(mix(token + cell[owner].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
+    met = (owners > 1) & (np.bincount(token, weights=outer[owner], minlength=len(owners)) > 0)
+    owner, token = owner[met[token]], token[met[token]]
+    by_token = owner[np.argsort(token, kind="stable")]
+    owners = np.where(met, owners, 0)
+    first = np.cumsum(owners) - owners
+    own = np.bincount(owner, minlength=len(ids))
+    begin = np.cumsum(own) - own
+    work = np.bincount(owner, weights=owners[token], minlength=len(ids)) + len(ids)
+    left = np.flatnonzero(outer)
+    for some in np.split(left, np.flatnonzero(np.diff((np.cumsum(work[left]) // WORK).astype(np.int64))) + 1):
+        if not len(some):
+            continue
+        used = token[_ranges(begin[some], own[some])]
+        line = np.repeat(np.repeat(np.arange(len(some)), own[some]), owners[used])
+        both = np.bincount(line * len(ids) + by_token[_ranges(first[used], owners[used])], minlength=len(some) * len(ids)).reshape(len(some), -1)
+        one = some[:, None]
+        # two sets differ in as many members as their differences to a third do
+        fits = n[one] + n - 2 * both <= SLACK * (size[one] + size) + 1e-6
+        fits &= (cell[one] == cell) & (root[one] != root) & ((low == high) | (block[one] != block)) & (~outer | (one < np.arange(len(ids))))
+        x, y = np.nonzero(fits)
+        a, b = ids[some[x]], ids[y]
+        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The similar pairs of rows sorted by cell; small cells are taken together."""
+    frugal()
+    held, n, last = [], 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(name).to_numpy(zero_copy_only=False) for name in ("ref", "low", "high")])
+        starts = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [batch.num_rows]])
+        for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            now = tuple(key[:, start].tolist())
+            if now != last and n >= TOGETHER:
+                yield from _close(pa.Table.from_batches(held))
+                held, n = [], 0
+            held.append(batch.slice(start, end - start))
+            n, last = n + end - start, now
+    if held:
+        yield from _close(pa.Table.from_batches(held))
+
+
 def plausible(near: DataFrame, sides: Sides, shingles: Shingles) -> DataFrame:
-    """Distinct pairs (a, b) of ids with one reference and different roots, among them all whose sets have a
+    """Distinct pairs (a, b) of ids with one reference and different roots, being all whose sets have a
     similarity of THRESHOLD; from rows (ref, id, root, outer), one of each pair being outer.
 
-    Two sets differ in as many members as their differences to a third do. So two similar sets that are not both
-    near to the reference share members of these differences, at least half of what the sizes of the differences
-    exceed the allowed one by. The first they share, in an order common to all, leaves enough after it; only ids that share such a
-    member are paired. The near ones share a member of their own, marked by a place of -1.
+    Two sets differ in as many members as their differences to a third do, so the differences to the reference
+    are compared, which are short. The rows of a reference are dealt to blocks, and each two of them meet in a cell
+    of its own, where all their pairs are counted by the members they share; no row is made of a pair that is not similar. A
+    reference of m rows has some sqrt(m) / BLOCK blocks, or more if the differences are long, so a row is copied as
+    often as that and a cell holds no more than two blocks. The time still grows with the square of m.
     """
-    rows = sides(near).mapInArrow(differences(shingles), _TOKENS)
-    rows = land(rows.withColumn("key", F.xxhash64("ref", "token", F.col("place") < 0)).drop("ref", "token"), "tokens")
-    one, other = (rows.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "root", "outer", "size", "n", "place"))) for side in "ab")
-    fits = f"least(n_a - place_a, n_b - place_b) >= (n_a + n_b - {SLACK} * (size_a + size_b)) / 2 - 1e-6"
-    met = one.filter("outer_a").join(other, "key").filter(f"root_a <> root_b and (not outer_b or id_a < id_b) and (place_a < 0 or {fits})")
-    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    rows = land(sides(near).mapInArrow(differences(shingles), _DIFFERENCES), "differences")
+    sizes = rows.groupBy("ref").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"))
+    blocks = F.greatest(F.ceil(F.sqrt("m") / BLOCK), F.ceil(F.col("tokens") / TOKENS), F.lit(1)).cast("int")
+    # a table of its own, so that the join may split a large group
+    sizes = land(sizes.filter("m > 1").select("ref", blocks.alias("blocks")), "blocks")
+    placed = rows.join(sizes, "ref").withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), "blocks").cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    cells = dealt.select(
+        "ref", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "root", "outer", "size", "n", "tokens")
+    return cells.repartition("ref", "low", "high").sortWithinPartitions("ref", "low", "high").mapInArrow(_cells, "a long, b long").distinct()
 
 
 def linked(
@@ -224,7 +292,7 @@ def linked(
     not alike, and only such buckets are looked at again. There the member with most links, as the original of
     many copies has, meets all others. Then all pairs of members still in different components are compared; but if `sides` (the
     texts of rows (ref, id, ...) as left and right) and `shingles` (a set of numbers for each text, of a similarity of
-    THRESHOLD for texts that are alike) are given, those are left out that these sets rule out. Without them, that
+    THRESHOLD for texts that are alike) are given, only those whose sets are similar (see `plausible`). Without them, that
     member meets the others while that joins many, and the rest is compared in rounds of bounded size.
     """
     good = land(alike(pairs), "alike")

@@ -141,3 +141,28 @@ def test_blocks_of_edges(spark, monkeypatch):
     edges = [(i, i + 1) for i in range(100)] + [(200, i) for i in range(201, 260)]
     got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(101)}, **{i: 200 for i in range(200, 260)}}
+
+
+def test_no_row_is_made_of_a_pair_that_is_not_similar(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words)]
+    for _ in range(200):
+        changed = list(words)
+        for at in rng.integers(0, 120, rng.integers(1, 9)):
+            changed[at] = f"edit{rng.integers(0, 40)}"
+        texts.append(" ".join(changed))
+    sets = [set(s.tolist()) for s in neardup.shingle_sets(texts)]
+    close = {(a, b) for b in range(1, len(sets)) for a in range(1, b)
+             if (a % 3 == 0 or b % 3 == 0) and a % 7 != b % 7 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    near = spark.createDataFrame([(0, k, k % 7, k % 3 == 0) for k in range(1, len(texts))], "ref long, id long, root long, outer boolean")
+    table = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+
+    def sides(some):
+        both = some.join(table.withColumnRenamed("text", "right"), "id")
+        return both.join(table.selectExpr("id AS ref", "text AS left"), "ref")
+
+    for block, tokens in ((16, 1 << 19), (4, 1 << 19), (16, 2000)):  # one block, and several by rows or by members
+        monkeypatch.setattr(components_module, "BLOCK", block)
+        monkeypatch.setattr(components_module, "TOKENS", tokens)
+        assert {(r.a, r.b) for r in components_module.plausible(near, sides, neardup.shingle_sets).collect()} == close
