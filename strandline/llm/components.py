@@ -16,6 +16,8 @@ from strandline.session import land
 ROUND = 1 << 18  # pairs that a round of `linked` may make at least; beyond that, as many as the first pairs
 SLICES = 16  # parts of a bucket that meet its pivots in tasks of their own
 EDGES = 1 << 20  # edges that a task contracts at once
+DEALT = 1 << 20  # keys that a task sorts at once before it deals them
+PART = 1 << 18  # keys of a part, some
 THRESHOLD = 0.8  # least Jaccard similarity of the sets of pairs that `plausible` gives
 # Sets x and y are so similar if they differ in no more than SLACK * (|x| + |y|) members.
 SLACK = (1 - THRESHOLD) / (1 + THRESHOLD)
@@ -26,51 +28,108 @@ WORK = 1 << 20  # pairs and shared members counted at once
 
 Sides = Callable[[DataFrame], DataFrame]
 Shingles = Callable[[list[str]], Iterable[np.ndarray]]
+_DEALT = "part int, keys array<long>, ids array<long>, a array<long>, b array<long>"
 _DIFFERENCES = "ref long, id long, root long, outer boolean, size long, n long, tokens array<long>"
 
 
+def _by_bucket(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, ids, a, b): each bucket with its least id, in the order of keys, and the pairs a < b of each other id
+    with its bucket's least and with its predecessor there."""
+    order = np.argsort(keys)
+    keys, ids = keys[order], ids[order]
+    again = np.zeros(len(keys), bool)
+    again[1:] = keys[1:] == keys[:-1]
+    several = again.copy()
+    several[:-1] |= again[1:]
+    # few buckets have several rows; only those are sorted by id
+    bucket, held = keys[several], ids[several]
+    held = held[np.lexsort((held, bucket))]
+    ids[several] = held
+    fresh = ~again[several]
+    first = held[np.maximum.accumulate(np.where(fresh, np.arange(len(held)), 0))]
+    before = np.roll(held, 1)
+    star, chain = ~fresh & (first != held), ~fresh & (before != held) & (before != first)
+    return keys[~again], ids[~again], np.concatenate([first[star], before[chain]]), np.concatenate([held[star], held[chain]])
+
+
+def _nested(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), pa.array(values))
+
+
+def _deal(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks of rows (keys, id), paired by their own keys and cut into parts of the range of keys, in which each
+    key of the block has one row left."""
+    bounds = np.array([part * 2**64 // parts for part in range(1, parts)], np.uint64)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
+        schema = arrow_schema(_DEALT)
+        held, room = [], DEALT
+
+        def block() -> pa.RecordBatch:
+            keys, ids, a, b = _by_bucket(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+            ends = np.append(np.searchsorted(keys, bounds), len(keys))
+            even = np.arange(1, parts + 1) * len(a) // parts
+            columns = [pa.array(np.arange(parts), pa.int32()), _nested(keys.view(np.int64), ends), _nested(ids, ends), _nested(a, even), _nested(b, even)]
+            filled = (np.diff(ends, prepend=0) > 0) | (np.diff(even, prepend=0) > 0)
+            return pa.record_batch(columns, schema=schema).filter(pa.array(filled))
+
+        for batch in batches:
+            lists = batch.column(0)
+            keys = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            # spread evenly over the whole range, whatever the keys
+            held.append((mix(keys), np.repeat(batch.column(1).to_numpy(zero_copy_only=False), sizes)))
+            room -= len(keys)
+            if room <= 0:
+                yield block()
+                held, room = [], DEALT
+        if held:
+            yield block()
+
+    return dealt
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (bucket, id): each id with its bucket's first and its predecessor there, and the
-    task's first (a, b = first id, bucket; edge true), to be linked with the tasks before."""
+    """The pairs of the blocks, and of the rows that they left, of rows sorted by part."""
     frugal()
-    last_bucket = last_id = first_id = None
+    held, last = [], None
+
+    def paired() -> pa.RecordBatch:
+        keys, ids, a, b = ([h[i] for h in held] for i in range(4))
+        _, _, more_a, more_b = _by_bucket(np.concatenate(keys).view(np.uint64), np.concatenate(ids))
+        return pa.record_batch([pa.array(np.concatenate([*a, more_a])), pa.array(np.concatenate([*b, more_b]))], ["a", "b"])
+
     for batch in batches:
-        bucket, ids = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-        if not len(bucket):
-            continue
-        if last_bucket is None:
-            yield pa.record_batch([pa.array([ids[0]]), pa.array([bucket[0]]), pa.array([True])], ["a", "b", "edge"])
-        fresh = np.ones(len(bucket), bool)
-        fresh[1:] = bucket[1:] != bucket[:-1]
-        fresh[0] = last_bucket is None or bucket[0] != last_bucket
-        starts = np.maximum.accumulate(np.where(fresh, np.arange(len(bucket)), -1))
-        first = np.where(starts >= 0, ids[np.maximum(starts, 0)], first_id if first_id is not None else 0)
-        before = np.empty_like(ids)
-        before[1:], before[0] = ids[:-1], last_id if last_id is not None else 0
-        star, chain = ~fresh & (first != ids), ~fresh & (before != ids) & (before != first)
-        a, b = np.concatenate([first[star], before[chain]]), np.concatenate([ids[star], ids[chain]])
-        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.zeros(len(a), bool))], ["a", "b", "edge"])
-        last_bucket, last_id, first_id = bucket[-1], ids[-1], first[-1]
+        part = batch.column(0).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
+            if held and part[start] != last:
+                yield paired()
+                held = []
+            rows = batch.slice(start, end - start)
+            held.append([rows.column(i).flatten().to_numpy(zero_copy_only=False) for i in range(1, 5)])
+            last = part[start]
+    if held:
+        yield paired()
 
 
-def candidate_pairs(buckets: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of ids to verify, from rows (bucket, id), at most two for each row.
+def key_pairs(signed: DataFrame, n_keys: int) -> DataFrame:
+    """Distinct pairs (a < b) of ids to verify, from rows (keys, id), some n_keys keys in all; at most two for each key.
 
-    Rows are range-partitioned by bucket and id, so a bucket of any size is spread over tasks; each id is
-    paired with the first one of its bucket in the task and with its predecessor, and the firsts of a
-    bucket that spans tasks are paired with one another along the tasks.
+    All ids of a key are connected by the pairs. Tasks sort blocks of rows by key: an id is paired with the least one of its
+    key in the block and with its predecessor, and of each key only the least id goes on. The keys are dealt to
+    tasks by parts of their range, and what is left is paired likewise there. So a key of any number of ids sends
+    no more than one row from each block.
     """
-    placed = buckets.select("bucket", "id").repartitionByRange("bucket", "id").sortWithinPartitions("bucket", "id")
-    found = land(placed.mapInArrow(_links, "a long, b long, edge boolean"), "links")
-    # one row of each task: the first rows of the tasks that a bucket spans
-    edges = found.filter("edge").select(F.col("b").alias("bucket"), F.col("a").alias("id"))
-    crossed = edges.groupBy("bucket").agg(F.min("id").alias("first"))
-    # the tasks that a bucket spans start with it, but the first of them starts elsewhere: find its member there
-    entry = buckets.join(F.broadcast(crossed.select("bucket")), "bucket").groupBy("bucket").agg(F.min("id").alias("least"))
-    joined = edges.join(F.broadcast(entry), "bucket").filter("id <> least")
-    return (found.filter("not edge").select("a", "b")
-            .unionByName(joined.select(F.least("id", "least").alias("a"), F.greatest("id", "least").alias("b")))
-            .distinct())
+    parts = max(1, -(-n_keys // PART))
+    dealt = signed.mapInArrow(_deal(parts), _DEALT).repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(_links, "a long, b long").distinct()
+
+
+def candidate_pairs(buckets: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of ids to verify, from rows (bucket, id), at most two for each row. See key_pairs."""
+    return key_pairs(buckets.select(F.array("bucket").alias("keys"), "id"), buckets.count())
 
 
 def least_members(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import BLOCK, KEY, arrow_schema, blocks, code_points, frugal, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
-from strandline.llm.components import candidate_pairs, linked
+from strandline.llm.components import key_pairs, linked
 from strandline.session import land
 
 WIDTH = 8  # characters of a shingle
 BANDS, ROWS = 10, 4  # at a Jaccard similarity of 0.8 a pair meets in some band with a probability of 0.995
 THRESHOLD = 0.8
+BLANKS = " \t\r\f\v\u00a0"  # what lines are trimmed of
+SIGNED = 2000  # lines signed at once
 
 _FACTORS = seeds(61)
 _SIGNED = "_f long, _r long, _id long, _line int, _a long, _b long, _keys array<long>"
+_NAMED = "id long, _text string"
 
 
 def shingles(text: str, width: int = WIDTH) -> np.ndarray:
@@ -73,17 +78,19 @@ def band_keys(lines: list[str], width: int = WIDTH, bands: int = BANDS, rows: in
 
 
 def shingle_sets(lines: list[str]) -> list[np.ndarray]:
-    """The distinct shingles of each line, sorted; sorted all at once."""
-    found = list(line_shingles(lines))
-    if not found:
-        return []
-    owner, values = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((values, owner))
-    owner, values = owner[order], values[order]
-    fresh = np.ones(len(values), bool)
-    fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
-    owner, values = owner[fresh], values[fresh]
-    return np.split(values, np.searchsorted(owner, np.arange(1, len(lines))))
+    """The distinct shingles of each line, sorted."""
+    found: list[list[np.ndarray]] = [[] for _ in lines]
+    for owner, values in line_shingles(lines):
+        starts = np.flatnonzero(np.diff(owner, prepend=-1)).tolist()  # the shingles of a line lie together
+        for start, end in zip(starts, [*starts[1:], len(owner)]):
+            found[owner[start]].append(values[start:end])
+    sets = []
+    for parts in found:
+        values = np.sort(np.concatenate(parts))
+        fresh = np.ones(len(values), bool)
+        np.not_equal(values[1:], values[:-1], out=fresh[1:])
+        sets.append(values[fresh])
+    return sets
 
 
 def shared(left: np.ndarray, right: np.ndarray) -> int:
@@ -93,19 +100,48 @@ def shared(left: np.ndarray, right: np.ndarray) -> int:
     return int(np.count_nonzero(large[spots] == small))
 
 
+def line_names(lines: list[str]) -> np.ndarray:
+    """Two 64-bit hashes of each line."""
+    digests = b"".join(blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest() for line in lines)
+    return np.frombuffer(digests, "<i8").reshape(-1, 2)
+
+
+def _lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(places, numbers, lines) of the lines that aren't blank: the place of their text, their number there, and they trimmed."""
+    parts = pc.split_pattern(texts, "\n")
+    sizes = pc.list_value_length(parts).fill_null(0).to_numpy(zero_copy_only=False)
+    places = np.repeat(np.arange(len(texts)), sizes)
+    numbers = np.arange(len(places)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    trimmed = pc.utf8_trim(parts.flatten(), characters=BLANKS)
+    filled = pc.not_equal(trimmed, "")
+    inside = filled.to_numpy(zero_copy_only=False)
+    return places[inside], numbers[inside], trimmed.filter(filled)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
     schema = arrow_schema(_SIGNED)
     for batch in batches:
-        lines, hashes = batch.column("_text").to_pylist(), batch.column("_a").to_numpy(zero_copy_only=False)
-        _, first = np.unique(hashes, return_index=True)  # copies within a batch need no second signature
-        first.sort()
-        keys = band_keys([lines[i] for i in first]).view(np.int64)
-        sizes = np.zeros(len(lines), np.int64)
-        sizes[first] = BANDS
-        nested = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(keys.ravel()))
-        columns = [batch.column(name) for name in ("_f", "_r", "_id", "_line", "_a", "_b")]
-        yield pa.record_batch([*columns, nested], schema=schema)
+        places, numbers, lines = _lines(batch.column("_text"))
+        known: set[int] = set()  # copies within a batch need no second signature
+        for start in range(0, len(lines), SIGNED):
+            some = lines.slice(start, SIGNED).to_pylist()
+            names = line_names(some)
+            fresh = [not (name in known or known.add(name)) for name in names[:, 0].tolist()]
+            keys = band_keys([line for line, new in zip(some, fresh) if new]).view(np.int64)
+            nested = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.array(fresh) * BANDS)]).astype(np.int32), pa.array(keys.ravel()))
+            at = pa.array(places[start : start + SIGNED])
+            columns = [batch.column(name).take(at) for name in ("_f", "_r", "_id")]
+            yield pa.record_batch([*columns, pa.array(numbers[start : start + SIGNED], pa.int32()), *(pa.array(x) for x in names.T.copy()), nested], schema=schema)
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frugal()
+    for batch in batches:
+        _, _, lines = _lines(batch.column("_text"))
+        for start in range(0, len(lines), SIGNED):
+            some = lines.slice(start, SIGNED)
+            yield pa.record_batch([pa.array(line_names(some.to_pylist())[:, 0].copy()), some], schema=arrow_schema(_NAMED))
 
 
 def _similar(pairs: list[tuple[str, str]]) -> list[bool]:
@@ -138,24 +174,18 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def split_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each line that isn't blank, with its row's key, its number, its trimmed text and two hashes of that."""
-    lines = keyed(docs, F.col(doc_id).cast("long").alias("_id"), F.posexplode(F.split(text, "\n")).alias("_line", "_text"))
-    lines = lines.withColumn("_text", F.btrim("_text", F.lit(" \t\r\f\v "))).filter("_text <> ''")
-    return lines.withColumn("_a", F.xxhash64("_text")).withColumn("_b", F.xxhash64(F.lit(1), "_text"))
-
-
 def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(_f, _r, _lines): for each row that loses lines, their numbers. See dedup_lines."""
     spark = docs.sparkSession
     ready(spark)
-    lines = split_lines(docs, doc_id, text)
-    signed = land(lines.select(*KEY, "_id", "_line", "_a", "_b", "_text").mapInArrow(_sign, _SIGNED), "lines")
+    whole = F.make_valid_utf8(F.col(text)).alias("_text")
+    # a row for each line that isn't blank, with its row's key, its number, two hashes of it trimmed, and its band keys
+    signed = land(keyed(docs, F.col(doc_id).cast("long").alias("_id"), whole).mapInArrow(_sign, _SIGNED), "lines")
     # near copies: verified pairs of different lines
     buckets = signed.select(F.explode("_keys").alias("bucket"), F.col("_a").alias("id"))
-    pairs = land(candidate_pairs(buckets), "pairs")
+    pairs = land(key_pairs(signed.select("_keys", F.col("_a").alias("id")), BANDS * signed.count()), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = maybe_in(lines.select(F.col("_a").alias("id"), "_text"), "id", key_filter(wanted, "id"))
+    texts = maybe_in(docs.select(whole).mapInArrow(_named, _NAMED), "id", key_filter(wanted, "id"))
     # an inner join: a semi join would be moved below the filter, and all lines shuffled
     texts = land(texts.join(wanted, "id").groupBy("id").agg(F.min("_text").alias("t")), "texts")
 

@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+from pyspark.sql import functions as F
 from tests.llm import cases
 
 from strandline.llm import lines
@@ -80,3 +82,25 @@ def test_a_line_longer_than_a_block():
     block = "ab cd" * 300_000
     keys = lines.band_keys([block + "tail", "other", block + "tail"])
     assert (keys[0] == keys[2]).all() and (keys[0] != keys[1]).any()
+
+
+def test_lines_are_split_as_spark_splits_them(spark):
+    texts = [None, "", "\n", "a\n\n \u00a0b\t\n", "\r\n c d \x0b\x0c\n", "\u2003e\u2003", "end\n", "é\n日本\r"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").select("id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    trimmed = docs.withColumn("line", F.btrim("line", F.lit(" \t\r\f\v\u00a0"))).filter("line <> ''")
+    places, numbers, found = lines._lines(pa.array(texts, pa.large_string()))
+    assert list(zip(places.tolist(), numbers.tolist(), found.to_pylist())) == [tuple(r) for r in trimmed.orderBy("id", "n").collect()]
+
+
+def test_texts_that_are_no_utf8(spark):
+    docs = spark.sql("select * from values (1L, cast(X'61FF0A6262' as string)), (2L, 'bb\n\nbb') as t(doc_id, text)")
+    got = lines.dedup_lines(docs).select("_row.doc_id", "_n_lines", "_n_gone").collect()
+    assert sorted(map(tuple, got)) == [(1, 2, 0), (2, 3, 2)]
+
+
+def test_sets_of_shingles_are_sorted_line_by_line(monkeypatch):
+    # sorting all lines of a block by two keys took most of the time of a verification
+    monkeypatch.setattr(lines.np, "lexsort", None)
+    texts = ["ab", "abcdefgh" * 9, "x" * 70_000 + "y", "some line of words"]
+    for text, found in zip(texts, lines.shingle_sets(texts)):
+        assert len(found) == len(shingles(text)) and (found[1:] > found[:-1]).all()

@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tests.llm import cases
 
@@ -88,6 +89,40 @@ def test_candidate_pairs_join_buckets_over_many_tasks(spark):
     assert {r.id for r in roots} == set(range(3000)) and {r.root for r in roots} == {0}
 
 
+def test_pairs_join_keys_over_many_blocks_and_parts(monkeypatch):
+    # blocks and parts of a few keys; no row of the shuffle for each key and id, and one at most of a block's heavy key
+    monkeypatch.setattr(components_module, "DEALT", 60)
+    rng = np.random.default_rng(5)
+    keys = rng.integers(-300, 300, (500, 3))
+    keys[:200, 0] = 7
+    ids = rng.integers(0, 400, 500)  # some are repeated
+    nested = [pa.record_batch([pa.array(keys[at : at + 10].tolist(), pa.list_(pa.int64())), pa.array(ids[at : at + 10])], ["keys", "id"]) for at in range(0, 500, 10)]
+    dealt = pa.Table.from_batches(batch for start in (0, 25) for batch in components_module._deal(4)(iter(nested[start : start + 25])))
+    assert dealt.num_rows <= 4 * 26 and len(dealt["keys"].combine_chunks().flatten()) < 0.95 * keys.size
+    found = list(components_module._links(iter(dealt.sort_by("part").to_batches(max_chunksize=7))))
+    pairs = {pair for batch in found for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())}
+    buckets = defaultdict(set)
+    for row, key in zip(ids.tolist(), keys.tolist()):
+        for k in key:
+            buckets[k].add(row)
+    assert all(a < b and any({a, b} <= bucket for bucket in buckets.values()) for a, b in pairs)
+    assert sum(batch.num_rows for batch in found) <= 2 * keys.size
+    for bucket in buckets.values():  # the pairs within a bucket connect it
+        seen, left = set(), [min(bucket)]
+        while left:
+            seen.add(x := left.pop())
+            left += [y for pair in pairs if x in pair for y in pair if y in bucket and y not in seen]
+        assert seen == bucket
+
+
+def test_keys_are_paired_without_a_row_for_each(spark):
+    signed = land(spark.createDataFrame([([k, k + 1], k) for k in range(50)], "keys array<long>, id long"), "signed")
+    pairs = components_module.key_pairs(signed, 100)
+    plan = pairs._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "rangepartitioning" not in plan
+    assert {(r.a, r.b) for r in pairs.collect()} == {(k, k + 1) for k in range(49)}
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(100, 101), (101, 50), (5, 5)]])
 def test_components(spark, edges):
     got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
