@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import KEY, arrow_schema, blocks, code_points, frugal, key_filter, keyed, maybe_in, mix, ready, seeds, stored, table
-from strandline.llm.components import candidate_pairs, linked
+from strandline.llm.components import key_pairs, linked
 from strandline.session import land
 
 WORDS = 5  # words of a shingle
@@ -213,8 +213,9 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     signed = land(texts.mapInArrow(_sign, _SIGNED), "signed")
     # one row for all copies of a text
     distinct = signed.filter("_n > 0").groupBy("_a", "_b").agg(F.first("_keys").alias("_keys"))
-    buckets = land(distinct.select(F.col("_a").alias("id"), "_keys"), "keys").select(F.explode("_keys").alias("bucket"), "id")
-    pairs = land(candidate_pairs(buckets), "pairs")
+    keys = land(distinct.select(F.col("_a").alias("id"), "_keys"), "keys")
+    buckets = keys.select(F.explode("_keys").alias("bucket"), "id")
+    pairs = land(key_pairs(keys.select("_keys", "id"), BANDS * keys.count()), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # the text of one row for each wanted id
     chosen = signed.filter("_n > 0").groupBy(F.col("_a").alias("id")).agg(F.min(F.struct(*KEY)).alias("k"), F.max("_n").alias("_n"))
