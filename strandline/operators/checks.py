@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from strandline.operators.files import null_file_refs
 from strandline.operators.latest import duplicate_rows
-from strandline.operators.skew import spread_join
+from strandline.operators.skew import BROADCAST_KEYS, spread_join
+from strandline.operators.subgraphs import foreign_items, links_of
 from strandline.schemas import LINKS, PROJECT, TOP_LEVEL_DIRS
-from strandline.session import land
 
 # The five problem counts.
 COUNTS = ("duplicates", "null_file_refs", "dangling_project_refs", "empty_links_count", "empty_projects_count")
@@ -25,9 +25,13 @@ def empty_table(rows: DataFrame) -> DataFrame:
 
 
 def dangling_links(links: DataFrame, projects: DataFrame) -> DataFrame:
-    """Distinct ids of links whose project is in no project row."""
+    """Distinct ids of links whose project is in no project row; only these move where the projects are few enough to be sent."""
     known = projects.select("project_id").distinct()
-    return spread_join(links.select("links_id", "project_id"), known, ["project_id"], "left_anti", ["links_id"]).select("links_id").distinct()
+    if known.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        found = links.select("links_id", "project_id").join(F.broadcast(known), "project_id", "left_anti")
+    else:
+        found = spread_join(links.select("links_id", "project_id"), known, ["project_id"], "left_anti", ["links_id"])
+    return found.select("links_id").distinct()
 
 
 def problem_rows(rows: DataFrame) -> DataFrame:
@@ -42,52 +46,56 @@ def problems_by_table(problems: DataFrame) -> DataFrame:
     return problems.groupBy("entity_type", "issue").agg(F.countDistinct("row_id").alias("n_rows"))
 
 
-def _tagged(rows: DataFrame) -> DataFrame:
-    """One row for each check that a row of a data set takes part in, counted up by tag and key.
+_ID = ("entity_type", "entity_id")
 
-    ``id``: each row under its type and id; ``ref``: each links row under its project and id; ``own``: each
-    project row under its id. One scan and one aggregation, combined before the shuffle.
-    """
-    kind, none = F.col("entity_type"), F.lit(None).cast("string")
-
-    def tag(name: str, first: Column, second: Column) -> Column:
-        return F.struct(F.lit(name).alias("tag"), first.alias("a"), second.alias("b"))
 
+def _stored_rows(rows: DataFrame) -> DataFrame:
+    """What the checks need of each row: its type and id, whether it has a version, and whether it lacks its file."""
     unset = F.col("file_id").isNull() & ~F.col("descriptor").like('%"drs_uri":%')
-    tags = F.array_compact(F.array(
-        tag("id", kind, F.col("entity_id")),
-        F.when(kind == LINKS, tag("ref", F.col("project_id"), F.col("entity_id"))),
-        F.when(kind == PROJECT, tag("own", F.col("entity_id"), none)),
-    ))
-    each = rows.select(F.explode(tags).alias("t"), F.col("version").isNotNull().alias("dated"), F.coalesce(unset, F.lit(False)).alias("unset"))
-    return each.groupBy("t.tag", "t.a", "t.b").agg(
-        F.count(F.lit(1)).alias("n"), F.max("dated").alias("dated"), F.sum(F.col("unset").cast("bigint")).alias("n_unset"))
+    return rows.select(*_ID, F.col("version").isNotNull().alias("dated"), F.coalesce(unset, F.lit(False)).cast("int").alias("unset"))
 
 
-def problem_counts(rows: DataFrame) -> DataFrame:
-    """One row: the five problem counts of a data set, and ``has_problems``.
-
-    The rows are read once; what the checks need of them is stored by key, without content. Row ids are taken to
-    be unique, as an append makes them.
-    """
-    tagged = land(_tagged(rows), "tagged")
-    is_id, is_ref, is_own = (F.col("tag") == name for name in ("id", "ref", "own"))
+def _counted(by_id: DataFrame, rows: DataFrame, *more: Column) -> DataFrame:
+    """One row of counts from the ids (``entity_type, entity_id, n, dated, n_unset``) of some rows, and ``more`` aggregates."""
+    kind, zero = F.col("entity_type"), F.lit(0).cast("bigint")
     # one row of the newest version is kept of each id; where no row has a version, none is
     spare = F.when(F.col("n") > 1, F.when(F.col("dated"), F.col("n") - 1).otherwise(F.col("n"))).otherwise(0)
-    zero = F.lit(0).cast("bigint")
-    parts = tagged.select(
-        F.when(is_id, spare).otherwise(0).cast("bigint").alias("duplicates"), F.when(is_id, F.col("n_unset")).otherwise(0).cast("bigint").alias("null_file_refs"),
-        zero.alias("dangling_project_refs"), is_ref.cast("bigint").alias("n_links"), is_own.cast("bigint").alias("n_projects"))
-    links = tagged.filter(is_ref).select(F.col("b").alias("links_id"), F.col("a").alias("project_id"))
-    dangling = dangling_links(links, tagged.filter(is_own).select(F.col("a").alias("project_id")))
-    parts = parts.unionByName(dangling.select(zero.alias("duplicates"), zero.alias("null_file_refs"), F.lit(1).cast("bigint").alias("dangling_project_refs"), zero.alias("n_links"), zero.alias("n_projects")))
-    sums = parts.agg(*(F.coalesce(F.sum(name), zero).alias(name) for name in ("duplicates", "null_file_refs", "dangling_project_refs", "n_links", "n_projects")))
+    sums = {"duplicates": spare, "null_file_refs": F.col("n_unset"), "n_links": F.when(kind == LINKS, F.col("n")), "n_projects": F.when(kind == PROJECT, F.col("n"))}
+    found = by_id.agg(*(F.coalesce(F.sum(value).cast("bigint"), zero).alias(name) for name, value in sums.items()), *more)
+    links = rows.filter(kind == LINKS).select(F.col("entity_id").alias("links_id"), "project_id")
+    dangling = dangling_links(links, rows.filter(kind == PROJECT).select(F.col("entity_id").alias("project_id")))
     empty = {f"empty_{name}_count": F.when(F.col(f"n_{name}") == 0, 1).otherwise(0).cast("bigint") for name in ("links", "projects")}
+    counted = found.withColumns({"dangling_project_refs": dangling.agg(F.count(F.lit(1))).scalar(), **empty})
     any_problem = F.lit(False)
-    counted = sums.withColumns(empty).select(*COUNTS)
     for name in COUNTS:
         any_problem = any_problem | (F.col(name) > 0)
-    return counted.withColumn("has_problems", any_problem)
+    return counted.withColumn("has_problems", any_problem).drop("n_links", "n_projects")
+
+
+def problem_counts(rows: DataFrame) -> DataFrame:
+    """One row: the five problem counts of a data set, and ``has_problems``.
+
+    Each row is counted by its type and id, before the shuffle as far as it goes, and nothing is stored. Row ids are
+    taken to be unique, as an append makes them.
+    """
+    counts = (F.count(F.lit(1)).alias("n"), F.max("dated").alias("dated"), F.sum("unset").alias("n_unset"))
+    return _counted(_stored_rows(rows).groupBy(*_ID).agg(*counts), rows).select(*COUNTS, "has_problems")
+
+
+def audit(rows: DataFrame) -> DataFrame:
+    """``problem_counts`` with a ``fault`` (``unreadable, entity_type, entity_id``) of the rows' own subgraphs, as ``first_fault`` finds one, or null.
+
+    The rows and the nodes that their links name meet in one aggregation, so each key moves once for all checks.
+    """
+    stored = _stored_rows(rows).withColumns({"unreadable": F.lit(False), "rows": F.lit(1), "named": F.lit(False)})
+    none = F.lit(None).cast("boolean")
+    named = foreign_items(links_of(rows)).withColumns({"dated": none, "unset": F.lit(0), "rows": F.lit(0), "named": F.lit(True)})
+    by_id = stored.unionByName(named).groupBy(*_ID, "unreadable").agg(
+        F.sum("rows").alias("n"), F.max("dated").alias("dated"), F.sum("unset").alias("n_unset"), F.max("named").alias("named"))
+    # a row without an id holds no entity
+    held = (F.col("n") > 0) & F.col("entity_type").isNotNull() & F.col("entity_id").isNotNull()
+    fault = F.max(F.when(F.col("named") & ~held, F.struct("unreadable", *_ID))).alias("fault")
+    return _counted(by_id, rows, fault).select(*COUNTS, "has_problems", "fault")
 
 
 def missing_directories(inventory: DataFrame, areas: DataFrame) -> DataFrame:

@@ -136,14 +136,24 @@ def graph_table(links: DataFrame) -> DataFrame:
     return land(graph_items(links), "graph")
 
 
-def _keyed_items(links: DataFrame) -> DataFrame:
+def _keyed(items: DataFrame) -> DataFrame:
     """``graph_items`` with keys only: a problem stands for its entity type, its links row for the id."""
     problem = F.col("problem")
-    return graph_items(links).select(
+    return items.select(
         "project_id", F.when(problem.isNotNull(), problem).otherwise(F.col("entity_type")).alias("entity_type"),
         F.when(problem.isNotNull(), F.col("links_id")).otherwise(F.col("entity_id")).alias("entity_id"), problem.isNotNull().alias("unreadable"))
 
 
+def _keyed_items(links: DataFrame) -> DataFrame:
+    return _keyed(graph_items(links))
+
+
+def foreign_items(links: DataFrame) -> DataFrame:
+    """The keys of all items (``entity_type, entity_id, unreadable``) but the links rows themselves, which are there."""
+    own = F.col("problem").isNull() & (F.col("entity_type") == LINKS) & (F.col("entity_id") == F.col("links_id"))
+    return _keyed(graph_items(links).filter(~F.coalesce(own, F.lit(False)))).drop("project_id")
+
+
 def first_fault(links: DataFrame, loaded: DataFrame) -> tuple[dict, bool] | None:
     """An unreadable link (and true), or else an expected entity that no table holds (and false), or else nothing.
 

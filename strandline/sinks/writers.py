@@ -16,6 +16,7 @@ from strandline.schemas import ROWS, TOMBSTONES, version_date
 
 
 FILES_PER_TASK = 2000  # of those that hold a single row
+STORED = "zstd"  # codec of stored rows: ids and digests are hexadecimal, which it halves and Spark's default leaves as long
 
 
 def _json_ready(frame: DataFrame) -> DataFrame:
@@ -102,19 +103,20 @@ def append_rows(rows: DataFrame, path: str) -> None:
 
     Rows get their row id here, in the writing tasks. The rebalance hint gathers the rows of a
     partition into few files and lets adaptive execution split a partition that holds too much. The content's
-    digest is made here where the rows have none yet.
+    digest, where the rows have none yet, and what else they lack is made there too: digests and ids are random,
+    so a shuffle does not compress them.
     """
     dated = rows.withColumn("version_date", version_date(F.col("version")))
+    placed = dated.hint("rebalance", "entity_type", "version_date")
     if "content_digest" not in rows.columns:
-        dated = dated.withColumn("content_digest", content_digest(F.col("content")))
-    missing = [f for f in ROWS if f.name not in (*dated.columns, "row_id")]
-    complete = dated.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else dated
-    placed = complete.hint("rebalance", "entity_type", "version_date")
-    with_id = placed.withColumn("row_id", F.expr("uuid()"))
+        placed = placed.withColumn("content_digest", content_digest(F.col("content")))
+    missing = [f for f in ROWS if f.name not in (*placed.columns, "row_id")]
+    complete = placed.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else placed
     # sorted by id within a folder, and with a Bloom filter of ids, so that a look-up of few ids skips row groups
-    ordered = with_id.select(*ROWS.fieldNames()).sortWithinPartitions("entity_type", "version_date", "entity_id")
+    ordered = complete.sortWithinPartitions("entity_type", "version_date", "entity_id")
+    with_id = ordered.withColumn("row_id", F.expr("uuid()")).select(*ROWS.fieldNames())
     bloom = {"parquet.bloom.filter.enabled#entity_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
-    ordered.write.options(**bloom).mode("append").partitionBy("entity_type", "version_date").parquet(path)
+    with_id.write.options(**bloom, compression=STORED).mode("append").partitionBy("entity_type", "version_date").parquet(path)
 
 
 def append_tombstones(tombstones: DataFrame, path: str) -> None:
